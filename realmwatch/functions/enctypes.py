@@ -119,8 +119,10 @@ def list_is_too_weak(listing: Column, enctypes: Sequence[Enctype] = SEED) -> Col
     return listing.rlike(f"^(?!{repeat}){run}{{1,{len(weak)}}}{strong}(?= |$)").cast("int")
 
 
-def enctype_is_weak(number: Column, enctypes: Sequence[Enctype] = SEED) -> Column:
+def enctype_is_weak(column: str, enctypes: Sequence[Enctype] = SEED) -> Column:
     """1 weak, 0 not weak, NULL for a number outside the reference data."""
-    weak = [e.enctype for e in enctypes if e.is_weak]
-    strong = [e.enctype for e in enctypes if not e.is_weak]
-    return F.when(number.isin(weak), 1).when(number.isin(strong), 0)
+
+    def among(weak: int) -> str:
+        return f"{column} IN ({', '.join(str(e.enctype) for e in enctypes if e.is_weak == weak)})"
+
+    return F.expr(f"CASE WHEN {among(1)} THEN 1 WHEN {among(0)} THEN 0 END")

@@ -10,13 +10,19 @@ STRIPPED = "%'"
 
 
 def clean(text: Column) -> Column:
-    return F.translate(text, STRIPPED, "")
+    """Text without those characters; most texts have none and are passed on as they are."""
+    soiled = F.lit(False)
+    for character in STRIPPED:
+        soiled = soiled | text.contains(character)
+    return F.when(soiled, F.translate(text, STRIPPED, "")).otherwise(text)
 
 
 def number_or_zero(text: Column, dtype: str) -> Column:
-    """Integer value of the text, 0 when it is no number of that type."""
-    numeric = F.when(text.rlike("^-?[0-9]+$"), text.try_cast(dtype))
-    return F.coalesce(numeric, F.lit(0).cast(dtype))
+    """Integer value of a run of digits with an optional sign, 0 for an empty text.
+
+    A number the type cannot hold counts as none.
+    """
+    return F.coalesce(text.try_cast(dtype), F.lit(0).cast(dtype))
 
 
 def principal_host(name: Column) -> Column:

@@ -1,7 +1,7 @@
 """Conditions shared by the last-seen folds (latest time) and the slices (counts).
 
-Each is a boolean column over events that carry list and role flags.  The dictionary keys
-are the stems the measures are named after.
+Each is SQL text over events that carry list and role flags, so a measure is one parsed
+expression.  The dictionary keys are the stems the measures are named after.
 """
 
 from __future__ import annotations
@@ -11,79 +11,63 @@ from pyspark.sql import functions as F
 
 from realmwatch.schemas import REQ_AS, REQ_TGS
 
-
-def _set(flag: str) -> Column:
-    return F.col(flag) == 1
-
-
-def _unset(flag: str) -> Column:
-    return F.col(flag) == 0
-
-
-def is_as() -> Column:
-    return F.col("req_type") == REQ_AS
-
-
-def is_tgs() -> Column:
-    return F.col("req_type") == REQ_TGS
-
-
-def client_address() -> dict[str, Column]:
-    kinds = {"weak": _set("list_weak"), "strong": _unset("list_weak"), "modern": _set("list_modern")}
-    types = {"as": is_as(), "tgs": is_tgs()}
-    return {f"{k}_{t}": types[t] & kinds[k] for k in kinds for t in types}
-
-
-def offered() -> dict[str, Column]:
-    """What a client's request offered."""
-    return {
-        "had_weak": _set("list_weak"),
-        "had_weakfirst": _set("list_too_weak"),
-        "had_strong": _set("list_modern"),
-        "had_strongonly": _unset("list_weak"),
-    }
-
-
-def received() -> dict[str, Column]:
-    """What a client's request got."""
-    return {
-        "got_weaksesskey": _set("session_weak"),
-        "got_weakreply": _set("reply_weak"),
-        "got_strongsesskey": _unset("session_weak"),
-        "got_strongreply": _unset("reply_weak"),
-        "got_strong": _unset("session_weak") & _unset("reply_weak"),
-    }
-
-
-def ticketed() -> dict[str, Column]:
-    """Keys of a ticket issued for a server."""
-    return {
-        "weaksesskey": _set("session_weak"),
-        "weakticketkey": _set("ticket_weak"),
-        "strongsesskey": _unset("session_weak"),
-        "strongticketkey": _unset("ticket_weak"),
-        "strong": _unset("session_weak") & _unset("ticket_weak"),
-    }
-
-
-def session_key() -> dict[str, Column]:
-    return {"weak_sess_key": _set("session_weak"), "strong_sess_key": _unset("session_weak")}
+IS_AS = f"req_type = {REQ_AS}"
+IS_TGS = f"req_type = {REQ_TGS}"
+
+# What an address asked for, by request type and strength of the offered list.
+CLIENT_ADDRESS = {
+    "weak_as": f"{IS_AS} AND list_weak = 1",
+    "weak_tgs": f"{IS_TGS} AND list_weak = 1",
+    "strong_as": f"{IS_AS} AND list_weak = 0",
+    "strong_tgs": f"{IS_TGS} AND list_weak = 0",
+    "modern_as": f"{IS_AS} AND list_modern = 1",
+    "modern_tgs": f"{IS_TGS} AND list_modern = 1",
+}
+# What a client's request offered.
+OFFERED = {
+    "had_weak": "list_weak = 1",
+    "had_weakfirst": "list_too_weak = 1",
+    "had_strong": "list_modern = 1",
+    "had_strongonly": "list_weak = 0",
+}
+# What a client's request got.
+RECEIVED = {
+    "got_weaksesskey": "session_weak = 1",
+    "got_weakreply": "reply_weak = 1",
+    "got_strongsesskey": "session_weak = 0",
+    "got_strongreply": "reply_weak = 0",
+    "got_strong": "session_weak = 0 AND reply_weak = 0",
+}
+# Keys of a ticket issued for a server.
+TICKETED = {
+    "weaksesskey": "session_weak = 1",
+    "weakticketkey": "ticket_weak = 1",
+    "strongsesskey": "session_weak = 0",
+    "strongticketkey": "ticket_weak = 0",
+    "strong": "session_weak = 0 AND ticket_weak = 0",
+}
+SESSION_KEY = {"weak_sess_key": "session_weak = 1", "strong_sess_key": "session_weak = 0"}
+
+
+def known(*roles: str) -> str:
+    """Rows whose enctypes in these roles are all in the reference data."""
+    return " AND ".join(f"{role}_weak IS NOT NULL" for role in roles)
 
 
-def known(*roles: str) -> Column:
-    """Rows whose enctypes in these roles are all in the reference data."""
-    found = F.lit(True)
-    for role in roles:
-        found = found & F.col(f"{role}_weak").isNotNull()
-    return found
+def both(*conditions: str) -> str:
+    return " AND ".join(f"({c})" for c in conditions)
 
 
-def latest(when: Column, time: str = "log_time") -> Column:
+def latest(when: str, time: str = "log_time") -> str:
     """Latest time among rows meeting the condition, 0 when there is none."""
-    never = F.lit(0).cast("bigint")
-    return F.coalesce(F.max(F.when(when, F.col(time)).otherwise(never)), never)
+    return f"coalesce(max(CASE WHEN {when} THEN {time} ELSE 0L END), 0L)"
 
 
-def tally(when: Column) -> Column:
+def tally(when: str) -> str:
     """Number of rows meeting the condition."""
-    return F.count(F.when(when, F.lit(1)))
+    return f"count(CASE WHEN {when} THEN 1 END)"
+
+
+def measures(named: dict[str, str]) -> list[Column]:
+    """Aggregate columns from their SQL text by name."""
+    return [F.expr(f"{text} AS {name}") for name, text in named.items()]

@@ -69,7 +69,7 @@ def with_role_flags(events: DataFrame, enctypes: DataFrame | None = None) -> Dat
     """`<role>_weak` for every role, NULL where the enctype is unknown; keeps all rows."""
     if enctypes is None:
         return events.withColumns(
-            {f"{role}_weak": en.enctype_is_weak(F.col(c)) for role, c in ROLES.items()}
+            {f"{role}_weak": en.enctype_is_weak(c) for role, c in ROLES.items()}
         )
     for role, column in ROLES.items():
         dim = enctypes.select(

@@ -7,102 +7,94 @@ Without a list or enctype table the flags are computed in place and nothing is j
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from realmwatch.operators import conditions as c
-from realmwatch.operators.joins import with_list_flags, with_role_flags
+from realmwatch.operators.joins import LIST_FLAGS, ROLES, with_list_flags, with_role_flags
 from realmwatch.schemas import CCS, CLIENT, PRINC, PRINC_MEASURES
 
+_ZERO = "0L"
 
-def _zero() -> Column:
-    return F.lit(0).cast("bigint")
+
+def _fill(fold: DataFrame, names: list[str]) -> DataFrame:
+    """The fold with every column of its table, 0 in those it does not own."""
+    have = set(fold.columns)
+    return fold.selectExpr(*[n if n in have else f"{_ZERO} AS {n}" for n in names])
 
 
 def client_last_seen(success: DataFrame, lists: DataFrame | None = None) -> DataFrame:
     """Per address: last success and last weak or strong offer by request type."""
-    met = c.client_address()
-    measures = {f"last_{k}": met[k] for k in met if not k.startswith("modern")}
-    return (
-        with_list_flags(success, lists)
-        .groupBy("ip")
-        .agg(
-            F.max("log_time").alias("last_success"),
-            _zero().alias("last_fail"),
-            *[c.latest(when).alias(name) for name, when in measures.items()],
-        )
-        .select(*CLIENT.names)
-    )
+    named = {"last_success": "max(log_time)"}
+    for stem, when in c.CLIENT_ADDRESS.items():
+        if f"last_{stem}" in CLIENT.names:
+            named[f"last_{stem}"] = c.latest(when)
+    fold = with_list_flags(success, lists).groupBy("ip").agg(*c.measures(named))
+    return _fill(fold, CLIENT.names)
 
 
 def client_last_fail(failure: DataFrame) -> DataFrame:
     """Per address: last failure, as a delta of the client table."""
-    fold = failure.groupBy("ip").agg(F.max("log_time").alias("last_fail"))
-    return _fill(fold, CLIENT.names)
+    return _fill(failure.groupBy("ip").agg(F.max("log_time").alias("last_fail")), CLIENT.names)
 
 
-def _fill(fold: DataFrame, names: list[str]) -> DataFrame:
-    """The fold with every column of its table, 0 in those it does not own."""
-    have = set(fold.columns)
-    return fold.select(*[F.col(n) if n in have else _zero().alias(n) for n in names])
+def _offer_measures(of: str) -> dict[str, str]:
+    return {f"lc_req_{k}": c.latest(c.both(of, when)) for k, when in c.OFFERED.items()}
 
 
-def _client_success_measures(of: Column) -> dict[str, Column]:
-    met = {**c.offered(), **c.received()}
+def _client_success_measures(of: str) -> dict[str, str]:
     return {
         "lc_auth": c.latest(of, "authtime"),
-        **{f"lc_req_{k}": c.latest(of & when) for k, when in met.items()},
+        **_offer_measures(of),
+        **{f"lc_req_{k}": c.latest(c.both(of, when)) for k, when in c.RECEIVED.items()},
     }
 
 
-def _server_success_measures(of: Column) -> dict[str, Column]:
+def _server_success_measures(of: str) -> dict[str, str]:
     return {
         "ls_ticket_issue": c.latest(of),
-        **{f"ls_ticket_{k}": c.latest(of & when) for k, when in c.ticketed().items()},
+        **{f"ls_ticket_{k}": c.latest(c.both(of, when)) for k, when in c.TICKETED.items()},
     }
 
 
-def _aliased(measures: dict[str, Column]) -> list[Column]:
-    return [column.alias(name) for name, column in measures.items()]
-
-
 def princ_client_success(
     success: DataFrame, lists: DataFrame | None = None, enctypes: DataFrame | None = None
 ) -> DataFrame:
     """Principals as clients of successful requests."""
-    rows = with_role_flags(with_list_flags(success, lists), enctypes)
+    named = {"last_used": "max(log_time)", **_client_success_measures("true")}
     return (
-        rows.where(c.known("reply", "session"))
+        with_role_flags(with_list_flags(success, lists), enctypes)
+        .where(c.known("reply", "session"))
         .groupBy(F.col("client_name").alias("name"))
-        .agg(F.max("log_time").alias("last_used"), *_aliased(_client_success_measures(F.lit(True))))
+        .agg(*c.measures(named))
     )
 
 
 def princ_server_success(success: DataFrame, enctypes: DataFrame | None = None) -> DataFrame:
     """Principals as servers of successful requests."""
+    named = {"last_used": "max(log_time)", **_server_success_measures("true")}
     return (
         with_role_flags(success, enctypes)
         .where(c.known("session", "ticket"))
         .groupBy(F.col("server_name").alias("name"))
-        .agg(F.max("log_time").alias("last_used"), *_aliased(_server_success_measures(F.lit(True))))
+        .agg(*c.measures(named))
     )
 
 
 def princ_client_fail(failure: DataFrame, lists: DataFrame | None = None) -> DataFrame:
     """Principals as clients of failed requests."""
-    met = {f"lc_req_{k}": c.latest(when) for k, when in c.offered().items()}
     return (
         with_list_flags(failure, lists)
-        .where(F.col("client_name").isNotNull())
+        .where("client_name IS NOT NULL")
         .groupBy(F.col("client_name").alias("name"))
-        .agg(F.max("log_time").alias("lc_fail"), *_aliased(met))
+        .agg(*c.measures({"lc_fail": "max(log_time)", **_offer_measures("true")}))
     )
 
 
 def princ_server_fail(failure: DataFrame) -> DataFrame:
     """Principals as servers of failed requests."""
     return (
-        failure.where(F.col("server_name").isNotNull())
+        failure.where("server_name IS NOT NULL")
         .groupBy(F.col("server_name").alias("name"))
         .agg(F.max("log_time").alias("ls_ticket_fail"))
     )
@@ -119,59 +111,49 @@ def princ_last_seen(
     Each event yields a row for its client and a row for its server; the conditions pick
     the measures that row may advance.
     """
-    flags = ["list_modern", "list_weak", "list_too_weak", "reply_weak", "session_weak", "ticket_weak"]
-    missing = {n: F.lit(None).cast("int").alias(n) for n in flags[3:]}
-
-    def tall(events: DataFrame, failed: int, roles: list[Column]) -> DataFrame:
-        party = F.explode(
-            F.array(
-                F.struct(F.lit(0).alias("as_server"), F.col("client_name").alias("name")),
-                F.struct(F.lit(1).alias("as_server"), F.col("server_name").alias("name")),
-            )
-        ).alias("party")
-        authtime = _zero().alias("authtime") if failed else F.col("authtime")
-        return events.select(
-            "log_time", authtime, *flags[:3], *roles, F.lit(failed).alias("failed"), party
-        ).select("*", "party.*").drop("party")
-
-    won = with_role_flags(with_list_flags(success, lists), enctypes)
-    won = tall(won, 0, [F.col(n) for n in flags[3:]])
-    own_keys = F.when(F.col("as_server") == 0, c.known("reply", "session")).otherwise(
-        c.known("session", "ticket")
+    list_flags, role_flags = list(LIST_FLAGS.values()), [f"{role}_weak" for role in ROLES]
+    parties = (
+        "inline(array(struct(false AS as_server, client_name AS name), "
+        "struct(true AS as_server, server_name AS name)))"
     )
-    lost = tall(with_list_flags(failure, lists), 1, list(missing.values()))
-    rows = won.where(own_keys).unionByName(lost).where(F.col("name").isNotNull())
-
-    failed, server = F.col("failed") == 1, F.col("as_server") == 1
-    measures = {
-        "last_used": c.latest(~failed),
-        **_client_success_measures(~failed & ~server),
-        **_server_success_measures(~failed & server),
-        "lc_fail": c.latest(failed & ~server),
-        "ls_ticket_fail": c.latest(failed & server),
+    won = (
+        with_role_flags(with_list_flags(success, lists), enctypes)
+        .selectExpr("false AS failed", "log_time", "authtime", *list_flags, *role_flags, parties)
+        .where(
+            f"(NOT as_server AND {c.known('reply', 'session')}) "
+            f"OR (as_server AND {c.known('session', 'ticket')})"
+        )
+    )
+    lost = with_list_flags(failure, lists).selectExpr(
+        "true AS failed", "log_time", f"{_ZERO} AS authtime", *list_flags,
+        *[f"CAST(NULL AS int) AS {n}" for n in role_flags], parties,
+    )
+    named = {
+        "last_used": c.latest("NOT failed"),
+        **_client_success_measures("NOT failed AND NOT as_server"),
+        **_server_success_measures("NOT failed AND as_server"),
+        "lc_fail": c.latest("failed AND NOT as_server"),
+        "ls_ticket_fail": c.latest("failed AND as_server"),
         # offers count for failed requests too
-        **{f"lc_req_{k}": c.latest(~server & when) for k, when in c.offered().items()},
+        **_offer_measures("NOT as_server"),
     }
-    return (
-        rows.groupBy("name")
-        .agg(*_aliased(measures))
-        .select("name", F.lit(None).cast("string").alias("host"), *PRINC_MEASURES)
-    )
+    rows = won.unionByName(lost).where("name IS NOT NULL")
+    return princ_delta(rows.groupBy("name").agg(*c.measures(named)))
 
 
 def princ_delta(fold: DataFrame) -> DataFrame:
-    """A single principal fold widened to the full principal table."""
+    """A principal fold widened to the full principal table."""
     filled = _fill(fold, ["name", *PRINC_MEASURES])
     return filled.withColumn("host", F.lit(None).cast("string")).select(*PRINC.names)
 
 
 def ccs_last_seen(success: DataFrame, enctypes: DataFrame | None = None) -> DataFrame:
     """Per address, client and server: last weak and last strong session key."""
-    met = {f"last_{k}": c.latest(when) for k, when in c.session_key().items()}
+    named = {f"last_{k}": c.latest(when) for k, when in c.SESSION_KEY.items()}
     return (
         with_role_flags(success, enctypes)
         .where(c.known("session"))
         .groupBy("ip", F.col("client_name").alias("cname"), F.col("server_name").alias("sname"))
-        .agg(*_aliased(met))
+        .agg(*c.measures(named))
         .select(*CCS.names)
     )

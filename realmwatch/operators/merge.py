@@ -5,9 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_MERGE = {"max": F.max, "min": F.min, "sum": F.sum}
-
-
 def upsert(
     state: DataFrame, delta: DataFrame, keys: list[str], how: dict[str, str] | str
 ) -> DataFrame:
@@ -25,13 +22,14 @@ def combine(rows: DataFrame, keys: list[str], how: dict[str, str] | str) -> Data
     measures = [c for c in rows.columns if c not in keys]
     rules = dict.fromkeys(measures, how) if isinstance(how, str) else how
 
-    def merged(name: str):
-        column = _MERGE[rules[name]](name)
+    def merged(name: str) -> str:
+        text = f"{rules[name]}({name})"
         if types[name] != "string":
-            column = F.coalesce(column, F.lit(0)).cast(types[name])
-        return column.alias(name)
+            text = f"CAST(coalesce({text}, 0) AS {types[name]})"
+        return f"{text} AS {name}"
 
-    return rows.groupBy(*keys).agg(*[merged(m) for m in measures]).select(*rows.columns)
+    aggregates = [F.expr(merged(m)) for m in measures]
+    return rows.groupBy(*keys).agg(*aggregates).select(*rows.columns)
 
 
 def slice_rules(columns: list[str], keys: list[str]) -> dict[str, str]:

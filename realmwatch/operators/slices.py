@@ -6,7 +6,7 @@ divided out when a slice table is read, from the counts summed so far.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from realmwatch.functions.times import day_start
@@ -28,12 +28,11 @@ KEYS = {
 }
 
 
-def _by_day(rows: DataFrame, keys: list[Column], measures: dict[str, Column]) -> DataFrame:
+def _by_day(rows: DataFrame, keys: list[str], counts: dict[str, str]) -> DataFrame:
     """One row per key and day, bounded by the first and last second of the day."""
+    named = {"nentries": "count(*)", **counts}
     start = day_start(F.col("log_time")).alias("starttime")
-    counted = rows.groupBy(*keys, start).agg(
-        F.count("*").alias("nentries"), *[m.alias(n) for n, m in measures.items()]
-    )
+    counted = rows.groupBy(*[F.expr(k) for k in keys], start).agg(*c.measures(named))
     return counted.withColumn("endtime", F.col("starttime") + (DAY_SECONDS - 1))
 
 
@@ -44,64 +43,59 @@ def client_slices(
 
     Takes success events, or failure events with is_success=0.
     """
-    counts = {f"n{k}": c.tally(when) for k, when in c.client_address().items()}
-    fold = _by_day(with_list_flags(events, lists), [F.col("ip")], counts)
+    counts = {f"n{k}": c.tally(when) for k, when in c.CLIENT_ADDRESS.items()}
+    fold = _by_day(with_list_flags(events, lists), ["ip"], counts)
     return fold.withColumn("is_success", F.lit(is_success)).select(*CLIENT_SLICES.names)
 
 
 def _princ_counts(fold: DataFrame) -> DataFrame:
     have = set(fold.columns)
-    zero = F.lit(0).cast("bigint")
-    return fold.select(*[F.col(n) if n in have else zero.alias(n) for n in PRINC_SLICES.names])
+    return fold.selectExpr(*[n if n in have else f"0L AS {n}" for n in PRINC_SLICES.names])
 
 
 def princ_slices(
     success: DataFrame, lists: DataFrame | None = None, enctypes: DataFrame | None = None
 ) -> DataFrame:
     """Per client principal and day: what its requests offered and got."""
-    rows = with_role_flags(with_list_flags(success, lists), enctypes).where(
-        c.known("reply", "session")
-    )
-    met = {**c.offered(), **c.received()}
-    counts = {"nauth": c.tally(c.is_as()), **{f"nreq_{k}": c.tally(w) for k, w in met.items()}}
-    return _princ_counts(_by_day(rows, [F.col("client_name").alias("name")], counts))
+    flagged = with_role_flags(with_list_flags(success, lists), enctypes)
+    met = {**c.OFFERED, **c.RECEIVED}
+    counts = {"nauth": c.tally(c.IS_AS), **{f"nreq_{k}": c.tally(w) for k, w in met.items()}}
+    rows = flagged.where(c.known("reply", "session"))
+    return _princ_counts(_by_day(rows, ["client_name AS name"], counts))
 
 
 def princ_fail_slices(failure: DataFrame) -> DataFrame:
     """Per client principal and day: failed requests."""
-    rows = failure.where(F.col("client_name").isNotNull())
-    counts = {"nfail": F.count("*")}
-    return _princ_counts(_by_day(rows, [F.col("client_name").alias("name")], counts))
+    rows = failure.where("client_name IS NOT NULL")
+    return _princ_counts(_by_day(rows, ["client_name AS name"], {"nfail": "count(*)"}))
 
 
 def ticket_slices(
     success: DataFrame, failure: DataFrame, enctypes: DataFrame | None = None
 ) -> DataFrame:
     """Per server principal and day: tickets issued and refused, and their keys."""
-    flags = ["session_weak", "ticket_weak"]
     issued = with_role_flags(success, enctypes).where(c.known("session", "ticket"))
-    refused = failure.where(F.col("server_name").isNotNull())
-    for flag in flags:
-        refused = refused.withColumn(flag, F.lit(None).cast("int"))
-    columns = ["server_name", "log_time", *flags]
-    rows = (
-        issued.select(*columns, F.lit(0).alias("failed"))
-        .unionByName(refused.select(*columns, F.lit(1).alias("failed")))
+    rows = issued.selectExpr(
+        "server_name", "log_time", "session_weak", "ticket_weak", "false AS failed"
+    ).unionByName(
+        failure.where("server_name IS NOT NULL").selectExpr(
+            "server_name", "log_time", "CAST(NULL AS int) AS session_weak",
+            "CAST(NULL AS int) AS ticket_weak", "true AS failed",
+        )
     )
-    failed = F.col("failed") == 1
     counts = {
-        "nticket_issue": c.tally(~failed),
-        "nticket_fail": c.tally(failed),
-        **{f"nticket_{k}": c.tally(when) for k, when in c.ticketed().items()},
+        "nticket_issue": c.tally("NOT failed"),
+        "nticket_fail": c.tally("failed"),
+        **{f"nticket_{k}": c.tally(when) for k, when in c.TICKETED.items()},
     }
-    return _princ_counts(_by_day(rows, [F.col("server_name").alias("name")], counts))
+    return _princ_counts(_by_day(rows, ["server_name AS name"], counts))
 
 
 def ccs_slices(success: DataFrame, enctypes: DataFrame | None = None) -> DataFrame:
     """Per address, client, server and day: weak and strong session keys."""
     rows = with_role_flags(success, enctypes).where(c.known("session"))
-    keys = [F.col("ip"), F.col("client_name").alias("cname"), F.col("server_name").alias("sname")]
-    counts = {f"nlast_{k}": c.tally(when) for k, when in c.session_key().items()}
+    keys = ["ip", "client_name AS cname", "server_name AS sname"]
+    counts = {f"nlast_{k}": c.tally(when) for k, when in c.SESSION_KEY.items()}
     return _by_day(rows, keys, counts).select(*CCS_SLICES.names)
 
 
@@ -117,15 +111,8 @@ def slice_rates(slices: DataFrame, unfilled: list[str] = ()) -> DataFrame:
     rated = [
         n for n in slices.columns if n.startswith("n") and n not in ("name", "nentries", "nauth", "nfail")
     ]
-    entries = F.col("nentries").cast("double")
-    return slices.select(
-        "*",
-        *[
-            (F.lit(None).cast("double") if n in unfilled else F.col(n).cast("double") / entries)
-            .alias(rate_name(n))
-            for n in rated
-        ],
-    )
+    share = {n: "CAST(NULL AS double)" if n in unfilled else f"double({n}) / double(nentries)" for n in rated}
+    return slices.selectExpr("*", *[f"{text} AS {rate_name(n)}" for n, text in share.items()])
 
 
 def princ_request_rates(slices: DataFrame) -> DataFrame:

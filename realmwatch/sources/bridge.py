@@ -7,7 +7,7 @@ Everything is an expression per row: the log grows with the table.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from realmwatch.functions.enctypes import canonical_list
@@ -23,12 +23,10 @@ REALM = "EXAMPLE.COM"
 BATCH_SPLIT = "TIMESTAMP_NTZ'2024-01-16 00:00:00'"
 
 
-def _pick(values: list, index: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), index.cast("int") + 1)
-
-
-def _cycle(values: list, number: Column) -> Column:
-    return _pick(values, number % len(values))
+def _cycle(values: list, number: str = "event_id") -> str:
+    """SQL text that picks one of the values by a number."""
+    items = ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in values)
+    return f"element_at(array({items}), CAST({number} % {len(values)} AS int) + 1)"
 
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,32 +35,30 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def log_events(events: DataFrame) -> DataFrame:
     """Log events with the columns of both event tables, `event_id` and `ts`."""
-    eid, uid, kind = F.col("event_id"), F.col("user_id"), F.col("event_type")
-    epoch = F.expr("timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)")
-    is_as, failed = kind.isin("signup", "view"), kind == "error"
-    even = eid % 2 == 0
-    tgs_server = F.when(eid % 3 == 0, f"krbtgt/OTHER.COM@{REALM}").otherwise(
-        F.concat(F.lit("host/h"), eid % 11, F.lit(f".example.com@{REALM}"))
-    )
+    epoch = "timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)"
     columns = {
         "log_time": epoch,
-        "kdc": F.concat(F.lit("kdc"), eid % 3),
-        "ip": F.concat(F.lit("10.0."), uid % 7, F.lit("."), uid % 50),
-        "req_type": F.when(is_as, REQ_AS).otherwise(REQ_TGS),
-        "req_enctypes": canonical_list(_cycle(LISTS, eid)),
-        "req_enctypes_orig": _cycle(LISTS, eid),
-        "authtime": epoch - epoch % 36000,
-        "client_name": F.concat(F.lit("u"), uid, F.lit(f"@{REALM}")),
-        "server_name": F.when(is_as, f"krbtgt/{REALM}@{REALM}").otherwise(tgs_server),
-        "reply_enctype": _cycle(REPLY, eid),
-        "ticket_enctype": _cycle(TICKET, eid),
-        "session_enctype": _cycle(SESSION, eid),
-        "code": F.when(~failed, "ISSUE").when(even, "NEEDED_PREAUTH").otherwise("CLIENT_NOT_FOUND"),
-        "reason": F.when(even, "Additional pre-authentication required").otherwise(
-            "Client not found in Kerberos database"
-        ),
+        "kdc": "concat('kdc', event_id % 3)",
+        "ip": "concat('10.0.', user_id % 7, '.', user_id % 50)",
+        "req_type": f"CASE WHEN event_type IN ('signup', 'view') THEN {REQ_AS} ELSE {REQ_TGS} END",
+        "req_enctypes_orig": _cycle(LISTS),
+        "authtime": f"{epoch} - {epoch} % 36000",
+        "client_name": f"concat('u', user_id, '@{REALM}')",
+        "server_name": f"""CASE WHEN event_type IN ('signup', 'view') THEN 'krbtgt/{REALM}@{REALM}'
+            WHEN event_id % 3 = 0 THEN 'krbtgt/OTHER.COM@{REALM}'
+            ELSE concat('host/h', event_id % 11, '.example.com@{REALM}') END""",
+        "reply_enctype": _cycle(REPLY),
+        "ticket_enctype": _cycle(TICKET),
+        "session_enctype": _cycle(SESSION),
+        "code": """CASE WHEN event_type <> 'error' THEN 'ISSUE'
+            WHEN event_id % 2 = 0 THEN 'NEEDED_PREAUTH' ELSE 'CLIENT_NOT_FOUND' END""",
+        "reason": """CASE WHEN event_id % 2 = 0 THEN 'Additional pre-authentication required'
+            ELSE 'Client not found in Kerberos database' END""",
     }
-    return events.select("event_id", "user_id", "ts", *[c.alias(n) for n, c in columns.items()])
+    projected = events.selectExpr(
+        "event_id", "user_id", "ts", *[f"{text} AS {name}" for name, text in columns.items()]
+    )
+    return projected.withColumn("req_enctypes", canonical_list(F.col("req_enctypes_orig")))
 
 
 def varied_lists(log: DataFrame) -> DataFrame:
@@ -70,18 +66,12 @@ def varied_lists(log: DataFrame) -> DataFrame:
 
     They hold zero to five enctypes: known, unknown, negative and repeated ones.
     """
-    eid, uid = F.col("event_id"), F.col("user_id")
-    picks = F.array(
-        eid % 26,
-        F.when(eid % 3 == 0, eid % 26).otherwise(uid % 25),
-        (eid * 7 + uid) % 27,
-        -(F.lit(4094) + eid % 9),
-        F.lit(16) + uid % 9,
-    )
-    listing = F.concat_ws(" ", F.slice(picks, F.lit(1), (eid % 6).cast("int")).cast("array<string>"))
-    return log.withColumn("req_enctypes_orig", listing).withColumn(
-        "req_enctypes", F.when(listing == "", "0").otherwise(canonical_list(listing))
-    )
+    picks = """array(event_id % 26, CASE WHEN event_id % 3 = 0 THEN event_id % 26 ELSE user_id % 25 END,
+        (event_id * 7 + user_id) % 27, -(4094 + event_id % 9), 16 + user_id % 9)"""
+    listing = F.expr(f"array_join(CAST(slice({picks}, 1, CAST(event_id % 6 AS int)) AS array<string>), ' ')")
+    varied = log.withColumn("req_enctypes_orig", listing)
+    orig = F.col("req_enctypes_orig")
+    return varied.withColumn("req_enctypes", F.when(orig == "", "0").otherwise(canonical_list(orig)))
 
 
 def unknown_session_keys(log: DataFrame) -> DataFrame:
@@ -114,88 +104,61 @@ def newer(log: DataFrame) -> DataFrame:
     return log.where(F.expr(f"ts >= {BATCH_SPLIT}"))
 
 
-def iso_stamp() -> Column:
-    return F.replace(F.substring(F.col("ts").cast("string"), 1, 19), F.lit(" "), F.lit("T"))
-
+ISO = "replace(substring(CAST(ts AS string), 1, 19), ' ', 'T')"
 
-def line_text(**parts: Column) -> Column:
-    """The raw line of a log event; any part of it can be given another text."""
 
-    def part(name: str) -> Column:
-        return parts.get(name, F.col(name).cast("string"))
-
-    def text(*pieces) -> Column:
-        return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in pieces])
-
-    stamp = parts.get("stamp", F.concat(iso_stamp(), F.lit("+0000")))
-    kind = F.when(F.col("req_type") == REQ_AS, "AS_REQ").otherwise("TGS_REQ")
-    offered = part("req_enctypes_orig")
-    head = text(
-        stamp, " ", part("kdc"), " krb5kdc[", (F.col("event_id") % 100).cast("string"), "](info): ",
-        kind, " (", F.size(F.split(offered, " ")).cast("string"), " etypes {", offered, "}) ",
-        part("ip"), ": ", part("code"), ": ",
-    )
-    parties = text(part("client_name"), " for ", part("server_name"))
-    issued = text(
-        "authtime ", part("authtime"), ", etypes {rep=", part("reply_enctype"),
-        " tkt=", part("ticket_enctype"), " ses=", part("session_enctype"), "}, ", parties,
-    )
-    refused = text(parties, ", ", part("reason"))
-    return F.concat(head, F.when(F.col("code") == "ISSUE", issued).otherwise(refused))
+def line_text(**parts: str) -> str:
+    """SQL text for the raw line of a log event; any part can be given another text."""
+    part = {n: parts.get(n, n) for n in {*SUCCESS.names, *FAILURE.names}}
+    stamp = parts.get("stamp", f"{ISO}, '+0000'")
+    offered = part["req_enctypes_orig"]
+    parties = f"{part['client_name']}, ' for ', {part['server_name']}"
+    return f"""concat({stamp}, ' ', {part['kdc']}, ' krb5kdc[', event_id % 100, '](info): ',
+        CASE WHEN req_type = {REQ_AS} THEN 'AS_REQ' ELSE 'TGS_REQ' END,
+        ' (', size(split({offered}, ' ')), ' etypes {{', {offered}, '}}) ', {part['ip']}, ': ', code, ': ',
+        CASE WHEN code = 'ISSUE' THEN concat('authtime ', {part['authtime']},
+            ', etypes {{rep=', {part['reply_enctype']}, ' tkt=', {part['ticket_enctype']},
+            ' ses=', {part['session_enctype']}, '}}, ', {parties})
+        ELSE concat({parties}, ', ', {part['reason']}) END)"""
 
 
 def raw_lines(log: DataFrame) -> DataFrame:
     """One raw line per log event, beside its event_id."""
-    return log.select("event_id", line_text().alias("value"))
+    return log.selectExpr("event_id", f"{line_text()} AS value")
 
 
 def noisy_lines(log: DataFrame) -> DataFrame:
     """Raw lines with a line of another daemon and a local-realm request after each."""
-    other = F.concat(
-        iso_stamp(), F.lit("+0000 "), F.col("kdc"), F.lit(" sshd[7]: Accepted publickey for "),
-        F.col("client_name"),
-    )
-    local = F.concat(
-        iso_stamp(), F.lit("+0000 "), F.col("kdc"),
-        F.when(F.col("event_id") % 2 == 0, " krb5kdc[1](info): TGS_REQ (1 etypes {18}) ")
-        .otherwise(" krb5kdc[1](info): AS_REQ (1 etypes {18}) "),
-        F.col("ip"), F.lit(": ISSUE: authtime 1, etypes {rep=18 tkt=18 ses=18}, "), F.col("client_name"),
-        F.when(F.col("event_id") % 4 == 0, " for krbtgt/EX@EX.COM")
-        .otherwise(f" for krbtgt/{REALM}@{REALM}"),
-    )
-    return log.select(F.explode(F.array(line_text(), other, local)).alias("value"))
+    other = f"concat({ISO}, '+0000 ', kdc, ' sshd[7]: Accepted publickey for ', client_name)"
+    local = f"""concat({ISO}, '+0000 ', kdc, ' krb5kdc[1](info): ',
+        CASE WHEN event_id % 2 = 0 THEN 'TGS_REQ' ELSE 'AS_REQ' END, ' (1 etypes {{18}}) ', ip,
+        ': ISSUE: authtime 1, etypes {{rep=18 tkt=18 ses=18}}, ', client_name, ' for ',
+        CASE WHEN event_id % 4 = 0 THEN 'krbtgt/EX@EX.COM' ELSE 'krbtgt/{REALM}@{REALM}' END)"""
+    return log.selectExpr(f"explode(array({line_text()}, {other}, {local})) AS value")
 
 
 def soiled_lines(log: DataFrame) -> DataFrame:
     """Raw lines with stray quotes, percent signs and words where numbers belong."""
-    eid = F.col("event_id")
 
-    def sometimes(name: str, modulus: int, text: str) -> Column:
-        return F.when(eid % modulus == 0, text).otherwise(F.col(name).cast("string"))
+    def sometimes(name: str, modulus: int, text: str) -> str:
+        return f"CASE WHEN event_id % {modulus} = 0 THEN '{text}' ELSE CAST({name} AS string) END"
 
     line = line_text(
-        client_name=F.concat(F.lit("'%"), F.col("client_name")),
-        server_name=F.concat(F.col("server_name"), F.lit("'")),
-        reason=F.concat(F.lit("100% "), F.col("reason")),
-        kdc=F.concat(F.lit("k%"), F.col("kdc")),
+        client_name='"\'%", client_name',
+        server_name='server_name, "\'"',
+        reason="'100% ', reason",
+        kdc="'k%', kdc",
         req_enctypes_orig=sometimes("req_enctypes_orig", 7, "18,17"),
         authtime=sometimes("authtime", 5, "unknown"),
         reply_enctype=sometimes("reply_enctype", 6, "x9"),
         session_enctype=sometimes("session_enctype", 11, "99999999999"),
     )
-    return log.select("event_id", line.alias("value"))
+    return log.selectExpr("event_id", f"{line} AS value")
 
 
 def broken_lines(log: DataFrame) -> DataFrame:
     """Raw lines of which two in three are damaged, each in one of four ways."""
-    eid = F.col("event_id")
-    whole = line_text()
-    syslog = line_text(stamp=F.date_format(F.col("ts").cast("timestamp_ntz").cast("date"), "MMM dd"))
-    line = (
-        F.when(eid % 6 == 0, syslog)
-        .when(eid % 6 == 1, F.concat(iso_stamp(), F.lit(" "), F.col("client_name")))
-        .when(eid % 6 == 2, line_text(req_enctypes_orig=F.lit("")))
-        .when(eid % 6 == 3, "")
-        .otherwise(whole)
-    )
-    return log.select("event_id", line.alias("value"))
+    syslog = line_text(stamp="date_format(CAST(ts AS date), 'MMM dd')")
+    line = f"""CASE event_id % 6 WHEN 0 THEN {syslog} WHEN 1 THEN concat({ISO}, ' ', client_name)
+        WHEN 2 THEN {line_text(req_enctypes_orig="''")} WHEN 3 THEN '' ELSE {line_text()} END"""
+    return log.selectExpr("event_id", f"{line} AS value")

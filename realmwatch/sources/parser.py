@@ -21,7 +21,7 @@ MARK = "\x01"
 
 # Named parts of a line.  A numeric part has an empty group when its text is no number.
 _TIME = r"(?<stamp>\d{4}-\d\d-\d\dT[\d:.]+)(?<offset>Z|[-+]\d\d:?\d\d)?"
-_HEADER = _TIME + r" (?:.*? )?(?<kdc>\S+) (?:krb|old|dmz|afsdmz)5kdc[^ ]*: "
+_HEADER = _TIME + r" (?:.*? )??(?<kdc>\S+) (?:krb|old|dmz|afsdmz)5kdc[^ ]*: "
 _REQUEST = (
     r"(?<type>\S+) \(\S+ etypes \{(?<orig>(?<numbers>[-0-9 ]*)|[^}]*)\}\) (?<ip>\S+): "
 )
@@ -79,7 +79,8 @@ def parse_events(raw: DataFrame) -> DataFrame:
     Columns of the input other than `value` are carried along.  A rejected line keeps its
     text in `value`; so does an accepted line that has something to report.
     """
-    line = F.translate("value", MARK, "")
+    value = F.col("value")
+    line = F.when(value.contains(MARK), F.translate(value, MARK, "")).otherwise(value)
     spliced = F.split(F.regexp_replace(line, LINE, MARK.join(_PARTS.values())), MARK)
     kept = [c for c in raw.columns if c != "value"]
     split_once = raw.select(*kept, "value", F.explode(F.array(spliced)).alias("part"))

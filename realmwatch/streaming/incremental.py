@@ -75,14 +75,13 @@ def native_client_slices(success: DataFrame, days: int) -> DataFrame:
     A day is emitted once, when the newest event is more than `days` days past its end;
     until then late events still join it, after that they are dropped.
     """
-    met = c.client_address()
     day = F.window("ts", f"{DAY_SECONDS} seconds").alias("day")
-    counts = [c.tally(when).alias(f"n{k}") for k, when in met.items()]
+    named = {f"n{k}": c.tally(when) for k, when in c.CLIENT_ADDRESS.items()}
     sliced = (
         with_list_flags(success.withColumn("ts", F.timestamp_seconds("log_time")))
         .withWatermark("ts", f"{days} days")
         .groupBy("ip", day)
-        .agg(F.count("*").alias("nentries"), *counts)
+        .agg(*c.measures({"nentries": "count(*)", **named}))
     )
     start = day_start(F.unix_seconds("day.start"))
     return (
