@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from realmwatch.operators import last_seen, slices
@@ -45,11 +47,21 @@ def summary_deltas(
 
 
 def fold_into(store: SummaryStore, batch_id: str, deltas: dict[str, DataFrame]) -> bool:
-    """Write and commit a batch; False when it had been committed before."""
+    """Write and commit a batch; False when it had been committed before.
+
+    The tables do not depend on each other, so their jobs are submitted together and share
+    the cluster; the commit waits for all of them.
+    """
     if store.is_committed(batch_id):
         return False
-    for name in deltas:
+
+    @inheritable_thread_target(store.spark)
+    def write(name: str) -> None:
         store.write_delta(name, deltas[name], batch_id)
+
+    with ThreadPoolExecutor(len(deltas)) as pool:
+        for done in [pool.submit(write, name) for name in deltas]:
+            done.result()
     store.commit(batch_id)
     return True
 

@@ -182,8 +182,8 @@ def list_flags(spark, sf_dir):
 
 @query
 def join_lists(spark, sf_dir):
-    success, failure = _success(spark, sf_dir), _failure(spark, sf_dir)
-    dim = lists.list_flags(lists.discover_lists(success, failure))
+    success = _success(spark, sf_dir)
+    dim = lists.list_flags(lists.discover_lists(success))
     joined = joins.join_lists(success, joins.broadcast_if_small(dim))
     return joined.select("event_id", "list_modern", "list_weak", "list_too_weak")
 

@@ -56,7 +56,7 @@ def log_events(events: DataFrame) -> DataFrame:
             ELSE 'Client not found in Kerberos database' END""",
     }
     projected = events.selectExpr(
-        "event_id", "user_id", "ts", *[f"{text} AS {name}" for name, text in columns.items()]
+        "event_id", "user_id", "ts", "event_type", *[f"{text} AS {name}" for name, text in columns.items()]
     )
     return projected.withColumn("req_enctypes", canonical_list(F.col("req_enctypes_orig")))
 
@@ -89,11 +89,11 @@ def unknown_reply_keys(log: DataFrame) -> DataFrame:
 
 
 def success_events(log: DataFrame) -> DataFrame:
-    return log.where("code = 'ISSUE'").select("event_id", "ts", *SUCCESS.names)
+    return log.where("event_type <> 'error'").select("event_id", "ts", *SUCCESS.names)
 
 
 def failure_events(log: DataFrame) -> DataFrame:
-    return log.where("code <> 'ISSUE'").select("event_id", "ts", *FAILURE.names)
+    return log.where("event_type = 'error'").select("event_id", "ts", *FAILURE.names)
 
 
 def older(log: DataFrame) -> DataFrame:
