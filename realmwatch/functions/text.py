@@ -20,9 +20,10 @@ def clean(text: Column) -> Column:
 def number_or_zero(text: Column, dtype: str) -> Column:
     """Integer value of a run of digits with an optional sign, 0 for an empty text.
 
-    A number the type cannot hold counts as none.
+    A number the type cannot hold counts as none.  Empty texts never reach the cast, which
+    would raise and catch an error for each.
     """
-    return F.coalesce(text.try_cast(dtype), F.lit(0).cast(dtype))
+    return F.coalesce(F.when(text != "", text.try_cast(dtype)), F.lit(0).cast(dtype))
 
 
 def principal_host(name: Column) -> Column:

@@ -13,9 +13,8 @@ from realmwatch.operators import audit, joins, last_seen, lists, merge, slices,
 from realmwatch.plans.folders import scratch_dir
 from realmwatch.plans.store import TABLES, SummaryStore
 from realmwatch.plans.views import register_views
-from realmwatch.schemas import SUCCESS
 from realmwatch.sources import bridge, logs, parser
-from realmwatch.sources.tables import union_logs
+from realmwatch.sources.tables import read_logs, union_logs
 from realmwatch.streaming.incremental import parse_stream, run_incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -373,9 +372,7 @@ def stream_parse(spark, sf_dir):
     root = scratch_dir(spark, "parse")
     path = _lines_in(root, "lines", _log(spark, sf_dir))
     parse_stream(logs.scan_stream(spark, path), f"{root}/events", f"{root}/checkpoint").awaitTermination()
-    return spark.read.parquet(f"{root}/events").where(
-        F.col("outcome") == parser.SUCCEEDED
-    ).select(*SUCCESS.names)
+    return read_logs(spark, f"{root}/events").success
 
 
 @query

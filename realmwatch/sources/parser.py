@@ -87,24 +87,14 @@ def parse_events(raw: DataFrame) -> DataFrame:
 
     part = {name: F.get("part", F.lit(i)) for i, name in enumerate(_PARTS)}
     matched = (F.size("part") == len(_PARTS)) & part["parties"].contains(_BETWEEN)
-    log_time = iso_epoch(part["stamp"], part["offset"])
     listing = _single_spaced(part["numbers"])
-    issued = part["code"] == ""
-    # A line whose body fits the pattern but whose clock does not is told apart from one
-    # that never had an ISO time to begin with only by its report text.
-    has_tag = F.col("value").rlike(r"^\S+ .*(?:krb|old|dmz|afsdmz)5kdc[^ ]*: ")
-    iso_start = F.col("value").rlike(r"^\d{4}-\d\d-\d\dT")
-    problem = (
-        F.when(~matched, F.when(has_tag & ~iso_start, NO_TIME).otherwise(MALFORMED))
-        .when(log_time.isNull(), NO_TIME)
-        .when(part["orig"] == "", EMPTY_LIST)
-    )
     columns = {
-        "log_time": log_time,
+        "matched": matched,
+        "log_time": F.when(matched, iso_epoch(part["stamp"], part["offset"])),
         "kdc": clean(part["kdc"]),
         "ip": part["ip"],
         "req_type": F.when(clean(part["type"]) == "AS_REQ", REQ_AS).otherwise(REQ_TGS),
-        "code": F.when(issued, "ISSUE").otherwise(clean(part["code"])),
+        "code": F.when(part["code"] == "", "ISSUE").otherwise(clean(part["code"])),
         "req_enctypes": F.when(listing == "", "0").otherwise(canonical_list(listing)),
         "req_enctypes_orig": _single_spaced(part["orig"]),
         "authtime": number_or_zero(part["authtime"], "bigint"),
@@ -114,12 +104,28 @@ def parse_events(raw: DataFrame) -> DataFrame:
         "ticket_enctype": number_or_zero(part["tkt"], "int"),
         "session_enctype": number_or_zero(part["ses"], "int"),
         "reason": clean(part["reason"]),
-        "problem": problem,
-        "outcome": F.when(~matched | log_time.isNull(), REJECTED)
-        .when(issued, SUCCEEDED)
-        .otherwise(FAILED),
     }
-    return split_once.select(*kept, "value", *[c.alias(n) for n, c in columns.items()])
+    fields = split_once.select(*kept, "value", *[c.alias(n) for n, c in columns.items()])
+    return fields.withColumns({"problem": _problem(), "outcome": _outcome()}).drop("matched")
+
+
+def _problem() -> Column:
+    """A line of a KDC whose first word is no ISO time is told apart from other text."""
+    tagged = F.col("value").rlike(r"^\S+ .*(?:krb|old|dmz|afsdmz)5kdc[^ ]*: ")
+    iso = F.col("value").rlike(r"^\d{4}-\d\d-\d\dT")
+    return (
+        F.when(~F.col("matched"), F.when(tagged & ~iso, NO_TIME).otherwise(MALFORMED))
+        .when(F.col("log_time").isNull(), NO_TIME)
+        .when(F.col("req_enctypes_orig") == "", EMPTY_LIST)
+    )
+
+
+def _outcome() -> Column:
+    return (
+        F.when(F.col("log_time").isNull(), REJECTED)
+        .when(F.col("code") == "ISSUE", SUCCEEDED)
+        .otherwise(FAILED)
+    )
 
 
 def successes(events: DataFrame) -> DataFrame:

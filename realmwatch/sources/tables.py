@@ -19,20 +19,29 @@ _STORED = T.StructType(
 )
 
 
-def write_events(events: DataFrame, path: str, mode: str = "append") -> None:
-    """Write a parsed table in one pass over its lines, without a shuffle.
+PARTITIONS = ["outcome", "day"]
+
 
-    Log files are close to time order, so a task meets few days.  Lines without a time go
-    to the day 'none'.  A rejected line keeps its text, an unremarkable event does not.
+def stored_form(events: DataFrame) -> DataFrame:
+    """A parsed table as it is stored: with its day, and text only where it is reported.
+
+    Lines without a time go to the day 'none'.
     """
     carried = [c for c in events.columns if c not in _STORED.names]
-    slim = events.select(
+    return events.select(
         *carried,
         *[c for c in _STORED.names if c not in ("value", "day")],
         F.when(F.col("problem").isNotNull(), F.col("value")).alias("value"),
         F.coalesce(day_label(F.col("log_time")), F.lit("none")).alias("day"),
     )
-    slim.write.mode(mode).partitionBy("outcome", "day").parquet(path)
+
+
+def write_events(events: DataFrame, path: str, mode: str = "append") -> None:
+    """Write a parsed table in one pass over its lines, without a shuffle.
+
+    Log files are close to time order, so a task meets few days.
+    """
+    stored_form(events).write.mode(mode).partitionBy(*PARTITIONS).parquet(path)
 
 
 def read_events(spark: SparkSession, path: str) -> DataFrame:
@@ -42,10 +51,9 @@ def read_events(spark: SparkSession, path: str) -> DataFrame:
 def read_logs(spark: SparkSession, path: str) -> parser.ParsedLogs:
     """The three tables of a written log; outcome and day filters prune partitions."""
     events = read_events(spark, path)
-    drop = "day"
     return parser.ParsedLogs(
-        parser.successes(events).drop(drop),
-        parser.failures(events).drop(drop),
+        parser.successes(events).drop("day"),
+        parser.failures(events).drop("day"),
         parser.rejects(events),
     )
 

@@ -13,7 +13,7 @@ from realmwatch.operators.joins import with_list_flags
 from realmwatch.plans.batch import fold_into, summary_deltas
 from realmwatch.plans.store import SummaryStore
 from realmwatch.schemas import CLIENT_SLICES, DAY_SECONDS
-from realmwatch.sources import logs, parser
+from realmwatch.sources import logs, parser, tables
 
 
 def run_incremental(
@@ -24,6 +24,7 @@ def run_incremental(
     every: str | None = None,
     compact_every: int | None = None,
     days: int | None = None,
+    rejects_path: str | None = None,
     **extras: bool,
 ) -> StreamingQuery:
     """Parse, fold and discard each micro-batch; data of any age joins its own day.
@@ -32,16 +33,20 @@ def run_incremental(
     replayed after a failure is written once.  `every` is a processing-time interval;
     without it the stream ends when the input present at the start is used up.  Every
     `compact_every` batches the store is compacted; with `days` that drops the slices
-    older than so many days before the newest one.
+    older than so many days before the newest one.  Lines with something to report are
+    written under `rejects_path`, by batch.
     """
 
     def fold(batch: DataFrame, number: int) -> None:
         batch_id = f"{name}-{number:010d}"
         if store.is_committed(batch_id):
             return
-        events = parser.parse_events(logs.drop_local_tgt(batch))
-        events = events.persist(StorageLevel.MEMORY_AND_DISK)
+        parsed = parser.parse_events(logs.drop_local_tgt(batch))
+        events = tables.stored_form(parsed).persist(StorageLevel.MEMORY_AND_DISK)
         try:
+            if rejects_path:
+                reports = parser.rejects(events).write.mode("overwrite")
+                reports.parquet(f"{rejects_path}/batch_id={batch_id}")
             success, failure = parser.successes(events), parser.failures(events)
             fold_into(store, batch_id, summary_deltas(success, failure, **extras))
         finally:
@@ -57,13 +62,13 @@ def run_incremental(
 
 
 def parse_stream(lines: DataFrame, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
-    """Append parsed lines to a table partitioned by outcome, with no state."""
-    events = parser.parse_events(logs.drop_local_tgt(lines))
-    writer = events.writeStream.format("parquet").option("path", path)
+    """Append parsed lines to an event table, with no state; sources.tables reads it."""
+    parsed = parser.parse_events(logs.drop_local_tgt(lines))
+    writer = tables.stored_form(parsed).writeStream.format("parquet").option("path", path)
     trigger = {"processingTime": every} if every else {"availableNow": True}
     return (
         writer.option("checkpointLocation", checkpoint)
-        .partitionBy("outcome")
+        .partitionBy(*tables.PARTITIONS)
         .trigger(**trigger)
         .start()
     )

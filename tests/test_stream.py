@@ -6,7 +6,8 @@ from conftest import rows
 from realmwatch.operators import slices
 from realmwatch.plans.batch import summary_deltas
 from realmwatch.plans.store import TABLES, SummaryStore
-from realmwatch.sources import bridge, logs, parser
+from realmwatch.sources import bridge, logs, tables
+from realmwatch.sources.parser import parse_events, rejects
 from realmwatch.streaming import incremental
 
 
@@ -86,8 +87,7 @@ def test_compaction_and_retention_on_the_way(spark, folder, want, success, tmp_p
 def test_stream_parse(spark, folder, success, tmp_path):
     path = str(tmp_path / "events")
     incremental.parse_stream(logs.scan_stream(spark, folder), path, str(tmp_path / "cp")).awaitTermination()
-    got = parser.successes(spark.read.parquet(path))
-    assert rows(got) == rows(success.drop("event_id", "ts"))
+    assert rows(tables.read_logs(spark, path).success) == rows(success.drop("event_id", "ts"))
 
 
 def test_native_slices_emit_closed_days(spark, success, tmp_path):
@@ -106,8 +106,9 @@ def test_native_slices_emit_closed_days(spark, success, tmp_path):
     assert rows(spark.read.parquet(out)) == rows(whole) != []
 
 
-def test_late_events_join_their_day(spark, folder, want, tmp_path):
-    """The files hold the newest events first, so most batches are late for all days."""
-    store = SummaryStore(spark, str(tmp_path / "store"))
-    run(spark, folder, store, tmp_path)
-    assert contents(store, TABLES.keys() & want.keys()) == want
+def test_reports_are_written_by_batch(spark, log, tmp_path):
+    bridge.broken_lines(log).select("value").write.text(str(tmp_path / "lines"))
+    store, reports = SummaryStore(spark, str(tmp_path / "store")), str(tmp_path / "reports")
+    run(spark, str(tmp_path / "lines"), store, tmp_path, rejects_path=reports)
+    got = spark.read.parquet(reports).select("line", "reason", "kept")
+    assert rows(got) == rows(rejects(parse_events(bridge.broken_lines(log)))) != []
