@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from realmwatch.operators import last_seen, slices
 from realmwatch.operators.lists import discover_lists, list_flags
 from realmwatch.operators.merge import upsert
+from realmwatch.plans.folders import Folder
 from realmwatch.plans.store import SummaryStore
 from realmwatch.sources import logs, parser, tables
 
@@ -72,16 +73,21 @@ def run_batch(
     events_path: str,
     store: SummaryStore,
     batch_id: str,
+    discard: bool = False,
     **extras: bool,
 ) -> bool:
     """Load log files, then fold their events into the store under a batch id.
 
     Lines are parsed once, on the way to `events_path`; the folds read that table with
-    only the columns they need.  Loading the same batch id again changes nothing.
+    only the columns they need.  Loading the same batch id again changes nothing.  With
+    `discard` the event table is removed once its folds are committed.
     """
     if store.is_committed(batch_id):
         return False
     raw = logs.drop_local_tgt(logs.scan_logs(spark, paths))
     tables.write_events(parser.parse_events(raw), events_path, mode="overwrite")
     loaded = tables.read_logs(spark, events_path)
-    return fold_into(store, batch_id, summary_deltas(loaded.success, loaded.failure, **extras))
+    fold_into(store, batch_id, summary_deltas(loaded.success, loaded.failure, **extras))
+    if discard:
+        Folder(spark, events_path).remove()
+    return True

@@ -2,7 +2,7 @@
 
 from conftest import rows
 
-from realmwatch import attach, run_batch, scan_logs
+from realmwatch import attach, client_slices, run_batch, scan_logs
 from realmwatch.plans.batch import summary_deltas
 from realmwatch.plans.store import SummaryStore
 from realmwatch.sources import bridge, parser, tables
@@ -36,6 +36,14 @@ def test_load_fold_and_query(spark, log, success, failure, tmp_path):
     assert got.first().n == success.count()
 
 
+def test_events_can_be_discarded_once_folded(spark, log, success, tmp_path):
+    bridge.raw_lines(log).select("value").write.text(str(tmp_path / "lines"))
+    store, events = SummaryStore(spark, str(tmp_path / "store")), tmp_path / "events"
+    run_batch(spark, str(tmp_path / "lines"), str(events), store, "load-1", discard=True)
+    assert not events.exists()
+    assert rows(store.read("client_slice_data")) == rows(client_slices(success))
+
+
 def test_day_filter_prunes_event_partitions(spark, log, tmp_path):
     path = str(tmp_path / "events")
     tables.write_events(parser.parse_events(bridge.raw_lines(log)), path)
