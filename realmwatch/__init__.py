@@ -1,7 +1,13 @@
 """Authentication-log analytics on Spark: who still depends on weak cryptography."""
 
 from realmwatch.functions.enctypes import canonical_list, enctype_dim, extend_enctypes
-from realmwatch.operators.audit import duplicate_keys, orphans, unknown_enctypes
+from realmwatch.operators.audit import (
+    duplicate_keys,
+    invalid_rows,
+    orphans,
+    unknown_enctypes,
+    valid_rows,
+)
 from realmwatch.operators.joins import forwarded_tgt, join_lists, join_roles
 from realmwatch.operators.last_seen import (
     ccs_last_seen,

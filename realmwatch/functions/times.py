@@ -13,11 +13,6 @@ def day_start(epoch: Column) -> Column:
     return epoch - F.pmod(epoch, F.lit(DAY_SECONDS).cast("bigint"))
 
 
-def day_end(epoch: Column) -> Column:
-    """Last second of the UTC day an epoch falls in."""
-    return day_start(epoch) + F.lit(DAY_SECONDS - 1).cast("bigint")
-
-
 def day_label(epoch: Column) -> Column:
     """UTC day as yyyy-MM-dd text, independent of the session time zone."""
     return F.date_from_unix_date(F.floor(epoch / DAY_SECONDS).cast("int")).cast("string")

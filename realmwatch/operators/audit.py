@@ -7,6 +7,29 @@ from pyspark.sql import functions as F
 
 from realmwatch.functions.enctypes import enctype_dim
 from realmwatch.operators.joins import ROLES
+from realmwatch.schemas import FAILURE, REQ_AS, REQ_TGS, SUCCESS
+
+# Columns a failure event may lack; a success event may lack none.
+OPTIONAL_ON_FAILURE = ["req_type", "client_name", "server_name"]
+
+
+def _broken_rule(failed: bool) -> str:
+    """SQL text naming the first row constraint an event breaks, NULL when it keeps all."""
+    schema, optional = (FAILURE, OPTIONAL_ON_FAILURE) if failed else (SUCCESS, [])
+    rules = {f"{n} is missing": f"{n} IS NULL" for n in schema.names if n not in optional}
+    rules["req_type is unknown"] = f"req_type NOT IN ({REQ_AS}, {REQ_TGS})"
+    return "CASE " + " ".join(f"WHEN {r} THEN '{text}'" for text, r in rules.items()) + " END"
+
+
+def valid_rows(events: DataFrame, failed: bool = False) -> DataFrame:
+    """Events that keep the row constraints of their table."""
+    return events.where(f"({_broken_rule(failed)}) IS NULL")
+
+
+def invalid_rows(events: DataFrame, failed: bool = False) -> DataFrame:
+    """The other events, with the first constraint each breaks as `problem`."""
+    marked = events.withColumn("problem", F.expr(_broken_rule(failed)))
+    return marked.where("problem IS NOT NULL")
 
 
 def duplicate_keys(table: DataFrame, keys: list[str]) -> DataFrame:

@@ -29,8 +29,9 @@ def run_incremental(
 ) -> StreamingQuery:
     """Parse, fold and discard each micro-batch; data of any age joins its own day.
 
-    The batch number of the checkpoint names the batch in the store, so a batch that is
-    replayed after a failure is written once.  `every` is a processing-time interval;
+    `name` and the batch number of the checkpoint name the batch in the store, so a batch
+    that is replayed after a failure is written once.  A stream with a new checkpoint over
+    other data needs a new name, or its first batches pass for replays.  `every` is a processing-time interval;
     without it the stream ends when the input present at the start is used up.  Every
     `compact_every` batches the store is compacted; with `days` that drops the slices
     older than so many days before the newest one.  Lines with something to report are

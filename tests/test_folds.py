@@ -4,6 +4,7 @@ import random
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 from test_lists import expected
 
 from realmwatch import schemas as s
@@ -249,3 +250,17 @@ def test_orphans_and_duplicates(spark):
     assert [tuple(r) for r in audit.orphans(child, parent, {"cname": "name"}).select("ip", "cname").collect()] == [("b", "y")]
     twice = child.unionByName(child.limit(1))
     assert [r.copies for r in audit.duplicate_keys(twice, ["ip", "cname"]).collect()] == [2]
+
+
+def test_row_constraints(spark, tables):
+    won, lost = tables
+    assert audit.invalid_rows(won).count() == 0 and audit.valid_rows(won).count() == won.count()
+    # a failure may lack its names, and does in the fixture
+    assert audit.valid_rows(lost, failed=True).count() == lost.count()
+    bad = won.limit(3).selectExpr(
+        *[c if c not in ("ip", "req_type") else f"CAST(NULL AS {t}) AS {c}" for c, t in won.dtypes]
+    ).unionByName(won.limit(2).withColumn("req_type", F.lit(2)))
+    problems = [r.problem for r in audit.invalid_rows(bad.unionByName(won)).collect()]
+    assert sorted(problems) == ["ip is missing"] * 3 + ["req_type is unknown"] * 2
+    assert audit.valid_rows(bad).count() == 0
+    assert audit.invalid_rows(lost.withColumn("req_type", F.lit(None).cast("int")), failed=True).count() == 0
