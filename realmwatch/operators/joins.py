@@ -87,8 +87,8 @@ def forwarded_tgt(success: DataFrame, max_lag: int = 900) -> DataFrame:
     pairs of requests behind a row.
 
     Requests are counted per second before the join, so repeats in a hot group meet as one
-    row, and the join key holds a time bucket as wide as the lag: a request is matched
-    with its own bucket and the next, never with its whole group.
+    row, and the join key holds a time bucket as wide as the lag: a request for a TGT is
+    matched with its own bucket and the one before, never with its whole group.
     """
     width = max(max_lag, 1)
     who = ["ip", "authtime", "client_name"]
@@ -104,15 +104,16 @@ def forwarded_tgt(success: DataFrame, max_lag: int = 900) -> DataFrame:
         F.col("req_enctypes").alias("first_list"),
         F.col("log_time").alias("first_time"),
         F.col("n").alias("first_n"),
-        F.explode(F.array(F.col("bucket"), F.col("bucket") + 1)).alias("bucket"),
+        "bucket",
     )
+    # the few requests for TGTs are doubled, not the many others
     second = requests.where(F.col("server_name").ilike("krbtgt%")).select(
         *who,
         F.col("server_name").alias("forwarded_server"),
         F.col("req_enctypes").alias("second_list"),
         F.col("log_time").alias("second_time"),
         F.col("n").alias("second_n"),
-        "bucket",
+        F.explode(F.array(F.col("bucket"), F.col("bucket") - 1)).alias("bucket"),
     )
     lag = F.col("second_time") - F.col("first_time")
     pairs = first.join(second, [*who, "bucket"]).where(
