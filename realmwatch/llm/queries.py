@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from realmwatch.llm.decontaminate import contamination, match_benchmark
+from realmwatch.llm.license_scan import scan_licenses
 from realmwatch.llm.texts import table
 from realmwatch.llm.token_count import count_tokens
 
@@ -18,8 +20,54 @@ def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
     return function
 
 
+@query
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
 @query
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return contamination(match_benchmark(docs, items, ["doc_id"])).drop("spans")
+
+
+_SQL_WORDS = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+)
+
+ORACLES["op9_decontamination"] = f"""
+WITH d AS (SELECT doc_id, {_SQL_WORDS} AS w FROM documents),
+i AS (SELECT item_id, {_SQL_WORDS} AS w FROM benchmark),
+i_windows AS (
+    SELECT DISTINCT item_id, least(len(w), 13) AS k, w[s : s + least(len(w), 13) - 1] AS g
+    FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS s FROM i WHERE len(w) > 0)
+),
+d_windows AS (
+    SELECT doc_id, s, k, w[s : s + k - 1] AS g
+    FROM (
+        SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS s
+        FROM d, (SELECT DISTINCT k FROM i_windows) WHERE len(w) >= k
+    )
+),
+found AS (SELECT doc_id, s, k, item_id FROM d_windows JOIN i_windows USING (k, g)),
+hits AS (
+    SELECT doc_id, count(*) AS n_hit
+    FROM (SELECT DISTINCT doc_id, unnest(range(s, s + k)) AS p FROM found) GROUP BY doc_id
+),
+items AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+    FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM found) GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+    CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+    coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
+"""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
@@ -36,6 +38,24 @@ def blank_words(text: str | None) -> list[bytes]:
     return to_bytes(text).translate(_LOWER_BYTES).split()
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Make this package importable for Python on the executors, once per application.
+
+    Nothing is sent where it is installed or on PYTHONPATH, which executors have as well.
+    """
+    context = spark.sparkContext
+    home = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    known = [os.path.abspath(p) for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if home in known or home.endswith("site-packages") or context.applicationId in _SHIPPED:
+        return
+    made = shutil.make_archive(os.path.join(tempfile.mkdtemp(), "realmwatch"), "zip", home, "realmwatch")
+    context.addPyFile(made)
+    _SHIPPED.add(context.applicationId)
+
+
 def map_texts(
     docs: DataFrame,
     text: str,
@@ -48,6 +68,7 @@ def map_texts(
     `rows` gets a list of texts and returns one list of values for each field.  Only the named
     columns are read, so other columns of `docs` are free to have any name.
     """
+    ship(docs.sparkSession)
     kept = [F.col(c) if isinstance(c, str) else c for c in keep]
     base = docs.select(F.col(text).cast("string").alias("__text"), *kept)
     schema = T.StructType([*base.schema.fields[1:], *fields])
