@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from realmwatch.llm.decontaminate import contamination, match_benchmark
 from realmwatch.llm.license_scan import scan_licenses
 from realmwatch.llm.texts import table
 from realmwatch.llm.token_count import count_tokens
+from realmwatch.llm.toxicity import fit_toxicity, held_out, score_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -32,6 +34,13 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@query
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    scored = score_toxicity(docs, fit_toxicity(docs, labels), ["doc_id", held_out("doc_id").alias("held_out")])
+    return scored.withColumn("predicted", F.when(F.col("score") >= 0.5, 1).otherwise(0))
+
+
 @query
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
