@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from realmwatch.llm.decontaminate import contamination, match_benchmark
+from realmwatch.llm.html_text import extract_pages
 from realmwatch.llm.license_scan import scan_licenses
 from realmwatch.llm.texts import table
 from realmwatch.llm.token_count import count_tokens
@@ -27,6 +28,11 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents"))
 
 
+@query
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_pages(table(spark, sf_dir, "pages"), ["page_id", "url"])
+
+
 @query
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
