@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from realmwatch.llm.decontaminate import contamination, match_benchmark
+from realmwatch.llm.embedding_dedup import link_embeddings
 from realmwatch.llm.html_text import extract_pages
 from realmwatch.llm.license_scan import scan_licenses
 from realmwatch.llm.texts import table
@@ -86,3 +87,8 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS B
     coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
 """
+
+
+@query
+def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_embeddings(table(spark, sf_dir, "embeddings"))
