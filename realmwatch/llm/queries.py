@@ -11,6 +11,7 @@ from realmwatch.llm.decontaminate import contamination, match_benchmark
 from realmwatch.llm.embedding_dedup import link_embeddings
 from realmwatch.llm.html_text import extract_pages
 from realmwatch.llm.license_scan import scan_licenses
+from realmwatch.llm.minhash_dedup import near_duplicates
 from realmwatch.llm.texts import table
 from realmwatch.llm.token_count import count_tokens
 from realmwatch.llm.toxicity import fit_toxicity, held_out, score_toxicity
@@ -24,6 +25,11 @@ def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
     return function
 
 
+@query
+def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents"))
