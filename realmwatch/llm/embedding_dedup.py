@@ -41,53 +41,63 @@ def collision(distance: float, width: float = _WIDTH) -> float:
 
 def plan(rows: int, least: float, miss: float) -> tuple[int, int]:
     """Directions of a table, and tables."""
-    directions = max(6, round(math.log2(max(rows, 2))) - 7)
+    directions = max(5, round(math.log2(max(rows, 2))) - 10)
     found = collision(math.sqrt(max(2 - 2 * least, 1e-9))) ** directions
     return directions, max(1, math.ceil(math.log(miss) / math.log1p(-found)))
 
 
-def _unit(vectors: list) -> np.ndarray:
+def _unit(vectors: list | np.ndarray) -> np.ndarray:
     x = np.array(vectors, np.float64)
     x /= np.abs(x).max(1, keepdims=True)  # squares of very large or small numbers stay finite
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def _bucketed(distinct: DataFrame, directions: int, tables: int) -> DataFrame:
+def _pack(vector: np.ndarray) -> bytes:
+    """The numbers as they are: in four bytes each if that loses nothing, else in eight."""
+    short = vector.astype(np.float32)
+    return b"\4" + short.tobytes() if (short == vector).all() else b"\10" + vector.tobytes()
+
+
+def _unpack(packed: bytes) -> np.ndarray:
+    return np.frombuffer(packed, np.float32 if packed[0] == 4 else np.float64, offset=1).astype(np.float64)
+
+
+def _hashed(distinct: DataFrame, directions: int, tables: int) -> DataFrame:
+    """The bucket of every table, and the vector packed."""
     schema = T.StructType([
-        T.StructField("t", T.IntegerType()),
-        T.StructField("key", T.LongType()),
         T.StructField("rep", T.LongType()),
         T.StructField("n", T.LongType()),
+        T.StructField("keys", T.ArrayType(T.LongType())),
         T.StructField("codes", T.BinaryType()),
-        T.StructField("unit", T.BinaryType()),
+        T.StructField("packed", T.BinaryType()),
     ])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            reps, counts = np.array(batch["rep"]), np.array(batch["n"])
             vectors = batch["vector"].to_pylist()
+            keys: list = [None] * len(vectors)
             sizes = np.array([len(v) for v in vectors])
             for size in np.unique(sizes).tolist():
+                random = np.random.default_rng([size, directions, tables])
+                lines = random.standard_normal((size, tables * directions))
+                shifts = random.uniform(0, _WIDTH, tables * directions)
+                mix = random.integers(1, 2**62, directions) * 2 + 1
+                offset = random.integers(1, 2**62, tables)
                 chosen = np.flatnonzero(sizes == size)
-                for at in range(0, len(chosen), 512):
-                    rows = chosen[at : at + 512]
-                    unit = _unit([vectors[i] for i in rows])
-                    random = np.random.default_rng([size, directions, tables])
-                    lines = random.standard_normal((size, tables * directions))
-                    shifts = random.uniform(0, _WIDTH, tables * directions)
-                    cells = np.floor((unit @ lines + shifts) / _WIDTH).astype(np.int64)
-                    mix = random.integers(1, 2**62, directions) * 2 + 1
-                    keys = (cells.reshape(len(rows), tables, directions) * mix).sum(2) + size
-                    codes = [k.tobytes() for k in keys.astype(np.int32)]
-                    units = [u.tobytes() for u in unit]
-                    for t in range(tables):
-                        yield pa.RecordBatch.from_arrays(
-                            [
-                                pa.array(np.full(len(rows), t, np.int32)), pa.array(keys[:, t]), pa.array(reps[rows]),
-                                pa.array(counts[rows]), pa.array(codes, pa.binary()), pa.array(units, pa.binary()),
-                            ],
-                            names=schema.names,
-                        )
+                for at in range(0, len(chosen), 1024):
+                    rows = chosen[at : at + 1024]
+                    cells = np.floor((_unit([vectors[i] for i in rows]) @ lines + shifts) / _WIDTH).astype(np.int64)
+                    made = (cells.reshape(len(rows), tables, directions) * mix).sum(2) + offset
+                    for i, k in zip(rows.tolist(), made, strict=True):
+                        keys[i] = k
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch["rep"], batch["n"], pa.array([k.tolist() for k in keys], pa.list_(pa.int64())),
+                    pa.array([(k >> 20).astype(np.int32).tobytes() for k in keys], pa.binary()),
+                    pa.array([_pack(np.array(v, np.float64)) for v in vectors], pa.binary()),
+                ],
+                names=schema.names,
+            )
 
     return distinct.mapInArrow(run, schema)
 
@@ -108,11 +118,12 @@ def _links_in(group: list[tuple], least: float, t: int, crossed: bool) -> Iterat
     """(vector, links, a vector of its component here) of a bucket, or of two of its blocks."""
     side = np.array([g[0] for g in group])
     rep, n = np.array([g[1] for g in group]), np.array([g[2] for g in group])
-    lengths = {len(g[4]) for g in group}
+    vectors = [_unpack(g[4]) for g in group]
+    lengths = {len(v) for v in vectors}
     for length in lengths:  # buckets of different lengths share a key by chance only
-        here = np.array([i for i, g in enumerate(group) if len(g[4]) == length])
+        here = np.array([i for i, v in enumerate(vectors) if len(v) == length])
         codes = np.frombuffer(b"".join(group[i][3] for i in here), np.int32).reshape(len(here), -1)
-        unit = np.frombuffer(b"".join(group[i][4] for i in here), np.float64).reshape(len(here), -1)
+        unit = _unit([vectors[i] for i in here])
         links, root = np.zeros(len(here), np.int64), np.arange(len(here))
         for start in range(0, len(here), 256):
             near = unit[start : start + 256] @ unit.T >= least
@@ -145,7 +156,7 @@ def _links(rows: DataFrame, least: float) -> DataFrame:
                 made.extend(_links_in(group, least, at[0], at[2] != at[3]))
 
         for batch in batches:
-            columns = [batch[c].to_pylist() for c in ("t", "key", "b1", "b2", "block", "rep", "n", "codes", "unit")]
+            columns = [batch[c].to_pylist() for c in ("t", "key", "b1", "b2", "block", "rep", "n", "codes", "packed")]
             for t, key, b1, b2, *row in zip(*columns, strict=True):
                 if at != (t, key, b1, b2):
                     if group:
@@ -189,14 +200,16 @@ def link_embeddings(
         good.groupBy("vector").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n")), "vectors"
     )
     directions, tables = plan(distinct.count(), least, miss)
-    dealt = _bucketed(distinct, directions, tables)
-    sizes = dealt.groupBy("t", "key").agg(F.count("*").alias("size")).where(F.col("size") > 1)
-    dealt = dealt.join(sizes, ["t", "key"]).withColumn("blocks", F.ceil(F.col("size") / block).cast("int"))
+    hashed = stored(_hashed(distinct, directions, tables), "hashed")
+    keys = hashed.select("rep", F.posexplode("keys").alias("t", "key"))
+    sizes = keys.groupBy("t", "key").agg(F.count("*").alias("size")).where(F.col("size") > 1)
+    dealt = keys.join(sizes, ["t", "key"]).withColumn("blocks", F.ceil(F.col("size") / block).cast("int"))
     dealt = dealt.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    dealt = dealt.select("t", "key", "rep", "n", "codes", "unit", "block", other).select(
-        "*", F.least("block", "other").alias("b1"), F.greatest("block", "other").alias("b2")
+    dealt = dealt.select("t", "key", "rep", "block", other).select(
+        "t", "key", "rep", "block", F.least("block", "other").alias("b1"), F.greatest("block", "other").alias("b2")
     )
+    dealt = dealt.join(hashed.select("rep", "n", "codes", "packed"), "rep")
     ordered = dealt.repartition("t", "key", "b1", "b2").sortWithinPartitions("t", "key", "b1", "b2")
     found = stored(_links(ordered, least), "links")
     links = found.groupBy("rep").agg(F.sum("links").alias("links"))
