@@ -12,6 +12,7 @@ from realmwatch.llm.embedding_dedup import link_embeddings
 from realmwatch.llm.html_text import extract_pages
 from realmwatch.llm.license_scan import scan_licenses
 from realmwatch.llm.minhash_dedup import near_duplicates
+from realmwatch.llm.suffix_dedup import repeat_report
 from realmwatch.llm.texts import table
 from realmwatch.llm.token_count import count_tokens
 from realmwatch.llm.toxicity import fit_toxicity, held_out, score_toxicity
@@ -47,6 +48,11 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@query
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeat_report(table(spark, sf_dir, "documents"))
+
+
 @query
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
