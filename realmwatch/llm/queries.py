@@ -12,6 +12,7 @@ from realmwatch.llm.embedding_dedup import link_embeddings
 from realmwatch.llm.html_text import extract_pages
 from realmwatch.llm.license_scan import scan_licenses
 from realmwatch.llm.minhash_dedup import near_duplicates
+from realmwatch.llm.pitman_yor import score_language
 from realmwatch.llm.suffix_dedup import repeat_report
 from realmwatch.llm.texts import table
 from realmwatch.llm.token_count import count_tokens
@@ -60,6 +61,12 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", F.when(F.col("score") >= 0.5, 1).otherwise(0))
 
 
+@query
+def op8_language_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 7 == 2
+    return score_language(table(spark, sf_dir, "documents"), held)
+
+
 @query
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
