@@ -9,7 +9,8 @@ their probability Jaccard similarity.  Bands of registers name buckets.
 
 In every bucket one text, drawn by a hash, is the hub, and every other text is compared with it.
 Texts that differ from their hub are then compared with those of the bucket that are not yet in
-their class, so no link within a bucket is lost although the pairs of a bucket are never listed.
+their class, unless the two cannot be similar: shingles that no other candidate text has bound what
+they can share.  So no link within a bucket is lost although its pairs are never listed.
 A pair is linked when the Jaccard similarity of the shingle sets is at least `least`; classes are
 the connected components of the links.
 
@@ -68,7 +69,7 @@ def signatures(texts: list[tuple[np.ndarray, np.ndarray]], registers: int) -> np
     turn = 0
     while len(element):
         turn += 1
-        draw = _mix(element + _ODD[0] * np.uint64(2 * turn))
+        draw = _mix(element + np.uint64(int(_ODD[0]) * 2 * turn % 2**64))
         time = time - np.log(((draw >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53) / rate
         place = owner * registers + (_mix(draw + _ODD[0]) % np.uint64(registers)).astype(np.int64)
         np.minimum.at(first, place, time)
@@ -134,8 +135,30 @@ def _verify(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     return sides.mapInArrow(run, schema)
 
 
+def _shared_shingles(texts: DataFrame) -> DataFrame:
+    """For every text (k, t): its distinct shingles, and those of them that another text has."""
+    schema = T.StructType([T.StructField("s", T.LongType()), texts.schema["k"]])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k, t in zip(batch["k"].to_pylist(), batch["t"], strict=True):
+                made = np.unique(shingles(t.as_py())).view(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(made), pa.array([k], pa.binary()).take(pa.array(np.zeros(len(made), np.int64)))],
+                    names=schema.names,
+                )
+
+    found = texts.select("k", "t").mapInArrow(run, schema)
+    alone = found.groupBy("s").agg(F.count("*").alias("c"), F.min("k").alias("k")).where("c = 1").groupBy("k")
+    size = map_texts(
+        texts, "t", ["k"], lambda ts: [[len(np.unique(shingles(t))) for t in ts]], [T.StructField("n", T.LongType())]
+    )
+    alone = alone.agg(F.count("*").alias("alone"))
+    return size.join(alone, "k", "left").select("k", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("m"))
+
+
 def text_classes(
-    docs: DataFrame, text_col: str = "text", least: float = 0.8, bands: int = 24, rows: int = 4
+    docs: DataFrame, text_col: str = "text", least: float = 0.8, bands: int = 24, rows: int = 5
 ) -> DataFrame:
     """`node` and `component`, keys of texts, for every text that is linked with another one."""
     ship(docs.sparkSession)
@@ -157,9 +180,17 @@ def text_classes(
 
     failed = checked.where(~F.col("similar")).select(F.col("u").alias("k"), F.col("v").alias("hub"))
     named = members.join(classes.withColumnRenamed("node", "k"), "k", "left")
-    named = named.select("bucket", "k", "hub", F.coalesce("component", "k").alias("c"))
-    apart = named.join(failed, ["k", "hub"]).select("bucket", F.col("k").alias("f"), F.col("c").alias("fc"))
-    more = named.where("k <> hub").join(apart, "bucket").where("c <> fc")
+    named = stored(named.select("bucket", "k", "hub", F.coalesce("component", "k").alias("c")), "named")
+    apart = stored(named.join(failed, ["k", "hub"]).select("bucket", "k", "c"), "apart")
+    mixed = named.join(apart.select("bucket").distinct(), "bucket")
+    shared = stored(_shared_shingles(texts.join(mixed.select("k").distinct(), "k")), "shared")
+    left = apart.join(shared, "k").select(
+        "bucket", F.col("k").alias("f"), F.col("c").alias("fc"), F.col("n").alias("fn"), F.col("m").alias("fm")
+    )
+    right = mixed.where("k <> hub").join(shared, "k").select("bucket", "k", "c", "n", "m")
+    most = F.least("m", "fm")
+    able = most >= least * (F.col("n") + F.col("fn") - most)
+    more = right.join(left, (right.bucket == left.bucket) & (F.col("c") != F.col("fc")) & able)
     more = more.select(F.least("k", "f").alias("u"), F.greatest("k", "f").alias("v")).distinct()
     more = stored(more, "pairs")
     if more.isEmpty():
