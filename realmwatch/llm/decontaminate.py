@@ -167,7 +167,7 @@ def match_benchmark(
             F.coalesce("__items", empty[1]).alias("__items"),
         )
     n_hit = F.aggregate("__spans", F.lit(0).cast("long"), lambda n, s: n + s["end_word"] - s["first_word"])
-    kept = [c for c in found.columns if not c.startswith("__")]
+    kept = [c for c in found.columns if c not in ("__words", "__spans", "__items")]
     return found.select(
         *kept,
         F.col("__words").alias("n_words"),

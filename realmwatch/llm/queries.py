@@ -12,6 +12,7 @@ from realmwatch.llm.embedding_dedup import link_embeddings
 from realmwatch.llm.html_text import extract_pages
 from realmwatch.llm.license_scan import scan_licenses
 from realmwatch.llm.minhash_dedup import near_duplicates
+from realmwatch.llm.mixing import mix_report
 from realmwatch.llm.pitman_yor import score_language
 from realmwatch.llm.suffix_dedup import repeat_report
 from realmwatch.llm.texts import table
@@ -32,6 +33,16 @@ def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+# Target weights of the sources; every source not named has MIX_OTHER.
+MIX_WEIGHTS = {"src0": 12, "src1": 8, "src2": 6, "src3": 6}
+MIX_OTHER = 4
+
+
+@query
+def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_report(table(spark, sf_dir, "documents"), weights=MIX_WEIGHTS, other=MIX_OTHER)
+
+
 @query
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents"))
