@@ -168,40 +168,68 @@ def repeated_offsets(
 ) -> list[list[tuple[int, int]]]:
     """For blocks (bytes, anchor's place in them, least and greatest offset) with one anchor: the
     ranges of offsets at which a block's string of `length` bytes stands in another block too."""
-    n = len(blocks)
     right = [b[at:] for b, at, _, _ in blocks]
     left = [b[:at][::-1] for b, at, _, _ in blocks]
-    covered = np.zeros((n, length + 1), bool)
-    offsets = np.arange(length - gram + 1)
-    if n == 2:
-        after, before = common_prefix(*right), common_prefix(*left)
-        covered[:, max(0, length - after) : before + 1] = True
-    else:
-        classes = []
-        for texts, start in ((left, 0), (right, gram)):
-            order, shared = deep_shallow(texts, start=start)
-            classes.append((np.array(order), np.array(shared)))
-        for o in range(min(b[2] for b in blocks), max(b[3] for b in blocks) + 1):
-            ids = []
-            for (order, shared), depth in zip(classes, (o, length - o), strict=True):
-                made = np.empty(n, np.int64)
-                made[order] = np.cumsum(shared < depth)
-                ids.append(made)
-            usable = np.array([b[2] <= o <= b[3] for b in blocks])
-            pair = ids[0] * (n + 2) + ids[1]
-            pair[~usable] = -1 - np.flatnonzero(~usable)
-            _, inverse, count = np.unique(pair, return_inverse=True, return_counts=True)
-            covered[:, o] = count[inverse] > 1
+    sides = [deep_shallow(texts, start=start) for texts, start in ((left, 0), (right, gram))]
+    bits = _by_pairs(sides, length) if len(blocks) <= 32 else _by_classes(sides, blocks, length)
     found = []
-    for i, (_, _, least, most) in enumerate(blocks):
-        row = covered[i, : len(offsets)].copy()
-        row[:least] = False
-        row[most + 1 :] = False
-        edge = np.flatnonzero(np.diff(np.concatenate([[0], row.view(np.int8), [0]])))
-        found.append([(int(a), int(b) - 1) for a, b in zip(edge[::2], edge[1::2], strict=True)])
+    for covered, (_, _, least, most) in zip(bits, blocks, strict=True):
+        covered = covered >> least & (1 << (most - least + 1)) - 1
+        ranges, at = [], least
+        while covered:
+            gap = (covered & -covered).bit_length() - 1
+            covered >>= gap
+            run = (~covered & covered + 1).bit_length() - 1
+            ranges.append((at + gap, at + gap + run - 1))
+            covered >>= run
+            at += gap + run
+        found.append(ranges)
     return found
 
 
+def _by_pairs(sides: list[tuple[list[int], list[int]]], length: int) -> list[int]:
+    """Repeated offsets as bits, from the common prefixes of all pairs of a few blocks."""
+    n = len(sides[0][0])
+    common = []
+    for order, shared in sides:
+        table = [[0] * n for _ in range(n)]
+        for i in range(n):
+            least = length
+            for j in range(i + 1, n):  # the least of the neighbours' common prefixes between two texts
+                least = min(least, shared[j])
+                table[order[i]][order[j]] = table[order[j]][order[i]] = least
+        common.append(table)
+    bits = [0] * n
+    for i in range(n):
+        for j in range(i):
+            low, high = length - common[1][i][j], common[0][i][j]
+            if low <= high:
+                span = (1 << (high + 1)) - (1 << low)
+                bits[i] |= span
+                bits[j] |= span
+    return bits
+
+
+def _by_classes(
+    sides: list[tuple[list[int], list[int]]], blocks: list[tuple[bytes, int, int, int]], length: int
+) -> list[int]:
+    """The same for many blocks: at each offset, those that agree on both sides are one class."""
+    n = len(blocks)
+    bits = [0] * n
+    low, high = np.array([b[2] for b in blocks]), np.array([b[3] for b in blocks])
+    for o in range(low.min(), high.max() + 1):
+        pair = np.zeros(n, np.int64)
+        for (order, shared), depth in zip(sides, (o, length - o), strict=True):
+            made = np.empty(n, np.int64)
+            made[np.array(order)] = np.cumsum(np.array(shared) < depth)
+            pair = pair * (n + 2) + made
+        pair[(o < low) | (o > high)] = -1
+        _, inverse, count = np.unique(pair, return_inverse=True, return_counts=True)
+        for i in np.flatnonzero((count[inverse] > 1) & (pair >= 0)).tolist():
+            bits[i] |= 1 << int(o)
+    return bits
+
+
 # ---- anchors ---------------------------------------------------------------------------------
 
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
