@@ -54,7 +54,8 @@ def _unit(vectors: list | np.ndarray) -> np.ndarray:
 
 def _pack(vector: np.ndarray) -> bytes:
     """The numbers as they are: in four bytes each if that loses nothing, else in eight."""
-    short = vector.astype(np.float32)
+    with np.errstate(over="ignore"):
+        short = vector.astype(np.float32)
     return b"\4" + short.tobytes() if (short == vector).all() else b"\10" + vector.tobytes()
 
 
