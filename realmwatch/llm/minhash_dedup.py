@@ -22,6 +22,7 @@ the smallest id there is, else null.  Repeated rows are in one class.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -135,8 +136,12 @@ def _verify(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     return sides.mapInArrow(run, schema)
 
 
+_GROUPS = 48
+
+
 def _shared_shingles(texts: DataFrame) -> DataFrame:
-    """For every text (k, t): its distinct shingles, and those of them that another text has."""
+    """For every text (k, t): n, its distinct shingles, and m0, m1, ...: those in each group of hashes that
+    another text has as well.  Two texts share no more than the lesser of theirs in each group."""
     schema = T.StructType([T.StructField("s", T.LongType()), texts.schema["k"]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -148,13 +153,19 @@ def _shared_shingles(texts: DataFrame) -> DataFrame:
                     names=schema.names,
                 )
 
+    def count(texts: list[str | None]) -> list[list]:
+        made = [np.unique(shingles(t)).view(np.int64) % _GROUPS for t in texts]
+        return [[len(m) for m in made], [np.bincount(m, minlength=_GROUPS).tolist() for m in made]]
+
+    fields = [T.StructField("n", T.LongType()), T.StructField("all", T.ArrayType(T.LongType()))]
+    size = map_texts(texts, "t", ["k"], count, fields)
     found = texts.select("k", "t").mapInArrow(run, schema)
-    alone = found.groupBy("s").agg(F.count("*").alias("c"), F.min("k").alias("k")).where("c = 1").groupBy("k")
-    size = map_texts(
-        texts, "t", ["k"], lambda ts: [[len(np.unique(shingles(t))) for t in ts]], [T.StructField("n", T.LongType())]
+    alone = found.groupBy("s").agg(F.count("*").alias("c"), F.min("k").alias("k")).where("c = 1")
+    group = F.pmod("s", F.lit(_GROUPS))
+    alone = alone.groupBy("k").agg(*[F.count(F.when(group == g, 1)).alias(f"a{g}") for g in range(_GROUPS)])
+    return size.join(alone, "k", "left").select(
+        "k", "n", *[(F.col("all")[g] - F.coalesce(f"a{g}", F.lit(0))).alias(f"m{g}") for g in range(_GROUPS)]
     )
-    alone = alone.agg(F.count("*").alias("alone"))
-    return size.join(alone, "k", "left").select("k", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("m"))
 
 
 def text_classes(
@@ -184,11 +195,13 @@ def text_classes(
     apart = stored(named.join(failed, ["k", "hub"]).select("bucket", "k", "c"), "apart")
     mixed = named.join(apart.select("bucket").distinct(), "bucket")
     shared = stored(_shared_shingles(texts.join(mixed.select("k").distinct(), "k")), "shared")
+    groups = [f"m{g}" for g in range(_GROUPS)]
     left = apart.join(shared, "k").select(
-        "bucket", F.col("k").alias("f"), F.col("c").alias("fc"), F.col("n").alias("fn"), F.col("m").alias("fm")
-    )
-    right = mixed.where("k <> hub").join(shared, "k").select("bucket", "k", "c", "n", "m")
-    most = F.least("m", "fm")
+        "bucket", F.col("k").alias("f"), F.col("c").alias("fc"), F.col("n").alias("fn"),
+        *[F.col(g).alias(f"f{g}") for g in groups],
+    )
+    right = mixed.where("k <> hub").join(shared, "k").select("bucket", "k", "c", "n", *groups)
+    most = reduce(Column.__add__, [F.least(g, f"f{g}") for g in groups])
     able = most >= least * (F.col("n") + F.col("fn") - most)
     more = right.join(left, (right.bucket == left.bucket) & (F.col("c") != F.col("fc")) & able)
     more = more.select(F.least("k", "f").alias("u"), F.greatest("k", "f").alias("v")).distinct()

@@ -6,6 +6,7 @@ import random
 import brute
 import numpy as np
 import pytest
+from frames import frame, odd_rows  # noqa: F401
 
 from realmwatch.llm import suffix_dedup
 from realmwatch.llm.components import connected_components

@@ -9,6 +9,7 @@ import brute
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from frames import frame, odd_rows  # noqa: F401
 
 import __spark_entry__ as entry_point
 from realmwatch.llm import pitman_yor

@@ -8,6 +8,7 @@ import brute
 import pytest
 from compare import duck
 from pyspark.sql import functions as F
+from frames import frame, odd_rows  # noqa: F401
 
 from realmwatch.llm.automaton import SuffixAutomaton
 from realmwatch.llm.decontaminate import contamination, item_blocks, match_benchmark
