@@ -67,6 +67,21 @@ def enctype_dim(spark: SparkSession) -> DataFrame:
     )
 
 
+def enctype_rows(enctypes: DataFrame | Sequence[Enctype] | None, most: int = 10_000) -> Sequence[Enctype]:
+    """A site's enctype table as plain rows; None is the reference data.
+
+    The table describes numbers of a protocol, so it is short; a longer one is refused.
+    """
+    if enctypes is None:
+        return SEED
+    if not isinstance(enctypes, DataFrame):
+        return tuple(enctypes)
+    rows = enctypes.select("enctype", "name", "is_modern", "is_weak").limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} enctypes")
+    return tuple(Enctype(*r) for r in rows)
+
+
 def extend_enctypes(known: DataFrame, additions: DataFrame) -> DataFrame:
     """Insert if absent: an addition whose number is known already is ignored."""
     fresh = (

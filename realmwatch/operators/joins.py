@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -51,32 +53,32 @@ def join_roles(events: DataFrame, enctypes: DataFrame, roles=tuple(ROLES)) -> Da
     return events
 
 
-def with_list_flags(events: DataFrame, lists: DataFrame | None = None) -> DataFrame:
-    """List flags by a join when a dimension is given, else computed from the list text."""
+Known = DataFrame | Sequence[en.Enctype] | None
+
+
+def with_list_flags(
+    events: DataFrame, lists: DataFrame | None = None, enctypes: Known = None
+) -> DataFrame:
+    """List flags by a join when a list dimension is given, else computed from the list text,
+    by the given enctypes or the reference data."""
     if lists is not None:
         return join_lists(events, lists)
-    text = F.col("req_enctypes")
+    text, known = F.col("req_enctypes"), en.enctype_rows(enctypes)
     return events.withColumns(
         {
-            "list_modern": en.list_is_modern(text),
-            "list_weak": en.list_is_weak(text),
-            "list_too_weak": en.list_is_too_weak(text),
+            "list_modern": en.list_is_modern(text, known),
+            "list_weak": en.list_is_weak(text, known),
+            "list_too_weak": en.list_is_too_weak(text, known),
         }
     )
 
 
-def with_role_flags(events: DataFrame, enctypes: DataFrame | None = None) -> DataFrame:
+def with_role_flags(events: DataFrame, enctypes: Known = None) -> DataFrame:
     """`<role>_weak` for every role, NULL where the enctype is unknown; keeps all rows."""
-    if enctypes is None:
-        return events.withColumns(
-            {f"{role}_weak": en.enctype_is_weak(c) for role, c in ROLES.items()}
-        )
-    for role, column in ROLES.items():
-        dim = enctypes.select(
-            F.col("enctype").alias(column), F.col("is_weak").alias(f"{role}_weak")
-        )
-        events = events.join(dim, column, "left")
-    return events
+    known = en.enctype_rows(enctypes)
+    return events.withColumns(
+        {f"{role}_weak": en.enctype_is_weak(c, known) for role, c in ROLES.items()}
+    )
 
 
 def forwarded_tgt(success: DataFrame, max_lag: int = 900) -> DataFrame:
@@ -92,28 +94,38 @@ def forwarded_tgt(success: DataFrame, max_lag: int = 900) -> DataFrame:
     """
     width = max(max_lag, 1)
     who = ["ip", "authtime", "client_name"]
-    requests = (
-        success.where(F.col("req_type") == REQ_TGS)
-        .groupBy(*who, "server_name", "req_enctypes", "log_time")
-        .agg(F.count("*").alias("n"))
-        .withColumn("bucket", F.floor(F.col("log_time") / width))
-    )
-    first = requests.select(
-        *who,
-        "server_name",
-        F.col("req_enctypes").alias("first_list"),
-        F.col("log_time").alias("first_time"),
-        F.col("n").alias("first_n"),
-        "bucket",
+    requests = success.where(F.col("req_type") == REQ_TGS).withColumn(
+        "bucket", F.floor(F.col("log_time") / width)
     )
+    each_second = [*who, "server_name", "req_enctypes", "log_time", "bucket"]
     # the few requests for TGTs are doubled, not the many others
-    second = requests.where(F.col("server_name").ilike("krbtgt%")).select(
-        *who,
-        F.col("server_name").alias("forwarded_server"),
-        F.col("req_enctypes").alias("second_list"),
-        F.col("log_time").alias("second_time"),
-        F.col("n").alias("second_n"),
-        F.explode(F.array(F.col("bucket"), F.col("bucket") - 1)).alias("bucket"),
+    second = (
+        requests.where(F.col("server_name").ilike("krbtgt%"))
+        .groupBy(*each_second)
+        .agg(F.count("*").alias("second_n"))
+        .select(
+            *who,
+            F.col("server_name").alias("forwarded_server"),
+            F.col("req_enctypes").alias("second_list"),
+            F.col("log_time").alias("second_time"),
+            "second_n",
+            F.explode(F.array(F.col("bucket"), F.col("bucket") - 1)).alias("bucket"),
+        )
+    )
+    # a request without one for a TGT near it is gone before any is counted
+    near = second.select(*who, "bucket").distinct()
+    first = (
+        requests.join(near, [*who, "bucket"], "left_semi")
+        .groupBy(*each_second)
+        .agg(F.count("*").alias("first_n"))
+        .select(
+            *who,
+            "server_name",
+            F.col("req_enctypes").alias("first_list"),
+            F.col("log_time").alias("first_time"),
+            "first_n",
+            "bucket",
+        )
     )
     lag = F.col("second_time") - F.col("first_time")
     pairs = first.join(second, [*who, "bucket"]).where(

@@ -10,8 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from realmwatch.functions.text import principal_host
 from realmwatch.operators import conditions as c
-from realmwatch.operators.joins import LIST_FLAGS, ROLES, with_list_flags, with_role_flags
+from realmwatch.operators.joins import LIST_FLAGS, ROLES, Known, with_list_flags, with_role_flags
 from realmwatch.schemas import CCS, CLIENT, PRINC, PRINC_MEASURES
 
 _ZERO = "0L"
@@ -23,13 +24,15 @@ def _fill(fold: DataFrame, names: list[str]) -> DataFrame:
     return fold.selectExpr(*[n if n in have else f"{_ZERO} AS {n}" for n in names])
 
 
-def client_last_seen(success: DataFrame, lists: DataFrame | None = None) -> DataFrame:
+def client_last_seen(
+    success: DataFrame, lists: DataFrame | None = None, enctypes: Known = None
+) -> DataFrame:
     """Per address: last success and last weak or strong offer by request type."""
     named = {"last_success": "max(log_time)"}
     for stem, when in c.CLIENT_ADDRESS.items():
         if f"last_{stem}" in CLIENT.names:
             named[f"last_{stem}"] = c.latest(when)
-    fold = with_list_flags(success, lists).groupBy("ip").agg(*c.measures(named))
+    fold = with_list_flags(success, lists, enctypes).groupBy("ip").agg(*c.measures(named))
     return _fill(fold, CLIENT.names)
 
 
@@ -58,19 +61,19 @@ def _server_success_measures(of: str) -> dict[str, str]:
 
 
 def princ_client_success(
-    success: DataFrame, lists: DataFrame | None = None, enctypes: DataFrame | None = None
+    success: DataFrame, lists: DataFrame | None = None, enctypes: Known = None
 ) -> DataFrame:
     """Principals as clients of successful requests."""
     named = {"last_used": "max(log_time)", **_client_success_measures("true")}
     return (
-        with_role_flags(with_list_flags(success, lists), enctypes)
+        with_role_flags(with_list_flags(success, lists, enctypes), enctypes)
         .where(c.known("reply", "session"))
         .groupBy(F.col("client_name").alias("name"))
         .agg(*c.measures(named))
     )
 
 
-def princ_server_success(success: DataFrame, enctypes: DataFrame | None = None) -> DataFrame:
+def princ_server_success(success: DataFrame, enctypes: Known = None) -> DataFrame:
     """Principals as servers of successful requests."""
     named = {"last_used": "max(log_time)", **_server_success_measures("true")}
     return (
@@ -81,10 +84,12 @@ def princ_server_success(success: DataFrame, enctypes: DataFrame | None = None)
     )
 
 
-def princ_client_fail(failure: DataFrame, lists: DataFrame | None = None) -> DataFrame:
+def princ_client_fail(
+    failure: DataFrame, lists: DataFrame | None = None, enctypes: Known = None
+) -> DataFrame:
     """Principals as clients of failed requests."""
     return (
-        with_list_flags(failure, lists)
+        with_list_flags(failure, lists, enctypes)
         .where("client_name IS NOT NULL")
         .groupBy(F.col("client_name").alias("name"))
         .agg(*c.measures({"lc_fail": "max(log_time)", **_offer_measures("true")}))
@@ -104,7 +109,7 @@ def princ_last_seen(
     success: DataFrame,
     failure: DataFrame,
     lists: DataFrame | None = None,
-    enctypes: DataFrame | None = None,
+    enctypes: Known = None,
 ) -> DataFrame:
     """All four principal folds in one: one scan of each event table and one shuffle.
 
@@ -117,14 +122,14 @@ def princ_last_seen(
         "struct(true AS as_server, server_name AS name)))"
     )
     won = (
-        with_role_flags(with_list_flags(success, lists), enctypes)
+        with_role_flags(with_list_flags(success, lists, enctypes), enctypes)
         .selectExpr("false AS failed", "log_time", "authtime", *list_flags, *role_flags, parties)
         .where(
             f"(NOT as_server AND {c.known('reply', 'session')}) "
             f"OR (as_server AND {c.known('session', 'ticket')})"
         )
     )
-    lost = with_list_flags(failure, lists).selectExpr(
+    lost = with_list_flags(failure, lists, enctypes).selectExpr(
         "true AS failed", "log_time", f"{_ZERO} AS authtime", *list_flags,
         *[f"CAST(NULL AS int) AS {n}" for n in role_flags], parties,
     )
@@ -144,10 +149,10 @@ def princ_last_seen(
 def princ_delta(fold: DataFrame) -> DataFrame:
     """A principal fold widened to the full principal table."""
     filled = _fill(fold, ["name", *PRINC_MEASURES])
-    return filled.withColumn("host", F.lit(None).cast("string")).select(*PRINC.names)
+    return filled.withColumn("host", principal_host(F.col("name"))).select(*PRINC.names)
 
 
-def ccs_last_seen(success: DataFrame, enctypes: DataFrame | None = None) -> DataFrame:
+def ccs_last_seen(success: DataFrame, enctypes: Known = None) -> DataFrame:
     """Per address, client and server: last weak and last strong session key."""
     named = {f"last_{k}": c.latest(when) for k, when in c.SESSION_KEY.items()}
     return (

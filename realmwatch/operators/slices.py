@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from realmwatch.functions.times import day_start
 from realmwatch.operators import conditions as c
-from realmwatch.operators.joins import with_list_flags, with_role_flags
+from realmwatch.operators.joins import Known, with_list_flags, with_role_flags
 from realmwatch.schemas import (
     CCS_SLICES,
     CLIENT_SLICES,
@@ -37,14 +37,17 @@ def _by_day(rows: DataFrame, keys: list[str], counts: dict[str, str]) -> DataFra
 
 
 def client_slices(
-    events: DataFrame, lists: DataFrame | None = None, is_success: int = 1
+    events: DataFrame,
+    lists: DataFrame | None = None,
+    is_success: int = 1,
+    enctypes: Known = None,
 ) -> DataFrame:
     """Per address and day: requests by type and by strength of the offered list.
 
     Takes success events, or failure events with is_success=0.
     """
     counts = {f"n{k}": c.tally(when) for k, when in c.CLIENT_ADDRESS.items()}
-    fold = _by_day(with_list_flags(events, lists), ["ip"], counts)
+    fold = _by_day(with_list_flags(events, lists, enctypes), ["ip"], counts)
     return fold.withColumn("is_success", F.lit(is_success)).select(*CLIENT_SLICES.names)
 
 
@@ -54,10 +57,10 @@ def _princ_counts(fold: DataFrame) -> DataFrame:
 
 
 def princ_slices(
-    success: DataFrame, lists: DataFrame | None = None, enctypes: DataFrame | None = None
+    success: DataFrame, lists: DataFrame | None = None, enctypes: Known = None
 ) -> DataFrame:
     """Per client principal and day: what its requests offered and got."""
-    flagged = with_role_flags(with_list_flags(success, lists), enctypes)
+    flagged = with_role_flags(with_list_flags(success, lists, enctypes), enctypes)
     met = {**c.OFFERED, **c.RECEIVED}
     counts = {"nauth": c.tally(c.IS_AS), **{f"nreq_{k}": c.tally(w) for k, w in met.items()}}
     rows = flagged.where(c.known("reply", "session"))
@@ -71,7 +74,7 @@ def princ_fail_slices(failure: DataFrame) -> DataFrame:
 
 
 def ticket_slices(
-    success: DataFrame, failure: DataFrame, enctypes: DataFrame | None = None
+    success: DataFrame, failure: DataFrame, enctypes: Known = None
 ) -> DataFrame:
     """Per server principal and day: tickets issued and refused, and their keys."""
     issued = with_role_flags(success, enctypes).where(c.known("session", "ticket"))
@@ -91,7 +94,14 @@ def ticket_slices(
     return _princ_counts(_by_day(rows, ["server_name AS name"], counts))
 
 
-def ccs_slices(success: DataFrame, enctypes: DataFrame | None = None) -> DataFrame:
+def ticket_counts(
+    success: DataFrame, failure: DataFrame, enctypes: Known = None
+) -> DataFrame:
+    """Ticket slices to be merged with those of clients: their entries are no requests."""
+    return ticket_slices(success, failure, enctypes).withColumn("nentries", F.lit(0).cast("long"))
+
+
+def ccs_slices(success: DataFrame, enctypes: Known = None) -> DataFrame:
     """Per address, client, server and day: weak and strong session keys."""
     rows = with_role_flags(success, enctypes).where(c.known("session"))
     keys = ["ip", "client_name AS cname", "server_name AS sname"]
@@ -104,14 +114,25 @@ def rate_name(count: str) -> str:
 
 
 def slice_rates(slices: DataFrame, unfilled: list[str] = ()) -> DataFrame:
-    """Slices with one rate per count, its share of the entries.
+    """Slices with one rate per count, its share of what it is counted over.
 
-    Counts named in `unfilled` have no source in these slices; their rates are NULL.
+    Ticket counts are shares of the tickets issued and refused, all others of the entries
+    that are not failures, so merging failures or tickets in changes no other rate.  A share
+    of nothing is NULL.  Counts named in `unfilled` have no source in these slices; their
+    rates are NULL.
     """
+    entries = "nentries - nfail" if "nfail" in slices.columns else "nentries"
     rated = [
         n for n in slices.columns if n.startswith("n") and n not in ("name", "nentries", "nauth", "nfail")
     ]
-    share = {n: "CAST(NULL AS double)" if n in unfilled else f"double({n}) / double(nentries)" for n in rated}
+
+    def over(count: str) -> str:
+        return "nticket_issue + nticket_fail" if count in PRINC_TICKET_COUNTS else entries
+
+    share = {
+        n: "CAST(NULL AS double)" if n in unfilled else f"try_divide(double({n}), double({over(n)}))"
+        for n in rated
+    }
     return slices.selectExpr("*", *[f"{text} AS {rate_name(n)}" for n, text in share.items()])
 
 

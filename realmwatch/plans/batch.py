@@ -7,46 +7,67 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from realmwatch.functions.enctypes import enctype_rows
 from realmwatch.operators import last_seen, slices
 from realmwatch.operators.lists import discover_lists, list_flags
 from realmwatch.operators.merge import upsert
 from realmwatch.plans.folders import Folder
 from realmwatch.plans.store import SummaryStore
+from realmwatch.schemas import REPORT_COUNTS
 from realmwatch.sources import logs, parser, tables
 
 
 def summary_deltas(
-    success: DataFrame, failure: DataFrame, failures_too: bool = False, triples: bool = False
+    success: DataFrame,
+    failure: DataFrame,
+    failures_too: bool = False,
+    triples: bool = False,
+    tickets: bool = False,
+    enctypes: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """The deltas of one set of events, by store table.
 
     `failures_too` also folds failures into client.last_fail and into slices of their own;
-    `triples` also slices address/client/server triples by day.
+    `triples` also slices address/client/server triples by day; `tickets` counts tickets into
+    the principal slices of their servers.  `enctypes` is a site's own enctype table, which
+    then decides every flag, of lists and of keys.
     """
+    known = None if enctypes is None else enctype_rows(enctypes)
     deltas = {
-        "req_enctypes_lists": list_flags(discover_lists(success, failure)),
-        "client": last_seen.client_last_seen(success),
-        "princ": last_seen.princ_last_seen(success, failure),
-        "client_cname_sname": last_seen.ccs_last_seen(success),
-        "client_slice_data": slices.client_slices(success),
-        "princ_slice_data": slices.princ_slices(success),
+        "req_enctypes_lists": list_flags(discover_lists(success, failure), enctypes),
+        "client": last_seen.client_last_seen(success, enctypes=known),
+        "princ": last_seen.princ_last_seen(success, failure, enctypes=known),
+        "client_cname_sname": last_seen.ccs_last_seen(success, known),
+        "client_slice_data": slices.client_slices(success, enctypes=known),
+        "princ_slice_data": slices.princ_slices(success, enctypes=known),
     }
     if failures_too:
         deltas["client"] = upsert(
             deltas["client"], last_seen.client_last_fail(failure), ["ip"], "max"
         )
         deltas["client_slice_data"] = deltas["client_slice_data"].unionByName(
-            slices.client_slices(failure, is_success=0)
+            slices.client_slices(failure, is_success=0, enctypes=known)
         )
         deltas["princ_slice_data"] = deltas["princ_slice_data"].unionByName(
             slices.princ_fail_slices(failure)
         )
+    if tickets:
+        deltas["princ_slice_data"] = deltas["princ_slice_data"].unionByName(
+            slices.ticket_counts(success, failure, known)
+        )
     if triples:
-        deltas["ccs_slice_data"] = slices.ccs_slices(success)
+        deltas["ccs_slice_data"] = slices.ccs_slices(success, known)
     return deltas
 
 
+def report_counts(events: DataFrame) -> DataFrame:
+    """Lines with something to report, counted by problem."""
+    reported = parser.rejects(events).groupBy("reason", "kept")
+    return reported.agg(F.count("*").alias("nlines")).select(*REPORT_COUNTS.names)
+
+
 def fold_into(store: SummaryStore, batch_id: str, deltas: dict[str, DataFrame]) -> bool:
     """Write and commit a batch; False when it had been committed before.
 
@@ -74,20 +95,28 @@ def run_batch(
     store: SummaryStore,
     batch_id: str,
     discard: bool = False,
-    **extras: bool,
+    kdc_only: bool = False,
+    **extras,
 ) -> bool:
     """Load log files, then fold their events into the store under a batch id.
 
-    Lines are parsed once, on the way to `events_path`; the folds read that table with
-    only the columns they need.  Loading the same batch id again changes nothing.  With
-    `discard` the event table is removed once its folds are committed.
+    Lines are parsed once, on the way to the batch's own folder below `events_path`, beside
+    those of other batches; the folds read it with only the columns they need.  Loading the
+    same batch id again changes nothing, and a failed attempt is written anew.  With
+    `discard` the batch's events are removed once its folds are committed.  `kdc_only` drops
+    the lines of other daemons before they are parsed.
     """
     if store.is_committed(batch_id):
         return False
     raw = logs.drop_local_tgt(logs.scan_logs(spark, paths))
-    tables.write_events(parser.parse_events(raw), events_path, mode="overwrite")
-    loaded = tables.read_logs(spark, events_path)
-    fold_into(store, batch_id, summary_deltas(loaded.success, loaded.failure, **extras))
+    path = tables.batch_folder(events_path, batch_id)
+    tables.write_events(
+        parser.parse_events(logs.kdc_lines(raw) if kdc_only else raw), path, mode="overwrite"
+    )
+    loaded = tables.read_logs(spark, path)
+    deltas = summary_deltas(loaded.success, loaded.failure, **extras)
+    deltas["report_counts"] = report_counts(tables.read_events(spark, path))
+    fold_into(store, batch_id, deltas)
     if discard:
-        Folder(spark, events_path).remove()
+        Folder(spark, path).remove()
     return True

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from realmwatch.functions.enctypes import enctype_dim, extend_enctypes, tokens
 from realmwatch.functions.text import principal_host
 from realmwatch.operators import audit, joins, last_seen, lists, merge, slices, trends
+from realmwatch.plans.batch import run_batch
 from realmwatch.plans.folders import scratch_dir
 from realmwatch.plans.store import TABLES, SummaryStore
 from realmwatch.plans.views import register_views
@@ -109,6 +110,34 @@ def rejects(spark, sf_dir):
     return parser.rejects(parser.parse_events(bridge.broken_lines(_log(spark, sf_dir))))
 
 
+@query
+def parse_odd_failures(spark, sf_dir):
+    """Refusals without a comma or without names, with extra blanks, with a code that cleans to ISSUE."""
+    return parser.failures(parser.parse_events(bridge.odd_refusals(_log(spark, sf_dir))))
+
+
+@query
+def reject_odd_failures(spark, sf_dir):
+    """What is reported of them: kept events that name nobody."""
+    reports = parser.rejects(parser.parse_events(bridge.odd_refusals(_log(spark, sf_dir))))
+    return reports.groupBy("reason", "kept").agg(F.count("*").alias("nlines"))
+
+
+@query
+def row_constraints(spark, sf_dir):
+    """Events that break a rule of their table, by the rule; each rule is broken by some."""
+    log = _log(spark, sf_dir)
+    gone = {n: F.when(F.col("event_id") % 13 == i, None).otherwise(F.col(n)) for i, n in enumerate(_RULED)}
+    kind = F.when(F.col("event_id") % 17 == 16, F.lit(2)).otherwise(F.col("req_type"))
+    log = log.withColumns(gone).withColumn("req_type", kind)
+    won = audit.invalid_rows(bridge.success_events(log)).select(F.lit(0).alias("failed"), "problem")
+    lost = audit.invalid_rows(bridge.failure_events(log), failed=True).select(F.lit(1).alias("failed"), "problem")
+    return won.unionByName(lost).groupBy("failed", "problem").agg(F.count("*").alias("nrows"))
+
+
+_RULED = ["ip", "authtime", "client_name", "session_enctype"]
+
+
 @query
 def union_logs_by_kdc(spark, sf_dir):
     success = _success(spark, sf_dir)
@@ -183,7 +212,7 @@ def list_flags(spark, sf_dir):
 def join_lists(spark, sf_dir):
     success = _success(spark, sf_dir)
     dim = lists.list_flags(lists.discover_lists(success))
-    joined = joins.join_lists(success, joins.broadcast_if_small(dim))
+    joined = joins.join_lists(success, dim)  # adaptive execution broadcasts it if it proves small
     return joined.select("event_id", "list_modern", "list_weak", "list_too_weak")
 
 
@@ -309,6 +338,42 @@ def client_slice_rates(spark, sf_dir):
     return slices.slice_rates(slices.client_slices(_success(spark, sf_dir)))
 
 
+@query
+def princ_slices_extended(spark, sf_dir):
+    """With the site's own enctypes no event of an unknown session key is lost."""
+    success = bridge.success_events(bridge.unknown_session_keys(_log(spark, sf_dir)))
+    return slices.princ_slices(success, enctypes=_site_enctypes(spark))
+
+
+@query
+def ccs_slices_extended(spark, sf_dir):
+    success = bridge.success_events(bridge.unknown_session_keys(_log(spark, sf_dir)))
+    return slices.ccs_slices(success, _site_enctypes(spark))
+
+
+def _site_enctypes(spark) -> DataFrame:
+    own = spark.sql("SELECT 99 AS enctype, 'site-99' AS name, 1 AS is_modern, 0 AS is_weak")
+    return extend_enctypes(enctype_dim(spark), own)
+
+
+@query
+def prune_all_slices(spark, sf_dir):
+    """The three slice tables with the same days left out of each."""
+    success = _success(spark, sf_dir)
+    made = {
+        "client": slices.client_slices(success),
+        "princ": slices.princ_slices(success),
+        "ccs": slices.ccs_slices(success),
+    }
+    kept = [
+        slices.prune(table, KEEP_DAYS, AS_OF).select(F.lit(name).alias("slices"), "starttime", "nentries")
+        for name, table in made.items()
+    ]
+    return union_logs(*kept).groupBy("slices", "starttime").agg(
+        F.count("*").alias("nrows"), F.sum("nentries").alias("nentries")
+    )
+
+
 @query
 def princ_slice_rates(spark, sf_dir):
     return slices.princ_request_rates(slices.princ_slices(_success(spark, sf_dir)))
@@ -319,6 +384,45 @@ def prune_slices(spark, sf_dir):
     return slices.prune(slices.client_slices(_success(spark, sf_dir)), KEEP_DAYS, AS_OF)
 
 
+# -- the batch workflow through files --------------------------------------------------
+
+
+def _two_loads(spark, sf_dir, **options) -> tuple[SummaryStore, str]:
+    """Both halves of the log, each loaded from its own files under its own batch id."""
+    root = scratch_dir(spark, "loads")
+    store = SummaryStore(spark, f"{root}/store")
+    for batch_id, half in (("load-a", bridge.older), ("load-b", bridge.newer)):
+        path = _lines_in(root, f"lines-{batch_id}", half(_log(spark, sf_dir)))
+        run_batch(spark, path, f"{root}/events", store, batch_id, **options)
+    return store, f"{root}/events"
+
+
+@query
+def batch_two_loads(spark, sf_dir):
+    """Events of both loads read back: the second leaves the first as it is."""
+    loaded = read_logs(spark, _two_loads(spark, sf_dir)[1])
+    parts = [
+        events.select(F.lit(name).alias("outcome"), "log_time", "ip", "client_name", "server_name")
+        for name, events in (("success", loaded.success), ("failure", loaded.failure))
+    ]
+    return union_logs(*parts).groupBy("outcome", "log_time", "ip", "client_name", "server_name").agg(
+        F.count("*").alias("nrows")
+    )
+
+
+@query
+def store_princ(spark, sf_dir):
+    return _two_loads(spark, sf_dir)[0].read("princ")
+
+
+@query
+def store_princ_slice_rates(spark, sf_dir):
+    """Rates of slices into which failures and tickets were merged."""
+    store, _ = _two_loads(spark, sf_dir, failures_too=True, tickets=True, triples=True)
+    rated = store.read_rates("princ_slice_data")
+    return rated.select("name", "starttime", "nfail", *[c for c in rated.columns if c.endswith("_rate")])
+
+
 # -- audits ----------------------------------------------------------------------------
 
 
@@ -390,6 +494,40 @@ def stream_late_data(spark, sf_dir):
     return _streamed(spark, sf_dir, bridge.newer, bridge.older).read("client_slice_data")
 
 
+@query
+def stream_retention(spark, sf_dir):
+    """Slices kept by a stream that drops those older than the given time, whatever a line claims."""
+    root = scratch_dir(spark, "retention")
+    store = SummaryStore(spark, f"{root}/store")
+    bridge.future_lines(_log(spark, sf_dir)).select("value").write.text(f"{root}/lines")
+    run_incremental(
+        logs.scan_stream(spark, f"{root}/lines"), store, f"{root}/checkpoint",
+        compact_every=1, days=KEEP_DAYS, as_of=AS_OF,
+    ).awaitTermination()
+    return store.read("client_slice_data")
+
+
+@query
+def stream_two_sources(spark, sf_dir):
+    """Two streams with checkpoints of their own fold into one store."""
+    root = scratch_dir(spark, "sources")
+    store = SummaryStore(spark, f"{root}/store")
+    for name, half in (("a", bridge.older), ("b", bridge.newer)):
+        path = _lines_in(root, f"lines-{name}", half(_log(spark, sf_dir)))
+        run_incremental(logs.scan_stream(spark, path), store, f"{root}/checkpoint-{name}").awaitTermination()
+    return store.read("client_slice_data")
+
+
+@query
+def stream_reject_counts(spark, sf_dir):
+    """Lines to be reported, counted by the stream itself."""
+    root = scratch_dir(spark, "reports")
+    store = SummaryStore(spark, f"{root}/store")
+    bridge.broken_lines(_log(spark, sf_dir)).select("value").write.text(f"{root}/lines")
+    run_incremental(logs.scan_stream(spark, f"{root}/lines"), store, f"{root}/checkpoint").awaitTermination()
+    return store.read("report_counts")
+
+
 # -- completions of what the model declares --------------------------------------------
 
 

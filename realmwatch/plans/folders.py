@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -44,5 +45,27 @@ class Folder:
     def mark(self, *parts: str) -> None:
         self._fs.create(self._path(self.at(*parts)), True).close()
 
+    def claim(self, text: str, *parts: str) -> bool:
+        """Create a marker that holds `text`; False if there is one already."""
+        self._fs.mkdirs(self._path(self.at(*parts[:-1])))
+        try:
+            out = self._fs.create(self._path(self.at(*parts)), False)
+        except Py4JJavaError as error:
+            if self.exists(*parts):
+                return False
+            raise error
+        out.write(bytearray(text.encode()))
+        out.close()
+        return True
+
+    def text(self, *parts: str) -> str:
+        path = self._path(self.at(*parts))
+        size = self._fs.getFileStatus(path).getLen()
+        stream = self._fs.open(path)
+        try:
+            return bytes(stream.readNBytes(size)).decode()
+        finally:
+            stream.close()
+
     def remove(self, *parts: str) -> None:
         self._fs.delete(self._path(self.at(*parts)), True)

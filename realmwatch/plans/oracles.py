@@ -140,6 +140,9 @@ _PRINC_FOLDS = [
 ]
 
 
+_HOST = "CASE WHEN strpos(n.name, '/') > 0 THEN string_split(string_split(n.name, '/')[2], '@')[1] END"
+
+
 def _merged_princ() -> str:
     def pick(name: str, *tables: str) -> str:
         values = ", ".join(f"coalesce({t}.{name}, 0)" for t in tables)
@@ -153,7 +156,7 @@ def _merged_princ() -> str:
         + [pick("ls_ticket_issue", "ps"), pick("ls_ticket_fail", "psf")]
         + [pick(f"ls_ticket_{k}", "ps") for k in _TICKET]
     )
-    return f"""SELECT n.name, CAST(NULL AS VARCHAR) AS host, {', '.join(columns)} FROM names n
+    return f"""SELECT n.name, {_HOST} AS host, {', '.join(columns)} FROM names n
   LEFT JOIN pc ON pc.name = n.name LEFT JOIN ps ON ps.name = n.name
   LEFT JOIN pcf ON pcf.name = n.name LEFT JOIN psf ON psf.name = n.name"""
 
@@ -188,6 +191,18 @@ def _no_rates(names: list[str]) -> str:
     return "".join(f", CAST(NULL AS DOUBLE) AS {n[1:]}_rate" for n in names)
 
 
+_CCS_SLICES = _slice(
+    "ip, client_name AS cname, server_name AS sname",
+    {"nlast_weak_sess_key": "sw = 1", "nlast_strong_sess_key": "sw = 0"},
+    group="ip, client_name, server_name",
+)
+# Session keys that only the site's own table knows, as not weak.
+_SITE = "site AS (SELECT * REPLACE (CASE WHEN event_id % 97 = 0 THEN 0 ELSE sw END AS sw) FROM ok)"
+_REQ_RATES = {k.removeprefix("n"): w for k, w in _REQ_COUNTS.items()}
+_TICKET_RATES = {
+    "ticket_issue": "code = 'ISSUE'", "ticket_fail": "code <> 'ISSUE'",
+    **{f"ticket_{k}": f"code = 'ISSUE' AND {w}" for k, w in _TICKET.items()},
+}
 _CLIENT_RATED = f"SELECT *{_rates(list(_CLIENT_COUNTS))} FROM ({_CLIENT_SLICES})"
 _CLIENT_RATE_NAMES = [f"{n[1:]}_rate" for n in _CLIENT_COUNTS]
 
@@ -333,11 +348,7 @@ ORACLES: dict[str, str] = {
     "princ_slices": _sql(_PRINC_SLICES),
     "ccs_slices": _sql(
         "SELECT *" + _rates(["nlast_weak_sess_key", "nlast_strong_sess_key"]) + " FROM ("
-        + _slice(
-            "ip, client_name AS cname, server_name AS sname",
-            {"nlast_weak_sess_key": "sw = 1", "nlast_strong_sess_key": "sw = 0"},
-            group="ip, client_name, server_name",
-        ) + ")"
+        + _CCS_SLICES + ")"
     ),
     "upsert_client": _sql(f"SELECT {_CLIENT} FROM ok GROUP BY ip"),
     "upsert_princ": _sql(_merged_princ(), *_PRINC_FOLDS),
@@ -397,4 +408,67 @@ ORACLES: dict[str, str] = {
             rows="ev", group="server_name",
         ) + ")"
     ),
+    "parse_odd_failures": _sql(
+        """SELECT event_id, log_time, kdc, ip, 1 AS req_type,
+        CASE event_id % 5 WHEN 0 THEN 'NEEDED_PREAUTH' WHEN 1 THEN 'BAD_REQUEST' WHEN 2 THEN 'LOOKING_UP'
+          WHEN 3 THEN 'ISSUE' ELSE 'EXPIRED' END AS code,
+        '18' AS req_enctypes, '18' AS req_enctypes_orig,
+        CASE WHEN event_id % 5 <> 1 THEN client_name END AS client_name,
+        CASE WHEN event_id % 5 <> 1 THEN server_name END AS server_name,
+        CASE WHEN event_id % 5 = 0 THEN client_name || ' for ' || server_name ELSE reason END AS reason FROM ev"""
+    ),
+    "reject_odd_failures": _sql(
+        """SELECT 'no client and server' AS reason, 1 AS kept, count(*) AS nlines
+        FROM ev WHERE event_id % 5 = 1 HAVING count(*) > 0"""
+    ),
+    "row_constraints": _sql(
+        """SELECT failed, problem, count(*) AS nrows FROM (
+          SELECT CASE WHEN code = 'ISSUE' THEN 0 ELSE 1 END AS failed,
+            CASE WHEN event_id % 13 = 0 THEN 'ip is missing'
+              WHEN code = 'ISSUE' AND event_id % 13 = 1 THEN 'authtime is missing'
+              WHEN code = 'ISSUE' AND event_id % 13 = 2 THEN 'client_name is missing'
+              WHEN code = 'ISSUE' AND event_id % 13 = 3 THEN 'session_enctype is missing'
+              WHEN event_id % 17 = 16 THEN 'req_type is unknown' END AS problem FROM ev)
+        WHERE problem IS NOT NULL GROUP BY failed, problem"""
+    ),
+    "princ_slices_extended": _sql(_PRINC_SLICES.replace("FROM ok", "FROM site"), _SITE),
+    "ccs_slices_extended": _sql(_CCS_SLICES.replace("FROM ok", "FROM site"), _SITE),
+    "prune_all_slices": _sql(
+        " UNION ALL ".join(
+            f"""SELECT '{name}' AS slices, starttime, count(*) AS nrows, CAST(sum(nentries) AS BIGINT) AS nentries
+            FROM ({table}) WHERE starttime >= 1706659200 - 10 * 86400 GROUP BY starttime"""
+            for name, table in (("client", _CLIENT_SLICES), ("princ", _PRINC_SLICES), ("ccs", _CCS_SLICES))
+        )
+    ),
+    "batch_two_loads": _sql(
+        """SELECT CASE WHEN code = 'ISSUE' THEN 'success' ELSE 'failure' END AS outcome,
+        log_time, ip, client_name, server_name, count(*) AS nrows FROM ev GROUP BY ALL"""
+    ),
+    "store_princ": _sql(_merged_princ(), *_PRINC_FOLDS),
+    "store_princ_slice_rates": _sql(
+        f"""SELECT n.name, n.starttime, CAST(coalesce(f.nfail, 0) AS BIGINT) AS nfail,
+        {", ".join(f"c.{k}_rate" for k in _REQ_RATES)}, {", ".join(f"t.{k}_rate" for k in _TICKET_RATES)}
+        FROM (SELECT client_name AS name, d AS starttime FROM ev UNION SELECT server_name, d FROM ev) n
+        LEFT JOIN (SELECT client_name AS name, d AS starttime,
+            {", ".join(f"CAST(sum(CASE WHEN {w} THEN 1 ELSE 0 END) AS DOUBLE) / count(*) AS {k}_rate" for k, w in _REQ_RATES.items())}
+            FROM ok GROUP BY 1, 2) c ON c.name = n.name AND c.starttime = n.starttime
+        LEFT JOIN (SELECT client_name AS name, d AS starttime, count(*) AS nfail FROM bad GROUP BY 1, 2) f
+            ON f.name = n.name AND f.starttime = n.starttime
+        LEFT JOIN (SELECT server_name AS name, d AS starttime,
+            {", ".join(f"CAST(sum(CASE WHEN {w} THEN 1 ELSE 0 END) AS DOUBLE) / count(*) AS {k}_rate" for k, w in _TICKET_RATES.items())}
+            FROM ev GROUP BY 1, 2) t ON t.name = n.name AND t.starttime = n.starttime"""
+    ),
+    "stream_retention": _sql(
+        f"""SELECT * FROM ({_CLIENT_SLICES.replace("FROM ok", "FROM ahead")})
+        WHERE starttime >= 1706659200 - 10 * 86400""",
+        """ahead AS (SELECT * REPLACE (CASE WHEN event_id % 499 = 0 THEN 4070908800 ELSE d END AS d) FROM ok)""",
+    ),
+    "stream_two_sources": _sql(_CLIENT_SLICES),
+    "stream_reject_counts": _sql(
+        """SELECT reason, kept, count(*) AS nlines FROM (
+          SELECT CASE event_id % 6 WHEN 0 THEN 'no usable time' WHEN 2 THEN 'empty enctype list'
+            ELSE 'malformed entry' END AS reason,
+            CASE WHEN event_id % 6 = 2 THEN 1 ELSE 0 END AS kept FROM ev WHERE event_id % 6 IN (0, 1, 2, 3))
+        GROUP BY reason, kept"""
+    ),
 }

@@ -4,9 +4,9 @@ Every measure is a max or a sum, so an update needs no read-modify-write:
 
     deltas/<table>/batch_id=<id>/[day=<day>/]   one fold of one batch
     commits/<id>                                written last: the batch counts from now on
-    base/<version>/<table>/[day=<day>/]         deltas folded together by compact()
-    base/<version>_covered/                     ids of the batches inside that base
-    versions/<version>                          written last: that base counts from now on
+    base/<build>/<table>/[day=<day>/]           deltas folded together by compact()
+    base/<build>_covered/                       ids of the batches inside that base
+    versions/<number>                           written last, by one build only: holds its name
 
 A batch that fails half-way leaves no commit and is rewritten by its retry; a batch that
 is committed already is skipped.  No file a reader may hold is ever overwritten.
@@ -14,6 +14,7 @@ is committed already is skipped.  No file a reader may hold is ever overwritten.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -50,6 +51,7 @@ TABLES = {
     "princ": Table(s.PRINC, ["name"]),
     "client_cname_sname": Table(s.CCS, ["ip", "cname", "sname"]),
     "req_enctypes_lists": Table(s.LISTS, KEY),
+    "report_counts": Table(s.REPORT_COUNTS, ["reason", "kept"], {"nlines": "sum"}),
     "client_slice_data": _daily(s.CLIENT_SLICES, slices.KEYS["client"]),
     "princ_slice_data": _daily(s.PRINC_SLICES, slices.KEYS["princ"]),
     "ccs_slice_data": _daily(s.CCS_SLICES, slices.KEYS["ccs"]),
@@ -98,8 +100,9 @@ class SummaryStore:
     # -- reading ---------------------------------------------------------------------
 
     def _version(self) -> str | None:
+        """The build that the newest version names."""
         versions = self.folder.names("versions")
-        return versions[-1] if versions else None
+        return self.folder.text("versions", versions[-1]) if versions else None
 
     def _covered(self, version: str) -> DataFrame:
         return self.spark.read.schema("batch_id string").parquet(
@@ -150,15 +153,22 @@ class SummaryStore:
         return scan.parquet(*[f"{root}/{p}" for p in present]).drop("batch_id")
 
     def read_rates(self, name: str, days: int | None = None, as_of: int | None = None) -> DataFrame:
-        """A merged slice table with its rates; no fold here fills the ticket counts."""
-        return slices.slice_rates(self.read(name, days, as_of), s.PRINC_TICKET_COUNTS)
+        """A merged slice table with its rates; those of counts that no batch filled are NULL."""
+        return slices.slice_rates(self.read(name, days, as_of))
 
     # -- maintenance -----------------------------------------------------------------
 
-    def compact(self, days: int | None = None, as_of: int | None = None) -> str:
-        """Fold everything committed into a new base, leaving out slices past retention."""
+    def compact(self, days: int | None = None, as_of: int | None = None) -> str | None:
+        """Fold everything committed into a new base, leaving out slices past retention.
+
+        Every build has folders of its own.  The version after the one it started from is
+        claimed last; if another compaction has claimed it meanwhile, this build is discarded
+        and None returned.
+        """
+        numbers = self.folder.names("versions")
+        number = f"{int(numbers[-1] if numbers else 0) + 1:010d}"
         seen = self.snapshot()
-        version = f"{int(seen.version or 0) + 1:010d}"
+        version = f"{number}-{uuid.uuid4().hex}"
         covered = self.spark.createDataFrame([(b,) for b in seen.batches], "batch_id string")
         if seen.version is not None:
             covered = covered.unionByName(self._covered(seen.version))
@@ -166,16 +176,22 @@ class SummaryStore:
         for name, table in TABLES.items():
             merged = self.read(name, days, as_of, at=seen)
             self._write(table, merged, self.folder.at("base", version, name))
-        self.folder.mark("versions", version)
-        return version
+        if self.folder.claim(version, "versions", number):
+            return version
+        self._drop_base(version)
+        return None
+
+    def _drop_base(self, version: str) -> None:
+        self.folder.remove("base", version)
+        self.folder.remove("base", f"{version}_covered")
 
     def vacuum(self) -> None:
         """Delete bases and deltas that the current version has replaced.
 
         Call it when no reader still holds an older snapshot.
         """
-        current = self._version()
-        if current is None:
+        numbers = self.folder.names("versions")
+        if not numbers:
             return
         fresh = set(self.snapshot().batches)
         for batch in self.folder.names("commits"):
@@ -183,8 +199,6 @@ class SummaryStore:
                 for name in TABLES:
                     self.folder.remove("deltas", name, f"batch_id={batch}")
                 self.folder.remove("commits", batch)
-        for version in self.folder.names("versions"):
-            if version != current:
-                self.folder.remove("versions", version)
-                self.folder.remove("base", version)
-                self.folder.remove("base", f"{version}_covered")
+        for number in numbers[:-1]:
+            self._drop_base(self.folder.text("versions", number))
+            self.folder.remove("versions", number)

@@ -16,12 +16,18 @@ def register_views(spark: SparkSession, **tables: DataFrame) -> None:
         table.createOrReplaceTempView(name)
 
 
-def attach(spark: SparkSession, store: SummaryStore, *loaded: ParsedLogs) -> None:
-    """Views of any number of logs and of the store's tables, under their table names."""
+def attach(
+    spark: SparkSession, store: SummaryStore, *loaded: ParsedLogs, enctypes: DataFrame | None = None
+) -> None:
+    """Views of any number of logs and of the store's tables, under their table names.
+
+    `enctypes` is a site's own enctype table, in place of the reference data.
+    """
+    known = enctype_dim(spark) if enctypes is None else enctypes
     events = {}
     if loaded:
         events["log_entry_success"] = union_logs(*[log.success for log in loaded])
         events["log_entry_fail"] = union_logs(*[log.failure for log in loaded])
     register_views(
-        spark, **events, enctypes=enctype_dim(spark), **{name: store.read(name) for name in TABLES}
+        spark, **events, enctypes=known, **{name: store.read(name) for name in TABLES}
     )

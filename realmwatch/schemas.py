@@ -84,5 +84,7 @@ CCS_SLICES = _struct(
     (_S, "ip cname sname"), (_L, " ".join(["starttime endtime nentries", *CCS_COUNTS]))
 )
 
+REPORT_COUNTS = _struct((_S, "reason"), (_I, "kept"), (_L, "nlines"))
+
 REQ_AS, REQ_TGS = 0, 1
 DAY_SECONDS = 86400

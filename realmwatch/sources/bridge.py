@@ -156,6 +156,26 @@ def soiled_lines(log: DataFrame) -> DataFrame:
     return log.selectExpr("event_id", f"{line} AS value")
 
 
+def odd_refusals(log: DataFrame) -> DataFrame:
+    """A refused request per log event, in five forms that a KDC may write."""
+    before = f"""concat({ISO}, '+0000 ', kdc, ' krb5kdc[', event_id % 100, '](info): TGS_REQ (1 etypes {{18}}) ', ip, ': ')"""
+    parties = "client_name, ' for ', server_name"
+    line = f"""concat({before}, CASE event_id % 5
+        WHEN 0 THEN concat('NEEDED_PREAUTH: ', {parties})
+        WHEN 1 THEN concat('BAD_REQUEST: nobody named, ', reason)
+        WHEN 2 THEN concat('LOOKING_UP:  ', {parties}, ', ', reason)
+        WHEN 3 THEN concat('IS%SUE: ', {parties}, ', ', reason)
+        ELSE concat('EXPIRED: authtime 0,   ', {parties}, ', ', reason) END)"""
+    return log.selectExpr("event_id", f"{line} AS value")
+
+
+def future_lines(log: DataFrame) -> DataFrame:
+    """Raw lines of which one in 499 carries the date of a clock that is far ahead."""
+    ahead = line_text(stamp="concat('2099-01-01T00:00:00+0000')")
+    line = f"CASE WHEN event_id % 499 = 0 THEN {ahead} ELSE {line_text()} END"
+    return log.selectExpr("event_id", f"{line} AS value")
+
+
 def broken_lines(log: DataFrame) -> DataFrame:
     """Raw lines of which two in three are damaged, each in one of four ways."""
     syslog = line_text(stamp="date_format(CAST(ts AS date), 'MMM dd')")

@@ -22,7 +22,8 @@ MARK = "\x01"
 
 # Named parts of a line.  A numeric part has an empty group when its text is no number.
 _TIME = r"(?<stamp>\d{4}-\d\d-\d\dT[\d:.]+)(?<offset>Z|[-+]\d\d:?\d\d)?"
-_HEADER = _TIME + r" (?:.*? )??(?<kdc>\S+) (?:krb|old|dmz|afsdmz)5kdc[^ ]*: "
+# Atomic: only the first daemon tag counts, so a line full of tags is read once.
+_HEADER = _TIME + r"(?> (?:.*? )??(?<kdc>\S+) (?:krb|old|dmz|afsdmz)5kdc[^ ]*: )"
 _REQUEST = (
     r"(?<type>\S+) \(\S+ etypes \{(?<orig>(?<numbers>[-0-9 ]*)|[^}]*)\}\) (?<ip>\S+): "
 )
@@ -32,8 +33,8 @@ _ISSUED = (
     r"(?<issued>.*)"
 )
 _REFUSED = (
-    r"(?!ISSUE:)(?<code>[^:]+): (?:authtime [^,]*,\s*)?(?:etypes \{[^}]*\},\s*)?"
-    r"(?<refused>.*), ?(?<reason>[^,]*)"
+    r"(?!ISSUE:)(?<code>[^:]+): (?:authtime [^,]*,\s*)?(?:etypes \{[^}]*\},\s*)?\s*"
+    r"(?:(?<refused>.*), ?(?<reason>[^,]*)|(?<whole>[^,]*))"
 )
 LINE = f"(?s)^{_HEADER}{_REQUEST}(?:{_ISSUED}|{_REFUSED})$"
 
@@ -51,9 +52,9 @@ _PARTS = {
     "rep": ["rep"],
     "tkt": ["tkt"],
     "ses": ["ses"],
-    "parties": ["issued", "refused"],
+    "parties": ["issued", "refused", "whole"],
     "code": ["code"],
-    "reason": ["reason"],
+    "reason": ["reason", "whole"],
 }
 # Groups are referred to by number, which the regex engine resolves faster than a name.
 _NUMBER = {name: i for i, name in enumerate(re.findall(r"\(\?<(\w+)>", LINE), 1)}
@@ -65,6 +66,7 @@ SUCCEEDED, FAILED, REJECTED = "success", "failure", "rejected"
 MALFORMED = "malformed entry"
 NO_TIME = "no usable time"
 EMPTY_LIST = "empty enctype list"
+NO_PARTIES = "no client and server"
 
 
 class ParsedLogs(NamedTuple):
@@ -91,7 +93,10 @@ def parse_events(raw: DataFrame) -> DataFrame:
     split_once = raw.select(*kept, "value", F.explode(F.array(spliced)).alias("part"))
 
     part = {name: F.get("part", F.lit(i)) for i, name in enumerate(_PARTS)}
-    matched = (F.size("part") == len(_PARTS)) & part["parties"].contains(_BETWEEN)
+    issued = part["code"] == ""  # the branch that matched; a code is text and decides nothing
+    named = part["parties"].contains(_BETWEEN)
+    # a refusal counts as one even where it names nobody
+    matched = (F.size("part") == len(_PARTS)) & (named | ~issued)
     listing = _single_spaced(part["numbers"])
     columns = {
         "matched": matched,
@@ -99,19 +104,21 @@ def parse_events(raw: DataFrame) -> DataFrame:
         "kdc": clean(part["kdc"]),
         "ip": part["ip"],
         "req_type": F.when(clean(part["type"]) == "AS_REQ", REQ_AS).otherwise(REQ_TGS),
-        "code": F.when(part["code"] == "", "ISSUE").otherwise(clean(part["code"])),
+        "issued": issued,
+        "named": named,
+        "code": F.when(issued, "ISSUE").otherwise(clean(part["code"])),
         "req_enctypes": F.when(listing == "", "0").otherwise(canonical_list(listing)),
         "req_enctypes_orig": _single_spaced(part["orig"]),
         "authtime": number_or_zero(part["authtime"], "bigint"),
-        "client_name": clean(F.substring_index(part["parties"], _BETWEEN, 1)),
-        "server_name": clean(F.substring_index(part["parties"], _BETWEEN, -1)),
+        "client_name": F.when(named, clean(F.substring_index(part["parties"], _BETWEEN, 1))),
+        "server_name": F.when(named, clean(F.substring_index(part["parties"], _BETWEEN, -1))),
         "reply_enctype": number_or_zero(part["rep"], "int"),
         "ticket_enctype": number_or_zero(part["tkt"], "int"),
         "session_enctype": number_or_zero(part["ses"], "int"),
         "reason": clean(part["reason"]),
     }
     fields = split_once.select(*kept, "value", *[c.alias(n) for n, c in columns.items()])
-    return fields.withColumns({"problem": _problem(), "outcome": _outcome()}).drop("matched")
+    return fields.withColumns({"problem": _problem(), "outcome": _outcome()}).drop("matched", "issued", "named")
 
 
 def _problem() -> Column:
@@ -121,6 +128,7 @@ def _problem() -> Column:
     return (
         F.when(~F.col("matched"), F.when(tagged & ~iso, NO_TIME).otherwise(MALFORMED))
         .when(F.col("log_time").isNull(), NO_TIME)
+        .when(~F.col("named"), NO_PARTIES)
         .when(F.col("req_enctypes_orig") == "", EMPTY_LIST)
     )
 
@@ -128,7 +136,7 @@ def _problem() -> Column:
 def _outcome() -> Column:
     return (
         F.when(F.col("log_time").isNull(), REJECTED)
-        .when(F.col("code") == "ISSUE", SUCCEEDED)
+        .when(F.col("issued"), SUCCEEDED)
         .otherwise(FAILED)
     )
 

@@ -44,8 +44,14 @@ def write_events(events: DataFrame, path: str, mode: str = "append") -> None:
     stored_form(events).write.mode(mode).partitionBy(*PARTITIONS).parquet(path)
 
 
+def batch_folder(path: str, batch_id: str) -> str:
+    """Where one load's events stand below the events of all loads."""
+    return f"{path.rstrip('/')}/batch_id={batch_id}"
+
+
 def read_events(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(_STORED).parquet(path)
+    """The events of one load, or of all loads below a path."""
+    return spark.read.schema(_STORED).parquet(path).select(*_STORED.names)
 
 
 def read_logs(spark: SparkSession, path: str) -> parser.ParsedLogs:

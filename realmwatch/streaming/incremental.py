@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from realmwatch.functions.times import day_start
 from realmwatch.operators import conditions as c
 from realmwatch.operators.joins import with_list_flags
-from realmwatch.plans.batch import fold_into, summary_deltas
+from realmwatch.plans.batch import fold_into, report_counts, summary_deltas
 from realmwatch.plans.store import SummaryStore
 from realmwatch.schemas import CLIENT_SLICES, DAY_SECONDS
 from realmwatch.sources import logs, parser, tables
@@ -20,46 +22,58 @@ def run_incremental(
     lines: DataFrame,
     store: SummaryStore,
     checkpoint: str,
-    name: str = "live",
+    name: str | None = None,
     every: str | None = None,
     compact_every: int | None = None,
     days: int | None = None,
+    as_of: int | None = None,
     rejects_path: str | None = None,
-    **extras: bool,
+    kdc_only: bool = False,
+    **extras,
 ) -> StreamingQuery:
     """Parse, fold and discard each micro-batch; data of any age joins its own day.
 
-    `name` and the batch number of the checkpoint name the batch in the store, so a batch
-    that is replayed after a failure is written once.  A stream with a new checkpoint over
-    other data needs a new name, or its first batches pass for replays.  `every` is a processing-time interval;
-    without it the stream ends when the input present at the start is used up.  Every
-    `compact_every` batches the store is compacted; with `days` that drops the slices
-    older than so many days before the newest one.  Lines with something to report are
-    written under `rejects_path`, by batch.
+    A batch is named in the store by its number and the id that its query keeps in the
+    checkpoint, so a batch that is replayed after a failure is written once, and streams with
+    checkpoints of their own never meet.  A `name` takes the id's place: then a new
+    checkpoint under the same name must read the same data in the same batches.  `every` is a
+    processing-time interval; without it the stream ends when the input present at the start
+    is used up.  Every `compact_every` batches the store is compacted; with `days` that drops
+    the slices that began more than so many days before `as_of`, by default the clock, and
+    never before what a log line claims.  Lines with something to report are counted by
+    problem in the store's `report_counts`, and written under `rejects_path`, if given, by
+    batch.  `kdc_only` drops the lines of other daemons.
     """
 
     def fold(batch: DataFrame, number: int) -> None:
-        batch_id = f"{name}-{number:010d}"
+        context = batch.sparkSession.sparkContext
+        source = name or context.getLocalProperty("sql.streaming.queryId")
+        if not source:
+            raise RuntimeError("the stream has no query id; give it a name")
+        batch_id = f"{source}-{number:010d}"
         if store.is_committed(batch_id):
             return
-        parsed = parser.parse_events(logs.drop_local_tgt(batch))
+        raw = logs.drop_local_tgt(batch)
+        parsed = parser.parse_events(logs.kdc_lines(raw) if kdc_only else raw)
         events = tables.stored_form(parsed).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             if rejects_path:
                 reports = parser.rejects(events).write.mode("overwrite")
                 reports.parquet(f"{rejects_path}/batch_id={batch_id}")
             success, failure = parser.successes(events), parser.failures(events)
-            fold_into(store, batch_id, summary_deltas(success, failure, **extras))
+            deltas = summary_deltas(success, failure, **extras)
+            fold_into(store, batch_id, deltas | {"report_counts": report_counts(events)})
         finally:
             events.unpersist()
         if compact_every and (number + 1) % compact_every == 0:
-            newest = store.read("client_slice_data").agg(F.max("endtime")).first()[0]
-            prunable = days is not None and newest is not None
-            store.compact(days if prunable else None, newest if prunable else None)
+            now = int(time.time()) if as_of is None else as_of
+            store.compact(days, now if days is not None else None)
 
     writer = lines.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint)
     trigger = {"processingTime": every} if every else {"availableNow": True}
-    return writer.queryName(name).trigger(**trigger).start()
+    if name:
+        writer = writer.queryName(name)
+    return writer.trigger(**trigger).start()
 
 
 def parse_stream(lines: DataFrame, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:

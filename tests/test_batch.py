@@ -1,8 +1,11 @@
 """The whole batch workflow: log files to event tables, summaries and SQL views."""
 
+import pytest
 from conftest import rows
 
+from realmwatch import enctype_dim, extend_enctypes, list_flags
 from realmwatch import attach, client_slices, run_batch, scan_logs
+from realmwatch.operators.joins import with_list_flags
 from realmwatch.plans.batch import summary_deltas
 from realmwatch.plans.store import SummaryStore
 from realmwatch.sources import bridge, parser, tables
@@ -40,7 +43,7 @@ def test_events_can_be_discarded_once_folded(spark, log, success, tmp_path):
     bridge.raw_lines(log).select("value").write.text(str(tmp_path / "lines"))
     store, events = SummaryStore(spark, str(tmp_path / "store")), tmp_path / "events"
     run_batch(spark, str(tmp_path / "lines"), str(events), store, "load-1", discard=True)
-    assert not events.exists()
+    assert not (events / "batch_id=load-1").exists()
     assert rows(store.read("client_slice_data")) == rows(client_slices(success))
 
 
@@ -63,3 +66,46 @@ def test_provenance(spark, tmp_path):
     assert {r.log_file for r in parser.parse_events(got).select("log_file").collect()} == {
         r.log_file for r in got.collect()
     }
+
+
+def test_loads_stand_side_by_side_and_can_be_retried(spark, log, success, tmp_path, monkeypatch):
+    store, events = SummaryStore(spark, str(tmp_path / "store")), str(tmp_path / "events")
+    for name, half in (("a", bridge.older), ("b", bridge.newer)):
+        bridge.raw_lines(half(log)).select("value").write.text(str(tmp_path / name))
+    assert run_batch(spark, str(tmp_path / "a"), events, store, "a")
+    commit = store.commit
+
+    def fail(batch_id):
+        raise OSError("lost")
+
+    monkeypatch.setattr(store, "commit", fail)
+    with pytest.raises(OSError):
+        run_batch(spark, str(tmp_path / "b"), events, store, "b")
+    monkeypatch.setattr(store, "commit", commit)
+    assert run_batch(spark, str(tmp_path / "b"), events, store, "b")
+    assert rows(tables.read_logs(spark, events).success) == rows(success.drop("event_id", "ts"))
+    assert rows(store.read("client_slice_data")) == rows(client_slices(success))
+    assert store.read("report_counts").count() == 0
+
+
+def test_other_daemons_can_be_left_out(spark, log, tmp_path):
+    bridge.noisy_lines(log).write.text(str(tmp_path / "lines"))
+    store, events = SummaryStore(spark, str(tmp_path / "store")), str(tmp_path / "events")
+    run_batch(spark, str(tmp_path / "lines"), events, store, "a", kdc_only=True)
+    assert tables.read_logs(spark, events).rejects.count() == 0
+
+
+def test_own_enctypes_reach_every_table(spark, log, tmp_path):
+    log = bridge.unknown_session_keys(log)
+    success, failure = bridge.success_events(log), bridge.failure_events(log)
+    own = spark.sql("SELECT 99 AS enctype, 'site' AS name, 0 AS is_modern, 1 AS is_weak")
+    known = extend_enctypes(enctype_dim(spark), own)
+    plain, site = summary_deltas(success, failure), summary_deltas(success, failure, enctypes=known)
+    total = success.count()
+    for deltas, want in ((plain, total - success.where("session_enctype = 99").count()), (site, total)):
+        assert deltas["princ_slice_data"].agg({"nentries": "sum"}).first()[0] == want
+    weak = spark.createDataFrame([("77",)], "req_enctypes string")
+    site77 = extend_enctypes(known, spark.sql("SELECT 77 AS enctype, 'w' AS name, 0 AS is_modern, 1 AS is_weak"))
+    assert with_list_flags(weak, enctypes=site77).first().list_weak == 1
+    by_join = list_flags(weak.selectExpr("req_enctypes AS enctype_list", "req_enctypes AS enctype_list_orig"), site77)
+    assert by_join.first().is_weak == 1

@@ -5,8 +5,8 @@ from compare import duck, mismatch
 from conftest import SF_DIR
 
 import __spark_entry__ as entry_point
-
-QUERIES, ORACLES = entry_point.queries(), entry_point.oracle_sql()
+from realmwatch.plans.catalog import QUERIES
+from realmwatch.plans.oracles import ORACLES
 
 
 @pytest.fixture(scope="module")
@@ -23,5 +23,10 @@ def test_query_matches_sql(spark, con, name):
     assert mismatch(QUERIES[name](spark, SF_DIR), con, ORACLES[name]) is None
 
 
+def test_entry_point_offers_them_all():
+    assert QUERIES.items() <= entry_point.queries().items()
+    assert ORACLES.items() <= entry_point.oracle_sql().items()
+
+
 def test_entry(spark):
     assert entry_point.entry(spark).count() > 0

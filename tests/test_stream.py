@@ -49,10 +49,10 @@ def test_stream_equals_batch_and_resumes(spark, folder, want, tmp_path):
 
 
 def test_replayed_batches_count_once(spark, folder, want, tmp_path):
-    """A lost checkpoint replays everything; the store knows the batches already."""
+    """A lost checkpoint replays everything; under its name the store knows the batches already."""
     store = SummaryStore(spark, str(tmp_path / "store"))
-    run(spark, folder, store, tmp_path)
-    run(spark, folder, store, tmp_path / "again")
+    run(spark, folder, store, tmp_path, name="live")
+    run(spark, folder, store, tmp_path / "again", name="live")
     assert contents(store, want) == want
 
 
@@ -76,10 +76,10 @@ def test_failure_between_writes_is_repaired(spark, folder, want, tmp_path, monke
 
 def test_compaction_and_retention_on_the_way(spark, folder, want, success, tmp_path):
     store = SummaryStore(spark, str(tmp_path / "store"))
-    run(spark, folder, store, tmp_path, compact_every=2, days=10)
+    newest = success.agg({"log_time": "max"}).first()[0] // 86400 * 86400 + 86399
+    run(spark, folder, store, tmp_path, compact_every=2, days=10, as_of=newest)
     assert store.snapshot().version is not None
     assert rows(store.read("princ")) == want["princ"]
-    newest = success.agg({"log_time": "max"}).first()[0] // 86400 * 86400 + 86399
     pruned = slices.prune(slices.client_slices(success), 10, newest)
     assert rows(store.read("client_slice_data", days=10, as_of=newest)) == rows(pruned)
 
@@ -112,3 +112,10 @@ def test_reports_are_written_by_batch(spark, log, tmp_path):
     run(spark, str(tmp_path / "lines"), store, tmp_path, rejects_path=reports)
     got = spark.read.parquet(reports).select("line", "reason", "kept")
     assert rows(got) == rows(rejects(parse_events(bridge.broken_lines(log)))) != []
+
+
+def test_retention_follows_the_clock_by_default(spark, folder, tmp_path):
+    """All test events are years old."""
+    store = SummaryStore(spark, str(tmp_path / "store"))
+    run(spark, folder, store, tmp_path, compact_every=3, days=10)
+    assert store.read("client_slice_data").count() == 0 < store.read("client").count()
