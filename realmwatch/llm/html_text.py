@@ -54,6 +54,7 @@ MARKS = frozenset(
     "comment comments reply replies respond discussion disqus related recommended recommendations trending popular "
     "share sharing social toolbar pagination pager form search skip hidden copyright".split()
 )
+LAYOUT = frozenset("has with no without".split())
 CONTENT = frozenset("article main".split())
 _SPACE = re.compile(r"\s+")
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
@@ -99,8 +100,10 @@ class _Lines(HTMLParser):
             if name == "style" and value and re.search(r"display\s*:\s*none", value, re.I):
                 return True
             if name in ("class", "id") and value and tag not in CONTENT and tag not in HEADINGS:
-                if any(w.lower() in MARKS for w in _NAME.findall(value)):
-                    return True
+                for part in value.split():  # a layout that has a sidebar is none
+                    words = {w.lower() for w in _NAME.findall(part)}
+                    if words & MARKS and not words & LAYOUT:
+                        return True
         return False
 
     def _line(self) -> None:

@@ -166,6 +166,11 @@ def test_page_without_article_element():
     assert extract_text(page) == "\n\n".join(["some long content words here"] * 4 + ["Yes."])
 
 
+def test_layout_around_the_article():
+    page = '<body class="with-sidebar"><div class="layout has-sidebar"><article><p>Text</p></article></div>'
+    assert extract_text(page + '<div class="left-sidebar">x</div>') == "Text"
+
+
 @pytest.mark.parametrize("page", ["", None, "<", "<!-- cut", "<p", "<script>x", "</div></p>", "&am", "<a><b><i>" * 300])
 def test_broken_pages(page):
     assert "<" not in extract_text(page) or page == "<"
