@@ -1,11 +1,12 @@
 """Near-duplicate documents by ProbMinHash, banding and verification.
 
-A text is the set of its five-word shingles, weighted 1 + ln(occurrences); fewer words form one
-shingle.  Every shingle is a Poisson process with its weight as rate: its arrivals come in order,
-each lands in a random register, and a register keeps the shingle of its earliest arrival.  A
-shingle stops as soon as it arrives later than the latest register, so a text takes about n +
-m log m steps for n shingles and m registers.  Registers of two texts agree with the chance of
-their probability Jaccard similarity.  Bands of registers name buckets.
+A text is the set of its five-word shingles; fewer words form one shingle.  Every shingle is a
+Poisson process: its arrivals come in order, each lands in a random register, and a register keeps
+the shingle of its earliest arrival.  A shingle stops as soon as it arrives later than the latest
+register, so a text takes about n + m log m steps for n shingles and m registers.  Registers of two
+texts agree with the chance of the probability Jaccard similarity of their rates.  All rates are 1,
+however often a shingle occurs, so that this is the similarity that decides the links.  Bands of
+registers name buckets.
 
 In every bucket one text, drawn by a hash, is the hub, and every other text is compared with it.
 Texts that differ from their hub are then compared with those of the bucket that are not yet in
@@ -87,9 +88,9 @@ def _bands(texts: list[str | None], bands: int, rows: int) -> list[list[int] | N
     for start in range(0, len(texts), 256):
         sets, places = [], []
         for i, text in enumerate(texts[start : start + 256], start):
-            made, count = np.unique(shingles(text), return_counts=True)
+            made = np.unique(shingles(text))
             if len(made):
-                sets.append((made, 1 + np.log(count)))
+                sets.append((made, np.ones(len(made))))
                 places.append(i)
         if not sets:
             continue

@@ -11,7 +11,7 @@ from frames import frame, odd_rows  # noqa: F401
 from realmwatch.llm import suffix_dedup
 from realmwatch.llm.components import connected_components
 from realmwatch.llm.embedding_dedup import collision, link_embeddings, plan
-from realmwatch.llm.minhash_dedup import drop_near_duplicates, near_duplicates, shingles, signatures
+from realmwatch.llm.minhash_dedup import _bands, drop_near_duplicates, near_duplicates, shingles, signatures
 from realmwatch.llm.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -49,6 +49,19 @@ def test_near_duplicates_query(spark):
     assert got == {i: (c, c == i) for i, c in want.items()}
 
 
+def test_passages_repeated_unequally_are_found():
+    """Equal sets of shingles share their buckets, however often each shingle occurs."""
+    apart = []
+    for i in range(30):
+        passage, rest = [f"p{i}_{j}" for j in range(15)], [f"r{i}_{j}" for j in range(21)]
+        few, many = (" ".join(passage * n + rest) for n in (2, 300))
+        assert set(shingles(few)) == set(shingles(many)) and few != many
+        left, right = _bands([few, many], 24, 5)
+        if not set(left) & set(right):
+            apart.append(i)
+    assert apart == []
+
+
 def family(seed):
     """A base with light and heavy edits, copies of copies, exact copies and strangers."""
     random.seed(seed)
