@@ -107,6 +107,26 @@ def test_language_scores_of_odd_rows(frame, odd_rows):
     assert pitman_yor.score_language(frame([]), F.lit(False)).count() == 0
 
 
+def test_hot_tokens_are_scored_in_several_groups(spark, frame):
+    """A word that is half of all tokens, and scores that do not depend on how batches are cut."""
+    rows = [(i, " ".join(random.Random(i).choice(["hot", f"w{j}"]) for j in range(200)), "s") for i in range(400)]
+    source = frame(rows, False).select("doc_id", F.lit(False).alias("held_out"), F.col("text").alias("t"))
+    made = pitman_yor._dealt(source, 32, 4000).where("bucket >= 0").collect()
+    load = Counter()
+    for r in made:
+        load[r.bucket, r.salt] += len(pitman_yor._unpack(r.blob)[2])
+    assert sum(load.values()) == 400 * 201 and max(load.values()) < 4 * 400 * 201 / 32
+    out = F.col("doc_id") % 5 == 0
+    fine = pitman_yor.score_language(frame(rows), out, batch_bytes=4000, bucket_bytes=20_000).collect()
+    want = {i: (len(t.split()) + 1, t.count("hot")) for i, t, _ in rows}
+    whole = {r.doc_id: r for r in pitman_yor.score_language(frame(rows), out, bucket_bytes=20_000).collect()}
+    assert len(fine) == len(rows)
+    for r in fine:
+        assert r.n_tokens == want[r.doc_id][0] and r.n_known == whole[r.doc_id].n_known > want[r.doc_id][1]
+        assert r.base_score == pytest.approx(whole[r.doc_id].base_score)
+        assert r.score == pytest.approx(whole[r.doc_id].score)
+
+
 @pytest.mark.parametrize("seed", range(40))
 def test_periods_meet_every_window(seed):
     random.seed(seed)
