@@ -107,6 +107,14 @@ def test_language_scores_of_odd_rows(frame, odd_rows):
     assert pitman_yor.score_language(frame([]), F.lit(False)).count() == 0
 
 
+def test_batches_keep_their_names(frame):
+    source = frame([(i, f"a{i} b", "s") for i in range(20)], False)
+    source = source.select("doc_id", F.lit(False).alias("held_out"), F.col("text").alias("t"))
+    made = pitman_yor._dealt(source, 8, 20)
+    first, again = ({bytes(r.sub) for r in made.collect()} for _ in range(2))
+    assert first == again and len(first) > 1
+
+
 def test_hot_tokens_are_scored_in_several_groups(spark, frame):
     """A word that is half of all tokens, and scores that do not depend on how batches are cut."""
     rows = [(i, " ".join(random.Random(i).choice(["hot", f"w{j}"]) for j in range(200)), "s") for i in range(400)]
