@@ -4,7 +4,8 @@ A source's documents, in an order drawn by a hash, are cut into blocks of `block
 With integer weights, w of a sum W for a source, its block j may not be served before slot
 floor(j * W / w) and must be before slot ceil((j + 1) * W / w).  The earliest deadline first,
 one block a slot, meets all of these windows, so at every slot a source has had less than one block
-more or less than its share.  The schedule repeats after W slots; one period is planned
+more or less than its share, counted in slots: a document longer than a block takes one slot, so a
+source of such documents gets more characters than its weight.  The schedule repeats after W slots; one period is planned
 on the driver, its length being the sum of the given weights, and blocks find their slots from it by
 arithmetic.  When a source has no block left, the others go on by their own weights in a new phase,
 so every document is placed exactly once and none is repeated.
@@ -190,8 +191,7 @@ def mix_documents(
     """All rows and columns, sorted by their slot, with mix_block, mix_phase and mix_slot added."""
     names = docs.columns
     placed = place_blocks(docs, source_col, id_col, text_col, **options)
-    # Equal rows are alike in all that decides a place, so their first place stands for all.
-    place = placed.groupBy("__source", "__id", "__key").agg(F.min(F.struct("slot", "block", "phase")).alias("p"))
+    place = placed.select("__source", "__id", "__key", "__n", F.struct("slot", "block", "phase").alias("p"))
     name = F.coalesce(F.concat(F.lit("s"), F.col(source_col).cast("string")), F.lit("n"))
     rows = docs.select(
         *[F.col(f"`{c}`") for c in names],
@@ -199,7 +199,11 @@ def mix_documents(
         F.col(id_col).alias("__i"),
         F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("__k"),
     )
+    # Rows equal in source, id and text take the places of their kind in the order of their other columns.
+    others = F.to_json(F.struct(F.lit(0).alias("__0"), *[F.col(f"`{c}`") for c in names if c != text_col]))
+    rows = rows.withColumn("__r", F.row_number().over(Window.partitionBy("__s", "__i", "__k").orderBy(others)))
     same = (F.col("__s") == F.col("__source")) & F.col("__i").eqNullSafe(F.col("__id")) & (F.col("__k") == F.col("__key"))
+    same = same & (F.col("__r") == F.col("__n"))
     joined = rows.join(place, same).select(
         *[F.col(f"`{c}`") for c in names],
         F.col("p.block").alias("mix_block"),

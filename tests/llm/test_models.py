@@ -172,6 +172,11 @@ def test_mix_keeps_every_row_and_the_shares(spark):
         assert all(abs(served[s] - (slot + 1) * w / total) < 1 for s, w in weights.items())
 
 
+def test_repeated_rows_have_places_of_their_own(frame):
+    made = mix_documents(frame([(1, "x" * 100, "s")] * 50), block_chars=100).collect()
+    assert [r.mix_slot for r in made] == list(range(50))
+
+
 def test_mix_of_odd_rows(frame, odd_rows):
     docs = frame(odd_rows)
     rows = mix_documents(docs, weights={"a": 3, None: 2}, block_chars=100).collect()
