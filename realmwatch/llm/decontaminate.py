@@ -16,6 +16,7 @@ no item in the lists; equal ids count once.  Repeated rows are documents of thei
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
@@ -85,7 +86,7 @@ class ItemMatcher:
         return len(file), spans, hit
 
 
-_MATCHERS: dict[int, ItemMatcher] = {}
+_MATCHERS: dict[str, ItemMatcher] = {}
 
 _SPAN = T.StructType([T.StructField("first_word", T.LongType()), T.StructField("end_word", T.LongType())])
 _FIELDS = [
@@ -98,12 +99,14 @@ _FIELDS = [
 def _match_block(docs: DataFrame, text: str, keep: list, block: list[tuple], window: int) -> DataFrame:
     """The documents streamed through the automaton of one block; the block has a bounded size."""
     sent = docs.sparkSession.sparkContext.broadcast((block, window))
+    # A name of the matcher's own: addresses of dropped broadcasts are used again.
+    name = uuid.uuid4().hex
 
     def rows(texts: list[str | None]) -> list[list]:
-        if id(sent.value) not in _MATCHERS:
+        if name not in _MATCHERS:
             _MATCHERS.clear()
-            _MATCHERS[id(sent.value)] = ItemMatcher(*sent.value)
-        found = [_MATCHERS[id(sent.value)].match(t) for t in texts]
+            _MATCHERS[name] = ItemMatcher(*sent.value)
+        found = [_MATCHERS[name].match(t) for t in texts]
         return [
             [n for n, _, _ in found],
             [[{"first_word": a, "end_word": b} for a, b in spans] for _, spans, _ in found],

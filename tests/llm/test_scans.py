@@ -10,6 +10,7 @@ from compare import duck
 from pyspark.sql import functions as F
 from frames import frame, odd_rows  # noqa: F401
 
+from realmwatch.llm import decontaminate
 from realmwatch.llm.automaton import SuffixAutomaton
 from realmwatch.llm.decontaminate import contamination, item_blocks, match_benchmark
 from realmwatch.llm.html_text import extract_pages, extract_text
@@ -72,6 +73,26 @@ def test_decontamination_against_sql(spark):
     assert got == want
 
 
+def test_blocks_at_one_address_have_matchers_of_their_own(monkeypatch):
+    """A worker drops one broadcast and gets the next one at the same address."""
+    made = []
+    monkeypatch.setattr(decontaminate, "map_texts", lambda docs, text, keep, rows, fields: made.append(rows))
+    place = [None]
+
+    class Docs:
+        class sparkSession:
+            class sparkContext:
+                @staticmethod
+                def broadcast(value):
+                    return type("Sent", (), {"value": place})
+
+    monkeypatch.setattr(decontaminate, "ItemMatcher", lambda item: type("M", (), {"match": lambda s, t: (1, [], {item})})())
+    for item in ("one", "two"):
+        decontaminate._match_block(Docs, "t", [], [], 13)
+        place[0] = item
+        assert made[-1](["text"])[2] == [[item]]
+
+
 @pytest.mark.parametrize("block_words", [2_000_000, 3])
 def test_decontamination_against_plain_search(spark, frame, odd_rows, block_words):
     random.seed(block_words)
