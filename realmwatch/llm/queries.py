@@ -13,6 +13,7 @@ from realmwatch.llm.html_text import extract_pages
 from realmwatch.llm.license_scan import scan_licenses
 from realmwatch.llm.minhash_dedup import near_duplicates
 from realmwatch.llm.mixing import mix_report
+from realmwatch.llm.periodic_runs import detect_runs, run_report, with_planted_runs
 from realmwatch.llm.pitman_yor import score_language
 from realmwatch.llm.suffix_dedup import repeat_report
 from realmwatch.llm.texts import table
@@ -122,3 +123,8 @@ FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
 @query
 def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_embeddings(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_report(detect_runs(with_planted_runs(table(spark, sf_dir, "documents")), ["doc_id"]))
