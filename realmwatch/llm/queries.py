@@ -19,6 +19,7 @@ from realmwatch.llm.suffix_dedup import repeat_report
 from realmwatch.llm.texts import table
 from realmwatch.llm.token_count import count_tokens
 from realmwatch.llm.toxicity import fit_toxicity, held_out, score_toxicity
+from realmwatch.llm.whitening import whitening_report
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -125,6 +126,11 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_embeddings(table(spark, sf_dir, "embeddings"))
 
 
+@query
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening_report(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_report(detect_runs(with_planted_runs(table(spark, sf_dir, "documents")), ["doc_id"]))
