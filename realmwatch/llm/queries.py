@@ -18,6 +18,7 @@ from realmwatch.llm.pitman_yor import score_language
 from realmwatch.llm.suffix_dedup import repeat_report
 from realmwatch.llm.texts import table
 from realmwatch.llm.token_count import count_tokens
+from realmwatch.llm.token_files import token_report
 from realmwatch.llm.toxicity import fit_toxicity, held_out, score_toxicity
 from realmwatch.llm.whitening import whitening_report
 
@@ -131,6 +132,13 @@ def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening_report(table(spark, sf_dir, "embeddings"))
 
 
+@query
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_report(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+
+
 @query
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_report(detect_runs(with_planted_runs(table(spark, sf_dir, "documents")), ["doc_id"]))
