@@ -3,8 +3,8 @@
 Documents are dealt by ranges of their id, so files hold them in ascending order.  A task encodes its
 documents, compresses the id array of each by itself with a zstandard dictionary that all files share,
 and writes them one after the other, so a short document costs few bytes and is read without
-its neighbours.  The dictionary is trained on id arrays of a sample: the `sample_rows` texts of at most
-`sample_chars` characters that have the smallest hash.  It decides the size of the files only.
+its neighbours.  The dictionary is trained on id arrays of a sample: about `sample_rows` different texts
+of at most `sample_chars` characters, drawn from all rows by their hash.  It decides the size of the files only.
 
 A file is named at random and counts once the table of files (`files`, written by Spark when
 all tasks are done) lists it; what a lost or repeated task left is never read.  Layout of a file, all
@@ -30,15 +30,19 @@ empty table gives no file and no row.  Only the two named columns are read, so o
 from __future__ import annotations
 
 import hashlib
+import itertools
+import json
+import re
 import struct
 import uuid
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from functools import partial
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import regex
 import zstandard
 from pyarrow import fs as arrow_fs
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -56,7 +60,6 @@ _WRITTEN = T.StructType(
     + [T.StructField(n, T.LongType()) for n in ("documents", "tokens", "size", "first_id", "last_id")]
 )
 _FILES = T.StructType([*_WRITTEN.fields, T.StructField("start", T.LongType())])
-_ENCODE_CHARS = 1 << 18
 
 
 class Settings(NamedTuple):
@@ -76,23 +79,85 @@ def _open(folder: str) -> tuple[arrow_fs.FileSystem, str]:
     )
 
 
-def encode_texts(tokenizer, texts: Iterable[str | None], width: np.dtype, end_id: int) -> Iterator[np.ndarray]:
-    """Id arrays of the texts with the end id; some of them are encoded at a time, so memory follows the
-    longest text and not their number."""
-    waiting: list[str] = []
-    held = 0
-
-    def flush() -> Iterator[np.ndarray]:
-        for made in tokenizer.encode_batch_fast(waiting, add_special_tokens=False):
-            yield np.array([*made.ids, end_id], width)
-
-    for text in texts:
-        waiting.append(text or "")
-        held += len(waiting[-1])
-        if held >= _ENCODE_CHARS:
-            yield from flush()
-            waiting, held = [], 0
-    yield from flush()
+# The pattern by which a byte-level tokenizer cuts a text before it merges bytes, and the
+# same for ASCII.
+_PIECE = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+_ASCII_PIECE = r"""'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\t-\r A-Za-z0-9]+|[\t-\r ]+(?![^\t-\r ])|[\t-\r ]+"""
+# Characters that have been letters, digits or neither in all editions of Unicode that a regular-expression
+# library may know; white space on whose extent libraries differ is left out.
+_SETTLED = re.compile("[\\x00-\\x1b\\x20-\\x84\\x86-\\u052f\\u2010-\\u2027\\u3041-\\u3096\\u30a1-\\u30fa\\u4e00-\\u9fa5]*")
+_KNOWN_PIECES = 1 << 19
+_PIECES_AT_ONCE = 1 << 18
+
+
+def _byte_letters() -> dict[int, str]:
+    """The character by which a byte-level vocabulary names each byte: printable ones name themselves, the
+    others are numbered from 256 on."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in printable]
+    return {b: chr(b) for b in printable} | {b: chr(256 + k) for k, b in enumerate(others)}
+
+
+class _Pieces(dict):
+    """Ids, as bytes, of the pieces met lately; the library encodes those that are missing."""
+
+    def __init__(self, model, width: np.dtype) -> None:
+        super().__init__()
+        self._model, self._width, self._letters = model, width, _byte_letters()
+
+    def __missing__(self, piece: str) -> bytes:
+        named = piece.encode("utf-8", "surrogatepass").decode("latin-1").translate(self._letters)
+        made = np.array([t.id for t in self._model.tokenize(named)], self._width).tobytes()
+        if len(self) >= _KNOWN_PIECES:
+            self.clear()
+        self[piece] = made
+        return made
+
+
+class Encoder:
+    """A tokenizer of the library, asked once for each different piece.
+
+    A byte-level tokenizer merges bytes within pieces of a text only, and words come again and again; so
+    a text is cut here by the same pattern and the library's model encodes the pieces not met lately.  Texts
+    that hold a special token, or characters that libraries may class differently, and all texts of a
+    tokenizer of another kind are encoded by the library as a whole.
+    """
+
+    def __init__(self, vocabulary: str, end_id: int) -> None:
+        self.tokenizer = load_tokenizer(vocabulary)
+        self.width = id_width(self.tokenizer, end_id)
+        self._end = np.array([end_id], self.width).tobytes()
+        declared = json.loads(vocabulary)
+        self.specials = [t["content"] for t in declared.get("added_tokens") or []]
+        before = declared.get("pre_tokenizer") or {}
+        self.by_pieces = (
+            before.get("type") == "ByteLevel"
+            and before.get("use_regex", True)
+            and not before.get("add_prefix_space")
+            and declared.get("normalizer") is None
+            and declared["model"].get("type") == "BPE"
+            and not declared["model"].get("dropout")
+        )
+        self._ascii, self._any = re.compile(_ASCII_PIECE), regex.compile(_PIECE)
+        self._known = _Pieces(self.tokenizer.model, self.width)
+
+    def _cut(self, text: str, pattern) -> Iterator[list[str]]:
+        if len(text) <= _PIECES_AT_ONCE:
+            yield pattern.findall(text)
+            return
+        found = pattern.finditer(text)
+        while part := [m[0] for m in itertools.islice(found, _PIECES_AT_ONCE)]:
+            yield part
+
+    def encode(self, text: str | None) -> np.ndarray:
+        """Ids of the text and the end id."""
+        text = text or ""
+        if self.by_pieces and _SETTLED.fullmatch(text) and not any(s in text for s in self.specials):
+            cut = self._cut(text, self._ascii if text.isascii() else self._any)
+            data = b"".join(itertools.chain.from_iterable(map(self._known.__getitem__, part) for part in cut))
+        else:
+            data = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.width).tobytes()
+        return np.frombuffer(data + self._end, self.width)
 
 
 def load_tokenizer(vocabulary: str):
@@ -224,15 +289,16 @@ class TokenFile:
         self._in.close()
 
 
-_TOKENIZERS: dict[str, object] = {}
+_ENCODERS: dict[tuple[str, int], Encoder] = {}
 
 
-def _tokenizer(vocabulary: str):
-    name = hashlib.sha256(vocabulary.encode()).hexdigest()
-    if name not in _TOKENIZERS:
-        _TOKENIZERS.clear()
-        _TOKENIZERS[name] = load_tokenizer(vocabulary)
-    return _TOKENIZERS[name]
+def _encoder(vocabulary: str, end_id: int) -> Encoder:
+    """The task's encoder, kept by its process."""
+    name = hashlib.sha256(vocabulary.encode()).hexdigest(), end_id
+    if name not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[name] = Encoder(vocabulary, end_id)
+    return _ENCODERS[name]
 
 
 def _write_part(batches: Iterator[pa.RecordBatch], sent) -> Iterator[pa.RecordBatch]:
@@ -244,8 +310,7 @@ def _write_part(batches: Iterator[pa.RecordBatch], sent) -> Iterator[pa.RecordBa
     settings: Settings = sent.value
     part, number, writer, name = TaskContext.get().partitionId(), 0, None, ""
     filesystem, root = _open(settings.folder)
-    tokenizer = _tokenizer(settings.vocabulary)
-    width = id_width(tokenizer, settings.end_id)
+    encoder = _encoder(settings.vocabulary, settings.end_id)
 
     def done() -> pa.RecordBatch:
         writer.close()
@@ -253,12 +318,11 @@ def _write_part(batches: Iterator[pa.RecordBatch], sent) -> Iterator[pa.RecordBa
         return _batch([row], arrow)
 
     for batch in batches:
-        doc_ids = batch.column(0).to_pylist()
-        encoded = encode_texts(tokenizer, (t.as_py() for t in batch.column(1)), width, settings.end_id)
-        for doc_id, ids in zip(doc_ids, encoded, strict=True):
+        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            ids = encoder.encode(text.as_py())
             if writer is None:
                 name = f"tokens-{part:06d}-{number:04d}-{uuid.uuid4().hex}.bin"
-                writer = TokenFileWriter(filesystem, f"{root}/{name}", settings.dictionary, width, settings.level)
+                writer = TokenFileWriter(filesystem, f"{root}/{name}", settings.dictionary, encoder.width, settings.level)
             writer.add(doc_id, ids)
             if writer.size >= settings.file_bytes:
                 yield done()
@@ -385,13 +449,14 @@ def write_token_files(
     folder = (folder or shared_folder(spark, "token-files")).rstrip("/")
     with open(vocabulary_path, encoding="utf-8") as source:
         vocabulary = source.read()
-    tokenizer = load_tokenizer(vocabulary)
+    encoder = Encoder(vocabulary, end_id)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), text.alias("text"), F.xxhash64(text).alias("h"))
-    shortest_hash = rows.where(F.length("text").between(1, sample_chars)).orderBy("h", "text").limit(sample_rows)
-    sample = [r.text for r in shortest_hash.select("text").collect()]
-    width = id_width(tokenizer, end_id)
-    dictionary = train_dictionary([a.tobytes() for a in encode_texts(tokenizer, sample, width, end_id)], dictionary_bytes)
+    # different texts whose hash is small enough for about `sample_rows` of all rows
+    share = F.lit(min(1.0, sample_rows / max(docs.count(), 1)))
+    drawn = rows.where(F.pmod("h", F.lit(1 << 32)) < share * (1 << 32)).where(F.length("text").between(1, sample_chars))
+    sample = [r.text for r in drawn.select("h", "text").distinct().orderBy("h", "text").limit(sample_rows).collect()]
+    dictionary = train_dictionary([encoder.encode(t).tobytes() for t in sample], dictionary_bytes)
     filesystem, root = _open(folder)
     filesystem.create_dir(root, recursive=True)
     with filesystem.open_output_stream(f"{root}/dictionary-{hashlib.sha256(dictionary).hexdigest()}.zdict") as out:
