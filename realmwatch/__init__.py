@@ -34,8 +34,9 @@ from realmwatch.operators.trends import period_averages, running_averages
 from realmwatch.plans.batch import run_batch
 from realmwatch.plans.store import SummaryStore
 from realmwatch.plans.views import attach, register_views
+from realmwatch.sources.growing import scan_growing
 from realmwatch.sources.logs import drop_local_tgt, kdc_lines, scan_logs, scan_stream
 from realmwatch.sources.parser import parse_events, parse_logs
 from realmwatch.sources.tables import read_logs, union_logs, write_events
-from realmwatch.streaming.incremental import native_client_slices, parse_stream, run_incremental
+from realmwatch.streaming.incremental import catch_up, native_client_slices, parse_stream, run_incremental
 

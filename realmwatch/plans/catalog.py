@@ -11,18 +11,21 @@ from realmwatch.functions.enctypes import enctype_dim, extend_enctypes, tokens
 from realmwatch.functions.text import principal_host
 from realmwatch.operators import audit, joins, last_seen, lists, merge, slices, trends
 from realmwatch.plans.batch import run_batch
-from realmwatch.plans.folders import scratch_dir
+from realmwatch.plans.folders import Folder, scratch_dir
 from realmwatch.plans.store import TABLES, SummaryStore
 from realmwatch.plans.views import register_views
 from realmwatch.sources import bridge, logs, parser
+from realmwatch.sources.growing import scan_growing
 from realmwatch.sources.tables import read_logs, union_logs
-from realmwatch.streaming.incremental import parse_stream, run_incremental
+from realmwatch.streaming.incremental import catch_up, parse_stream, run_incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 # Fixed value: 2024-01-31 00:00 UTC, the retention query's present.
 AS_OF, KEEP_DAYS = 1706659200, 10
+# Fixed value: lines of a micro-batch.
+LINES_PER_BATCH = 10_000
 
 
 def query(fn: Query) -> Query:
@@ -528,6 +531,22 @@ def stream_reject_counts(spark, sf_dir):
     return store.read("report_counts")
 
 
+@query
+def stream_growing_file(spark, sf_dir):
+    """Logs read while they are written, in batches of so many lines: a stop inside a line, a rename, and a
+    restart from the checkpoint after each."""
+    root = scratch_dir(spark, "growing")
+    store = SummaryStore(spark, f"{root}/store")
+    written = spark.read.format("binaryFile").load(_lines_in(root, "whole", _log(spark, sf_dir)))
+    files = written.select(F.col("path").alias("file"))
+    Folder(spark, f"{root}/live").make()
+    for step in range(3):
+        bridge.grow_logs(files, f"{root}/live", step)
+        lines = scan_growing(spark, f"{root}/live", lines_per_batch=LINES_PER_BATCH).select("value")
+        catch_up(run_incremental(lines, store, f"{root}/checkpoint", every="0 seconds"))
+    return store.read("client_slice_data")
+
+
 # -- completions of what the model declares --------------------------------------------
 
 

@@ -37,6 +37,9 @@ class Folder:
     def exists(self, *parts: str) -> bool:
         return self._fs.exists(self._path(self.at(*parts)))
 
+    def make(self, *parts: str) -> None:
+        self._fs.mkdirs(self._path(self.at(*parts)))
+
     def names(self, *parts: str) -> list[str]:
         if not self.exists(*parts):
             return []

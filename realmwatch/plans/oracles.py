@@ -371,6 +371,7 @@ ORACLES: dict[str, str] = {
     ),
     "stream_parse": _sql(f"SELECT {_SUCCESS} FROM ok"),
     "stream_client_slices": _sql(_CLIENT_SLICES),
+    "stream_growing_file": _sql(_CLIENT_SLICES),
     "stream_princ": _sql(_merged_princ(), *_PRINC_FOLDS),
     "stream_late_data": _sql(_CLIENT_SLICES),
     "ext_running_avg": _sql(

@@ -176,6 +176,41 @@ def future_lines(log: DataFrame) -> DataFrame:
     return log.selectExpr("event_id", f"{line} AS value")
 
 
+def grow_logs(written: DataFrame, folder: str, step: int) -> None:
+    """Let log files below `folder` grow from the text files of `written` (`file`), as daemons would.
+
+    Step 0 writes two fifths of each file, ending inside a line; step 1 appends what is missing up to the line end
+    after seven tenths, and renames the file; step 2 writes the rest to a new file of the old name.
+    """
+
+    def grow(batches):
+        from pyarrow import RecordBatch, array, fs, int64
+
+        for batch in batches:
+            for uri in batch.column(0).to_pylist():
+                system, path = fs.FileSystem.from_uri(uri)
+                target_system, target = fs.FileSystem.from_uri(folder) if ":/" in folder else (fs.LocalFileSystem(), folder)
+                with system.open_input_file(path) as source:
+                    size = source.size()
+                    half = size * 2 // 5
+                    turn = size * 7 // 10
+                    while turn < size and source.read_at(1, turn) != b"\n":
+                        turn += 1
+                    turn = min(turn + 1, size)
+                    first, last = ((0, half), (half, turn), (turn, size))[step]
+                    live = f"{target}/kdc-{path.rsplit('/', 1)[-1].split('-')[1]}.log"
+                    with target_system.open_append_stream(live) as out:
+                        while first < last:
+                            data = source.read_at(min(last - first, 1 << 20), first)
+                            out.write(data)
+                            first += len(data)
+                    if step == 1:
+                        target_system.move(live, f"{live}.1")
+                yield RecordBatch.from_arrays([array([size], int64())], names=["size"])
+
+    written.select("file").mapInArrow(grow, "size bigint").agg(F.sum("size")).collect()
+
+
 def broken_lines(log: DataFrame) -> DataFrame:
     """Raw lines of which two in three are damaged, each in one of four ways."""
     syslog = line_text(stamp="date_format(CAST(ts AS date), 'MMM dd')")

@@ -76,6 +76,18 @@ def run_incremental(
     return writer.trigger(**trigger).start()
 
 
+def catch_up(query: StreamingQuery) -> None:
+    """Let a stream with an interval read all that its sources hold now, then end it.
+
+    A source that cuts its batches itself, as `scan_growing` does with `lines_per_batch`, would read only one of
+    them without an interval.
+    """
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+
+
 def parse_stream(lines: DataFrame, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
     """Append parsed lines to an event table, with no state; sources.tables reads it."""
     parsed = parser.parse_events(logs.drop_local_tgt(lines))
