@@ -97,31 +97,32 @@ def tokens(listing: Column) -> Column:
     return F.filter(F.split(listing, " "), lambda t: t != "")
 
 
+REPEATED_HEAD = r"^(\S+)(?: \1)+(?= |$)"
+
+
 def canonical_list(listing: Column) -> Column:
     """Collapse a repeated leading enctype: '18 18 17' becomes '18 17'."""
-    return F.regexp_replace(listing, r"^(\S+)(?: \1)+(?= |$)", "$1")
+    return F.regexp_replace(listing, REPEATED_HEAD, "$1")
 
 
 def _any_of(members: Iterable[Enctype]) -> str:
     return "(?:" + "|".join(str(m.enctype) for m in members) + ")"
 
 
-def _offers(listing: Column, members: Sequence[Enctype]) -> Column:
-    return listing.rlike(f"(?:^| ){_any_of(members)}(?= |$)").cast("int")
+def _offers(members: Iterable[Enctype]) -> str:
+    return f"(?:^| ){_any_of(members)}(?= |$)"
 
 
-def list_is_weak(listing: Column, enctypes: Sequence[Enctype] = SEED) -> Column:
-    """1 when any offered enctype is weak."""
-    return _offers(listing, [e for e in enctypes if e.is_weak])
+def weak_pattern(enctypes: Sequence[Enctype] = SEED) -> str:
+    return _offers(e for e in enctypes if e.is_weak)
 
 
-def list_is_modern(listing: Column, enctypes: Sequence[Enctype] = SEED) -> Column:
-    """1 when any offered enctype is modern."""
-    return _offers(listing, [e for e in enctypes if e.is_modern])
+def modern_pattern(enctypes: Sequence[Enctype] = SEED) -> str:
+    return _offers(e for e in enctypes if e.is_modern)
 
 
-def list_is_too_weak(listing: Column, enctypes: Sequence[Enctype] = SEED) -> Column:
-    """1 when the list opens with weak enctypes and a strong one follows in sequence.
+def too_weak_pattern(enctypes: Sequence[Enctype] = SEED) -> str:
+    """A list that opens with weak enctypes and has a strong one follow in sequence.
 
     Only the longest prefix of known, distinct enctypes counts.  So the opening run must
     be weak and free of repeats, which also bounds its length by the number of weak
@@ -131,13 +132,30 @@ def list_is_too_weak(listing: Column, enctypes: Sequence[Enctype] = SEED) -> Col
     one, strong = _any_of(weak), _any_of([e for e in enctypes if not e.is_weak])
     run = f"(?:{one} )"
     repeat = f"{run}{{0,{len(weak)}}}({one}) {run}{{0,{len(weak)}}}\\1 "
-    return listing.rlike(f"^(?!{repeat}){run}{{1,{len(weak)}}}{strong}(?= |$)").cast("int")
+    return f"^(?!{repeat}){run}{{1,{len(weak)}}}{strong}(?= |$)"
 
 
-def enctype_is_weak(column: str, enctypes: Sequence[Enctype] = SEED) -> Column:
-    """1 weak, 0 not weak, NULL for a number outside the reference data."""
+def list_is_weak(listing: Column, enctypes: Sequence[Enctype] = SEED) -> Column:
+    """1 when any offered enctype is weak."""
+    return listing.rlike(weak_pattern(enctypes)).cast("int")
 
-    def among(weak: int) -> str:
-        return f"{column} IN ({', '.join(str(e.enctype) for e in enctypes if e.is_weak == weak)})"
 
-    return F.expr(f"CASE WHEN {among(1)} THEN 1 WHEN {among(0)} THEN 0 END")
+def list_is_modern(listing: Column, enctypes: Sequence[Enctype] = SEED) -> Column:
+    """1 when any offered enctype is modern."""
+    return listing.rlike(modern_pattern(enctypes)).cast("int")
+
+
+def list_is_too_weak(listing: Column, enctypes: Sequence[Enctype] = SEED) -> Column:
+    """1 when the list opens with weak enctypes and a strong one follows in sequence."""
+    return listing.rlike(too_weak_pattern(enctypes)).cast("int")
+
+
+def weakness_case(column: str, enctypes: Sequence[Enctype] = SEED) -> str:
+    """SQL text: 1 weak, 0 not weak, NULL for a number outside the reference data."""
+    whens = [(weak, [str(e.enctype) for e in enctypes if e.is_weak == weak]) for weak in (1, 0)]
+    return "CASE " + " ".join(f"WHEN {column} IN ({', '.join(n)}) THEN {weak}" for weak, n in whens if n) + " END"
+
+
+def enctype_is_weak(column: str, enctypes: Sequence[Enctype] = SEED) -> Column:
+    """1 weak, 0 not weak, NULL for a number outside the reference data."""
+    return F.expr(weakness_case(column, enctypes))

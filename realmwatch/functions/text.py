@@ -26,6 +26,9 @@ def number_or_zero(text: Column, dtype: str) -> Column:
     return F.coalesce(F.when(text != "", text.try_cast(dtype)), F.lit(0).cast(dtype))
 
 
+HOST = r"^[^/@]+/([^@]+)@"
+
+
 def principal_host(name: Column) -> Column:
     """Host part of a service/host@REALM principal, NULL for other names."""
-    return F.nullif(F.regexp_extract(name, r"^[^/@]+/([^@]+)@", 1), F.lit(""))
+    return F.nullif(F.regexp_extract(name, HOST, 1), F.lit(""))

@@ -6,11 +6,14 @@ expression.  The dictionary keys are the stems the measures are named after.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from realmwatch.schemas import REQ_AS, REQ_TGS
 
+# Column with the number of events behind a row.
+COUNT = "n"
+
 IS_AS = f"req_type = {REQ_AS}"
 IS_TGS = f"req_type = {REQ_TGS}"
 
@@ -64,8 +67,13 @@ def latest(when: str, time: str = "log_time") -> str:
 
 
 def tally(when: str) -> str:
-    """Number of rows meeting the condition."""
-    return f"count(CASE WHEN {when} THEN 1 END)"
+    """Number of events meeting the condition."""
+    return f"coalesce(sum(CASE WHEN {when} THEN {COUNT} ELSE 0L END), 0L)"
+
+
+def counted(events: DataFrame) -> DataFrame:
+    """Events with how many a row stands for: one each, unless the table says so itself."""
+    return events if COUNT in events.columns else events.withColumn(COUNT, F.lit(1).cast("long"))
 
 
 def measures(named: dict[str, str]) -> list[Column]:

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from realmwatch.functions import enctypes as en
+from realmwatch.operators.conditions import COUNT, counted
 from realmwatch.schemas import REQ_TGS
 
 # Columns the folds read: three flags of the offered list, one per key role.
@@ -88,51 +89,38 @@ def forwarded_tgt(success: DataFrame, max_lag: int = 900) -> DataFrame:
     hints that the first server was handed the client's credentials.  `npairs` counts the
     pairs of requests behind a row.
 
-    Requests are counted per second before the join, so repeats in a hot group meet as one
-    row, and the join key holds a time bucket as wide as the lag: a request for a TGT is
-    matched with its own bucket and the one before, never with its whole group.
+    The requests of an address, authtime and client are dealt once, with a time bucket as wide as
+    the lag, counted per second there, and met with the requests for TGTs of that bucket and the next,
+    so the cost of a hot session follows its seconds and not its rows.  What one task holds beside the rows it
+    reads is the requests for TGTs of one session and two buckets.
     """
     width = max(max_lag, 1)
     who = ["ip", "authtime", "client_name"]
-    requests = success.where(F.col("req_type") == REQ_TGS).withColumn(
-        "bucket", F.floor(F.col("log_time") / width)
+    requests = (
+        counted(success)
+        .where(F.col("req_type") == REQ_TGS)
+        .select(*who, "server_name", "req_enctypes", "log_time", COUNT)
+        .withColumn("tgt", F.col("server_name").ilike("krbtgt%"))
+        .withColumn("own", F.floor(F.col("log_time") / width))
     )
-    each_second = [*who, "server_name", "req_enctypes", "log_time", "bucket"]
-    # the few requests for TGTs are doubled, not the many others
-    second = (
-        requests.where(F.col("server_name").ilike("krbtgt%"))
-        .groupBy(*each_second)
-        .agg(F.count("*").alias("second_n"))
-        .select(
-            *who,
-            F.col("server_name").alias("forwarded_server"),
-            F.col("req_enctypes").alias("second_list"),
-            F.col("log_time").alias("second_time"),
-            "second_n",
-            F.explode(F.array(F.col("bucket"), F.col("bucket") - 1)).alias("bucket"),
-        )
+    # a request for a TGT is met from its own bucket and from the one before; the many others are not doubled
+    buckets = F.when(F.col("tgt"), F.array(F.col("own"), F.col("own") - 1)).otherwise(F.array("own"))
+    dealt = requests.withColumn("bucket", F.explode(buckets)).repartition(*who, "bucket")
+    seconds = dealt.groupBy(*who, "bucket", "own", "tgt", "server_name", "req_enctypes", "log_time").agg(
+        F.sum(COUNT).alias(COUNT)
     )
-    # a request without one for a TGT near it is gone before any is counted
-    near = second.select(*who, "bucket").distinct()
-    first = (
-        requests.join(near, [*who, "bucket"], "left_semi")
-        .groupBy(*each_second)
-        .agg(F.count("*").alias("first_n"))
-        .select(
-            *who,
-            "server_name",
-            F.col("req_enctypes").alias("first_list"),
-            F.col("log_time").alias("first_time"),
-            "first_n",
-            "bucket",
-        )
+    second = F.struct(
+        F.col("server_name").alias("forwarded_server"), F.col("req_enctypes").alias("second_list"),
+        F.col("log_time").alias("second_time"), F.col(COUNT).alias("second_n"),
     )
-    lag = F.col("second_time") - F.col("first_time")
-    pairs = first.join(second, [*who, "bucket"]).where(
+    near = F.collect_list(F.when(F.col("tgt"), second)).over(Window.partitionBy(*who, "bucket"))
+    firsts = seconds.withColumn("near", near).where((F.col("bucket") == F.col("own")) & (F.size("near") > 0))
+    lag = F.col("second_time") - F.col("log_time")
+    pairs = firsts.select(*who, "server_name", "req_enctypes", "log_time", COUNT, F.inline("near")).where(
         lag.between(0, max_lag)
-        & (F.col("first_list") != F.col("second_list"))
+        & (F.col("req_enctypes") != F.col("second_list"))
         & (F.col("server_name") != F.col("forwarded_server"))
     )
     return pairs.groupBy(*who, "server_name", "forwarded_server", lag.alias("lag")).agg(
-        F.sum(F.col("first_n") * F.col("second_n")).alias("npairs")
+        F.sum(F.col(COUNT) * F.col("second_n")).alias("npairs")
     )

@@ -14,8 +14,13 @@ from realmwatch.functions.text import principal_host
 from realmwatch.operators import conditions as c
 from realmwatch.operators.joins import LIST_FLAGS, ROLES, Known, with_list_flags, with_role_flags
 from realmwatch.schemas import CCS, CLIENT, PRINC, PRINC_MEASURES
+from realmwatch.sources.parser import FAILED, REJECTED, SUCCEEDED
 
 _ZERO = "0L"
+_PARTIES = (
+    "inline(array(struct(false AS as_server, client_name AS name), "
+    "struct(true AS as_server, server_name AS name)))"
+)
 
 
 def _fill(fold: DataFrame, names: list[str]) -> DataFrame:
@@ -60,6 +65,51 @@ def _server_success_measures(of: str) -> dict[str, str]:
     }
 
 
+def _princ_measures() -> dict[str, tuple[str, str]]:
+    """Condition and time of every principal measure, over rows of `party_rows`."""
+    won_client, won_server = "NOT failed AND NOT as_server", "NOT failed AND as_server"
+    at = {"last_used": ("NOT failed", "log_time"), "lc_auth": (won_client, "authtime")}
+    at |= {"lc_fail": ("failed AND NOT as_server", "log_time")}
+    # offers count for failed requests too
+    at |= {f"lc_req_{k}": (c.both("NOT as_server", when), "log_time") for k, when in c.OFFERED.items()}
+    at |= {f"lc_req_{k}": (c.both(won_client, when), "log_time") for k, when in c.RECEIVED.items()}
+    at |= {"ls_ticket_issue": (won_server, "log_time"), "ls_ticket_fail": ("failed AND as_server", "log_time")}
+    return at | {f"ls_ticket_{k}": (c.both(won_server, when), "log_time") for k, when in c.TICKETED.items()}
+
+
+def party_rows(events: DataFrame, enctypes: Known = None) -> DataFrame:
+    """A row for the client and one for the server of every event of a parsed table, in one scan.
+
+    Enctypes of failed requests are none; a row whose own enctypes are unknown is left out.
+    """
+    flagged = with_role_flags(with_list_flags(events, enctypes=enctypes), enctypes)
+    roles = [f"CASE WHEN outcome = '{SUCCEEDED}' THEN {role}_weak END AS {role}_weak" for role in ROLES]
+    rows = flagged.where(F.col("outcome") != REJECTED).selectExpr(
+        f"outcome = '{FAILED}' AS failed", "log_time", "authtime", *LIST_FLAGS.values(), *roles, _PARTIES
+    )
+    return rows.where("name IS NOT NULL").where(
+        f"failed OR (NOT as_server AND {c.known('reply', 'session')}) OR (as_server AND {c.known('session', 'ticket')})"
+    )
+
+
+def princ_changes(events: DataFrame, enctypes: Known = None) -> DataFrame:
+    """Principals of a stream of parsed events, as they are after each micro-batch that changed them.
+
+    Every measure is kept with the time of the batch that first reached it, so a principal whose events
+    bring nothing later than what is known is not among the rows of a batch.
+    """
+    measures = _princ_measures()
+    stamped = party_rows(events, enctypes).withColumn("batch", F.unix_micros(F.current_timestamp()))
+    # of equal times the earliest batch wins
+    kept = [
+        F.expr(f"max(struct(CASE WHEN {when} THEN {time} ELSE 0L END AS at, -batch AS since)) AS {name}")
+        for name, (when, time) in measures.items()
+    ]
+    changed = F.least(*[F.col(f"{name}.since") for name in measures]) == -F.unix_micros(F.current_timestamp())
+    state = stamped.groupBy("name").agg(*kept).where(changed)
+    return princ_delta(state.select("name", *[F.col(f"{name}.at").alias(name) for name in measures]))
+
+
 def princ_client_success(
     success: DataFrame, lists: DataFrame | None = None, enctypes: Known = None
 ) -> DataFrame:
@@ -117,13 +167,9 @@ def princ_last_seen(
     the measures that row may advance.
     """
     list_flags, role_flags = list(LIST_FLAGS.values()), [f"{role}_weak" for role in ROLES]
-    parties = (
-        "inline(array(struct(false AS as_server, client_name AS name), "
-        "struct(true AS as_server, server_name AS name)))"
-    )
     won = (
         with_role_flags(with_list_flags(success, lists, enctypes), enctypes)
-        .selectExpr("false AS failed", "log_time", "authtime", *list_flags, *role_flags, parties)
+        .selectExpr("false AS failed", "log_time", "authtime", *list_flags, *role_flags, _PARTIES)
         .where(
             f"(NOT as_server AND {c.known('reply', 'session')}) "
             f"OR (as_server AND {c.known('session', 'ticket')})"
@@ -131,17 +177,9 @@ def princ_last_seen(
     )
     lost = with_list_flags(failure, lists, enctypes).selectExpr(
         "true AS failed", "log_time", f"{_ZERO} AS authtime", *list_flags,
-        *[f"CAST(NULL AS int) AS {n}" for n in role_flags], parties,
+        *[f"CAST(NULL AS int) AS {n}" for n in role_flags], _PARTIES,
     )
-    named = {
-        "last_used": c.latest("NOT failed"),
-        **_client_success_measures("NOT failed AND NOT as_server"),
-        **_server_success_measures("NOT failed AND as_server"),
-        "lc_fail": c.latest("failed AND NOT as_server"),
-        "ls_ticket_fail": c.latest("failed AND as_server"),
-        # offers count for failed requests too
-        **_offer_measures("NOT as_server"),
-    }
+    named = {name: c.latest(*at) for name, at in _princ_measures().items()}
     rows = won.unionByName(lost).where("name IS NOT NULL")
     return princ_delta(rows.groupBy("name").agg(*c.measures(named)))
 

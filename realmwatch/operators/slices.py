@@ -30,10 +30,10 @@ KEYS = {
 
 def _by_day(rows: DataFrame, keys: list[str], counts: dict[str, str]) -> DataFrame:
     """One row per key and day, bounded by the first and last second of the day."""
-    named = {"nentries": "count(*)", **counts}
+    named = {"nentries": f"sum({c.COUNT})", **counts}
     start = day_start(F.col("log_time")).alias("starttime")
-    counted = rows.groupBy(*[F.expr(k) for k in keys], start).agg(*c.measures(named))
-    return counted.withColumn("endtime", F.col("starttime") + (DAY_SECONDS - 1))
+    sliced = c.counted(rows).groupBy(*[F.expr(k) for k in keys], start).agg(*c.measures(named))
+    return sliced.withColumn("endtime", F.col("starttime") + (DAY_SECONDS - 1))
 
 
 def client_slices(
@@ -70,19 +70,19 @@ def princ_slices(
 def princ_fail_slices(failure: DataFrame) -> DataFrame:
     """Per client principal and day: failed requests."""
     rows = failure.where("client_name IS NOT NULL")
-    return _princ_counts(_by_day(rows, ["client_name AS name"], {"nfail": "count(*)"}))
+    return _princ_counts(_by_day(rows, ["client_name AS name"], {"nfail": f"sum({c.COUNT})"}))
 
 
 def ticket_slices(
     success: DataFrame, failure: DataFrame, enctypes: Known = None
 ) -> DataFrame:
     """Per server principal and day: tickets issued and refused, and their keys."""
-    issued = with_role_flags(success, enctypes).where(c.known("session", "ticket"))
+    issued = with_role_flags(c.counted(success), enctypes).where(c.known("session", "ticket"))
     rows = issued.selectExpr(
-        "server_name", "log_time", "session_weak", "ticket_weak", "false AS failed"
+        "server_name", "log_time", c.COUNT, "session_weak", "ticket_weak", "false AS failed"
     ).unionByName(
-        failure.where("server_name IS NOT NULL").selectExpr(
-            "server_name", "log_time", "CAST(NULL AS int) AS session_weak",
+        c.counted(failure).where("server_name IS NOT NULL").selectExpr(
+            "server_name", "log_time", c.COUNT, "CAST(NULL AS int) AS session_weak",
             "CAST(NULL AS int) AS ticket_weak", "true AS failed",
         )
     )

@@ -7,15 +7,15 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from realmwatch.functions.enctypes import enctype_rows
-from realmwatch.operators import last_seen, slices
+from realmwatch.operators import last_seen, slices, trends
+from realmwatch.operators.audit import routed
+from realmwatch.operators.cube import cube_failures, cube_reports, cube_successes, event_cube
 from realmwatch.operators.lists import discover_lists, list_flags
 from realmwatch.operators.merge import upsert
 from realmwatch.plans.folders import Folder
 from realmwatch.plans.store import SummaryStore
-from realmwatch.schemas import REPORT_COUNTS
 from realmwatch.sources import logs, parser, tables
 
 
@@ -25,13 +25,14 @@ def summary_deltas(
     failures_too: bool = False,
     triples: bool = False,
     tickets: bool = False,
+    averages: bool = False,
     enctypes: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """The deltas of one set of events, by store table.
 
     `failures_too` also folds failures into client.last_fail and into slices of their own;
     `triples` also slices address/client/server triples by day; `tickets` counts tickets into
-    the principal slices of their servers.  `enctypes` is a site's own enctype table, which
+    the principal slices of their servers; `averages` keeps decayed averages of client slices.  `enctypes` is a site's own enctype table, which
     then decides every flag, of lists and of keys.
     """
     known = None if enctypes is None else enctype_rows(enctypes)
@@ -57,15 +58,17 @@ def summary_deltas(
         deltas["princ_slice_data"] = deltas["princ_slice_data"].unionByName(
             slices.ticket_counts(success, failure, known)
         )
+    if averages:
+        deltas["client_average_data"] = trends.decayed_counts(deltas["client_slice_data"], ["ip", "is_success"])
     if triples:
         deltas["ccs_slice_data"] = slices.ccs_slices(success, known)
     return deltas
 
 
-def report_counts(events: DataFrame) -> DataFrame:
-    """Lines with something to report, counted by problem."""
-    reported = parser.rejects(events).groupBy("reason", "kept")
-    return reported.agg(F.count("*").alias("nlines")).select(*REPORT_COUNTS.names)
+def cube_deltas(cube: DataFrame, **extras) -> dict[str, DataFrame]:
+    """All deltas of an event cube, the counts of reported lines among them."""
+    deltas = summary_deltas(cube_successes(cube), cube_failures(cube), **extras)
+    return deltas | {"report_counts": cube_reports(cube)}
 
 
 def fold_into(store: SummaryStore, batch_id: str, deltas: dict[str, DataFrame]) -> bool:
@@ -109,14 +112,33 @@ def run_batch(
     if store.is_committed(batch_id):
         return False
     raw = logs.drop_local_tgt(logs.scan_logs(spark, paths))
+    parsed = parser.parse_events(logs.kdc_lines(raw) if kdc_only else raw)
+    return load_events(parsed, events_path, store, batch_id, discard, **extras)
+
+
+def load_events(
+    events: DataFrame,
+    events_path: str,
+    store: SummaryStore,
+    batch_id: str,
+    discard: bool = False,
+    **extras,
+) -> bool:
+    """The same from a parsed event table, which may come from elsewhere.
+
+    Rows that break a constraint of their table are stored as rejected, reported by the rule and not folded.
+    The stored events are read once, for the cube that all folds and the report counts are read off; the cube
+    lies in the store until the batch is committed, and a retry writes it anew.
+    """
+    if store.is_committed(batch_id):
+        return False
+    spark = store.spark
     path = tables.batch_folder(events_path, batch_id)
-    tables.write_events(
-        parser.parse_events(logs.kdc_lines(raw) if kdc_only else raw), path, mode="overwrite"
-    )
-    loaded = tables.read_logs(spark, path)
-    deltas = summary_deltas(loaded.success, loaded.failure, **extras)
-    deltas["report_counts"] = report_counts(tables.read_events(spark, path))
-    fold_into(store, batch_id, deltas)
+    tables.write_events(routed(events), path, mode="overwrite")
+    cube_path = store.folder.at("cubes", batch_id)
+    event_cube(tables.read_events(spark, path)).write.mode("overwrite").parquet(cube_path)
+    fold_into(store, batch_id, cube_deltas(spark.read.parquet(cube_path), **extras))
+    store.folder.remove("cubes", batch_id)
     if discard:
         Folder(spark, path).remove()
     return True

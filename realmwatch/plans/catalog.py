@@ -9,15 +9,22 @@ from pyspark.sql import functions as F
 
 from realmwatch.functions.enctypes import enctype_dim, extend_enctypes, tokens
 from realmwatch.functions.text import principal_host
-from realmwatch.operators import audit, joins, last_seen, lists, merge, slices, trends
-from realmwatch.plans.batch import run_batch
+from realmwatch.operators import audit, failures, joins, last_seen, lists, merge, slices, trends
+from realmwatch.plans.batch import load_events, run_batch
 from realmwatch.plans.folders import Folder, scratch_dir
 from realmwatch.plans.store import TABLES, SummaryStore
-from realmwatch.plans.views import register_views
+from realmwatch.plans.views import register_functions, register_views
+from realmwatch.schemas import CLIENT_SLICES
 from realmwatch.sources import bridge, logs, parser
 from realmwatch.sources.growing import scan_growing
 from realmwatch.sources.tables import read_logs, union_logs
-from realmwatch.streaming.incremental import catch_up, parse_stream, run_incremental
+from realmwatch.streaming.incremental import (
+    catch_up,
+    parse_stream,
+    run_incremental,
+    run_native_princ,
+    run_native_slices,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -26,6 +33,8 @@ QUERIES: dict[str, Query] = {}
 AS_OF, KEEP_DAYS = 1706659200, 10
 # Fixed value: lines of a micro-batch.
 LINES_PER_BATCH = 10_000
+# Fixed value: days that a closed window waits for late lines.
+OPEN_DAYS = 2
 
 
 def query(fn: Query) -> Query:
@@ -243,6 +252,20 @@ def adhoc_weak_clients(spark, sf_dir):
     )
 
 
+@query
+def adhoc_sql_functions(spark, sf_dir):
+    """The model's functions called from SQL alone."""
+    register_functions(spark)
+    register_views(spark, log_entry_success=_success(spark, sf_dir))
+    return spark.sql(
+        """SELECT event_id, canonical_list(req_enctypes_orig) AS listing, list_is_weak(req_enctypes) AS weak,
+             list_is_modern(req_enctypes) AS modern, list_is_too_weak(req_enctypes) AS too_weak,
+             enctype_is_weak(session_enctype) AS session_weak, day_start(log_time) AS day,
+             principal_host(server_name) AS host
+           FROM log_entry_success WHERE day_start(authtime) = day_start(log_time)"""
+    )
+
+
 # -- folds -----------------------------------------------------------------------------
 
 
@@ -426,6 +449,19 @@ def store_princ_slice_rates(spark, sf_dir):
     return rated.select("name", "starttime", "nfail", *[c for c in rated.columns if c.endswith("_rate")])
 
 
+@query
+def batch_constraints(spark, sf_dir):
+    """A load of events of which some break a rule: counts of reports, and of entries that were folded."""
+    root = scratch_dir(spark, "constraints")
+    store = SummaryStore(spark, f"{root}/store")
+    events = parser.parse_events(bridge.raw_lines(_log(spark, sf_dir)))
+    gone = {n: F.when(F.col("event_id") % 13 == i, None).otherwise(F.col(n)) for i, n in enumerate(_RULED)}
+    kind = F.when(F.col("event_id") % 17 == 16, F.lit(2)).otherwise(F.col("req_type"))
+    load_events(events.withColumns(gone).withColumn("req_type", kind), f"{root}/events", store, "load")
+    folded = store.read("client_slice_data").agg(F.sum("nentries").alias("nlines"))
+    return store.read("report_counts").unionByName(folded.selectExpr("'folded' AS reason", "1 AS kept", "nlines"))
+
+
 # -- audits ----------------------------------------------------------------------------
 
 
@@ -445,6 +481,25 @@ def audit_orphans(spark, sf_dir):
     return audit.orphans(last_seen.ccs_last_seen(success), clients, {"cname": "name"})
 
 
+@query
+def audit_references(spark, sf_dir):
+    """Every reference of the model, with parents that some of the keys were taken out of."""
+    log = bridge.varied_lists(_log(spark, sf_dir))
+    success, failure = bridge.success_events(log), bridge.failure_events(log)
+    found = lists.discover_lists(success, failure)
+    tables = {
+        "client": last_seen.client_last_seen(success).where("ip NOT LIKE '10.0.3.%'"),
+        "princ": last_seen.princ_last_seen(success, failure).where("name NOT LIKE 'u1%' AND name NOT LIKE 'host/h3%'"),
+        "req_enctypes_lists": lists.list_flags(found).where("enctype_list NOT LIKE '%-%'"),
+        "req_enctypes_normal": lists.list_members(found),
+        "client_cname_sname": last_seen.ccs_last_seen(success),
+        "client_slice_data": slices.client_slices(success),
+        "princ_slice_data": slices.princ_slices(success),
+        "ccs_slice_data": slices.ccs_slices(success),
+    }
+    return audit.broken_references(tables)
+
+
 @query
 def audit_unknown_enctypes(spark, sf_dir):
     log = bridge.unknown_session_keys(_log(spark, sf_dir))
@@ -547,6 +602,31 @@ def stream_growing_file(spark, sf_dir):
     return store.read("client_slice_data")
 
 
+@query
+def stream_native_slices(spark, sf_dir):
+    """Slices of closed days, kept and closed by Spark's own state; lines of closed days come late and are dropped."""
+    root = scratch_dir(spark, "native")
+    log = _log(spark, sf_dir)
+    for number, part in enumerate((bridge.older, bridge.newer, bridge.older)):
+        _lines_in(f"{root}/lines", f"part={number}", part(log))
+        lines = logs.scan_stream(spark, f"{root}/lines").select("value")
+        run_native_slices(lines, f"{root}/slices", f"{root}/checkpoint", days=OPEN_DAYS).awaitTermination()
+    return spark.read.schema(CLIENT_SLICES).parquet(f"{root}/slices")
+
+
+@query
+def stream_native_princ(spark, sf_dir):
+    """Principals from the state of a stream that hands only the changed ones to the store."""
+    root = scratch_dir(spark, "native-princ")
+    store = SummaryStore(spark, f"{root}/store")
+    log = _log(spark, sf_dir)
+    for number, part in enumerate((bridge.newer, bridge.older)):
+        _lines_in(f"{root}/lines", f"part={number}", part(log))
+        lines = logs.scan_stream(spark, f"{root}/lines").select("value")
+        run_native_princ(lines, store, f"{root}/checkpoint").awaitTermination()
+    return store.read("princ")
+
+
 # -- completions of what the model declares --------------------------------------------
 
 
@@ -569,6 +649,30 @@ def _rounded(table: DataFrame) -> DataFrame:
     )
 
 
+@query
+def ext_decayed_avg(spark, sf_dir):
+    """Decayed averages kept through two batches, the newer one first."""
+    a, b = _halves(_success(spark, sf_dir))
+    kept = [trends.decayed_counts(slices.client_slices(half), ["ip", "is_success"]) for half in (b, a)]
+    averages = trends.decayed_averages(_upserted("client_average_data", *kept), ["ip", "is_success"])
+    rounded = [F.round(c, 9).alias(c) for c in averages.columns if c == "weight" or c.endswith("_avg")]
+    return averages.select("ip", "is_success", "last_start", *rounded)
+
+
+@query
+def ext_trend_slopes(spark, sf_dir):
+    rated = slices.slice_rates(slices.client_slices(_success(spark, sf_dir)))
+    slopes = trends.trend_slopes(rated, ["ip", "is_success"])
+    return slopes.select(*[F.round(c, 9).alias(c) if c.endswith("_slope") else F.col(c) for c in slopes.columns])
+
+
+@query
+def ext_failure_templates(spark, sf_dir):
+    """Templates of varied reasons; hosts are told to be variable by their number."""
+    failure = bridge.failure_events(bridge.varied_reasons(_log(spark, sf_dir)))
+    return failures.failure_templates(failure, most=8)
+
+
 @query
 def ext_client_last_fail(spark, sf_dir):
     seen = last_seen.client_last_seen(_success(spark, sf_dir))

@@ -371,6 +371,64 @@ ORACLES: dict[str, str] = {
     ),
     "stream_parse": _sql(f"SELECT {_SUCCESS} FROM ok"),
     "stream_client_slices": _sql(_CLIENT_SLICES),
+    "stream_native_slices": _sql(
+        f"SELECT * FROM ({_CLIENT_SLICES}) WHERE endtime + 1 <= (SELECT max(log_time) FROM ok) - 2 * 86400"
+    ),
+    "stream_native_princ": _sql(_merged_princ(), *_PRINC_FOLDS),
+    "batch_constraints": _sql(
+        """SELECT reason, CAST(reason = 'folded' AS INTEGER) AS kept, count(*) AS nlines FROM (
+          SELECT CASE WHEN event_id % 13 = 0 THEN 'ip is missing'
+              WHEN code = 'ISSUE' AND event_id % 13 = 1 THEN 'authtime is missing'
+              WHEN code = 'ISSUE' AND event_id % 13 = 2 THEN 'client_name is missing'
+              WHEN code = 'ISSUE' AND event_id % 13 = 3 THEN 'session_enctype is missing'
+              WHEN event_id % 17 = 16 THEN 'req_type is unknown'
+              WHEN code = 'ISSUE' THEN 'folded' END AS reason FROM ev)
+        WHERE reason IS NOT NULL GROUP BY reason"""
+    ),
+    "audit_references": _sql(
+        f"""SELECT * FROM (
+        SELECT 'client_slice_data' AS child, 'ip' AS columns, 'client' AS parent, ip AS key, count(*) AS nrows
+          FROM ({_CLIENT_SLICES}) WHERE ip LIKE '10.0.3.%' GROUP BY ip
+        UNION ALL SELECT 'princ_slice_data', 'name', 'princ', name, count(*) FROM ({_PRINC_SLICES})
+          WHERE name LIKE 'u1%' GROUP BY name
+        UNION ALL SELECT 'client_cname_sname', 'ip', 'client', ip, count(*) FROM ({_CCS}) WHERE ip LIKE '10.0.3.%' GROUP BY ip
+        UNION ALL SELECT 'client_cname_sname', 'cname', 'princ', cname, count(*) FROM ({_CCS}) WHERE cname LIKE 'u1%' GROUP BY cname
+        UNION ALL SELECT 'client_cname_sname', 'sname', 'princ', sname, count(*) FROM ({_CCS}) WHERE sname LIKE 'host/h3%' GROUP BY sname
+        UNION ALL SELECT 'ccs_slice_data', 'ip', 'client', ip, count(*) FROM ({_CCS_SLICES}) WHERE ip LIKE '10.0.3.%' GROUP BY ip
+        UNION ALL SELECT 'ccs_slice_data', 'cname', 'princ', cname, count(*) FROM ({_CCS_SLICES}) WHERE cname LIKE 'u1%' GROUP BY cname
+        UNION ALL SELECT 'ccs_slice_data', 'sname', 'princ', sname, count(*) FROM ({_CCS_SLICES}) WHERE sname LIKE 'host/h3%' GROUP BY sname
+        UNION ALL SELECT 'req_enctypes_normal', 'enctype_list,enctype_list_orig', 'req_enctypes_lists',
+          enctype_list || '|' || enctype_list_orig, count(*) FROM (
+            SELECT DISTINCT enctype_list, enctype_list_orig, enctype FROM tok WHERE enctype IS NOT NULL)
+          WHERE enctype_list LIKE '%-%' GROUP BY enctype_list, enctype_list_orig)""",
+        _VARIED,
+    ),
+    "ext_decayed_avg": _sql(
+        f"""SELECT ip, is_success, last AS last_start, round(sum(w * nentries), 9) AS weight,
+        {", ".join(f"round(sum(w * {n}) / sum(w * nentries), 9) AS {n[1:]}_decayed_avg" for n in _CLIENT_COUNTS)}
+        FROM (SELECT *, pow(2.0, CAST(starttime - last AS DOUBLE) / 604800.0) AS w FROM (
+            SELECT *, max(starttime) OVER (PARTITION BY ip, is_success) AS last FROM ({_CLIENT_SLICES})))
+        GROUP BY ip, is_success, last"""
+    ),
+    "ext_trend_slopes": _sql(
+        f"""SELECT ip, is_success, count(*) AS nslices,
+        {", ".join(f"round(CASE WHEN count(*) > 1 THEN regr_slope({r}, CAST(starttime AS DOUBLE) / 86400) END, 9) AS {r.removesuffix('_rate')}_slope" for r in _CLIENT_RATE_NAMES)}
+        FROM ({_CLIENT_RATED}) GROUP BY ip, is_success"""
+    ),
+    "ext_failure_templates": _sql(
+        """SELECT code, CASE event_id % 5 WHEN 0 THEN 'Additional pre-authentication required'
+          WHEN 1 THEN 'Client not found in Kerberos database: <principal>'
+          WHEN 2 THEN 'Clock skew too great: <number> seconds from <address>.'
+          WHEN 3 THEN 'Key table entry ' || CASE WHEN hosts > 8 THEN '<*>' ELSE 'h' || CAST(user_id AS VARCHAR) END || ' not found'
+          ELSE 'Decrypt integrity check failed for <path>' END AS template, d AS starttime, count(*) AS nfail
+        FROM (SELECT b.*, h.hosts FROM bad b LEFT JOIN (SELECT code AS c, count(DISTINCT user_id) AS hosts FROM bad
+            WHERE event_id % 5 = 3 GROUP BY code) h ON h.c = b.code) GROUP BY 1, 2, 3"""
+    ),
+    "adhoc_sql_functions": _sql(
+        """SELECT event_id, req_enctypes AS listing, lw AS weak, lm AS modern, ltw AS too_weak, sw AS session_weak, d AS day,
+        CASE WHEN strpos(server_name, '/') > 0 THEN string_split(string_split(server_name, '/')[2], '@')[1] END AS host
+        FROM ok WHERE authtime - authtime % 86400 = d"""
+    ),
     "stream_growing_file": _sql(_CLIENT_SLICES),
     "stream_princ": _sql(_merged_princ(), *_PRINC_FOLDS),
     "stream_late_data": _sql(_CLIENT_SLICES),

@@ -7,6 +7,7 @@ Every measure is a max or a sum, so an update needs no read-modify-write:
     base/<build>/<table>/[day=<day>/]           deltas folded together by compact()
     base/<build>_covered/                       ids of the batches inside that base
     versions/<number>                           written last, by one build only: holds its name
+    cubes/<id>                                  counted events of a batch, while it is folded
 
 A batch that fails half-way leaves no commit and is rewritten by its retry; a batch that
 is committed already is skipped.  No file a reader may hold is ever overwritten.
@@ -52,6 +53,10 @@ TABLES = {
     "client_cname_sname": Table(s.CCS, ["ip", "cname", "sname"]),
     "req_enctypes_lists": Table(s.LISTS, KEY),
     "report_counts": Table(s.REPORT_COUNTS, ["reason", "kept"], {"nlines": "sum"}),
+    "client_average_data": Table(
+        s.CLIENT_AVERAGES, ["ip", "is_success", "period"],
+        {"last_start": "max"} | dict.fromkeys(["nentries", *s.CLIENT_COUNTS], "sum"),
+    ),
     "client_slice_data": _daily(s.CLIENT_SLICES, slices.KEYS["client"]),
     "princ_slice_data": _daily(s.PRINC_SLICES, slices.KEYS["princ"]),
     "ccs_slice_data": _daily(s.CCS_SLICES, slices.KEYS["ccs"]),
@@ -100,9 +105,14 @@ class SummaryStore:
     # -- reading ---------------------------------------------------------------------
 
     def _version(self) -> str | None:
-        """The build that the newest version names."""
-        versions = self.folder.names("versions")
-        return self.folder.text("versions", versions[-1]) if versions else None
+        """The build that the newest version names.
+
+        A marker is empty while it is claimed, and stays so if its writer dies then: it does not count.
+        """
+        for number in reversed(self.folder.names("versions")):
+            if build := self.folder.text("versions", number):
+                return build
+        return None
 
     def _covered(self, version: str) -> DataFrame:
         return self.spark.read.schema("batch_id string").parquet(
@@ -199,6 +209,11 @@ class SummaryStore:
                 for name in TABLES:
                     self.folder.remove("deltas", name, f"batch_id={batch}")
                 self.folder.remove("commits", batch)
+        current = self._version()
         for number in numbers[:-1]:
-            self._drop_base(self.folder.text("versions", number))
+            build = self.folder.text("versions", number)
+            if build == current:
+                break
+            if build:
+                self._drop_base(build)
             self.folder.remove("versions", number)

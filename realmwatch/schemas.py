@@ -84,6 +84,9 @@ CCS_SLICES = _struct(
     (_S, "ip cname sname"), (_L, " ".join(["starttime endtime nentries", *CCS_COUNTS]))
 )
 
+CLIENT_AVERAGES = _struct(
+    (_S, "ip"), (_I, "is_success"), (_L, "period last_start"), (_D, " ".join(["nentries", *CLIENT_COUNTS]))
+)
 REPORT_COUNTS = _struct((_S, "reason"), (_I, "kept"), (_L, "nlines"))
 
 REQ_AS, REQ_TGS = 0, 1

@@ -169,6 +169,17 @@ def odd_refusals(log: DataFrame) -> DataFrame:
     return log.selectExpr("event_id", f"{line} AS value")
 
 
+def varied_reasons(log: DataFrame) -> DataFrame:
+    """The log with reasons of five forms, three of them with a variable part."""
+    reason = f"""CASE event_id % 5
+        WHEN 0 THEN 'Additional pre-authentication required'
+        WHEN 1 THEN concat('Client not found in Kerberos database: ', client_name)
+        WHEN 2 THEN concat('Clock skew too great: ', event_id % 900, ' seconds from ', ip, '.')
+        WHEN 3 THEN concat('Key table entry h', user_id, ' not found')
+        ELSE 'Decrypt integrity check failed for /etc/krb5.keytab' END"""
+    return log.withColumn("reason", F.expr(reason))
+
+
 def future_lines(log: DataFrame) -> DataFrame:
     """Raw lines of which one in 499 carries the date of a clock that is far ahead."""
     ahead = line_text(stamp="concat('2099-01-01T00:00:00+0000')")

@@ -3,20 +3,35 @@
 from __future__ import annotations
 
 import time
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from realmwatch.functions.enctypes import enctype_rows
 from realmwatch.functions.times import day_start
 from realmwatch.operators import conditions as c
+from realmwatch.operators.audit import routed
+from realmwatch.operators.cube import event_cube
 from realmwatch.operators.joins import with_list_flags
-from realmwatch.plans.batch import fold_into, report_counts, summary_deltas
+from realmwatch.operators.last_seen import princ_changes
+from realmwatch.plans.batch import cube_deltas, fold_into
 from realmwatch.plans.store import SummaryStore
 from realmwatch.schemas import CLIENT_SLICES, DAY_SECONDS
 from realmwatch.sources import logs, parser, tables
 
+_STATE = "org.apache.spark.sql.execution.streaming.state"
+
+
+def _batch_id(batch: DataFrame, name: str | None, number: int) -> str:
+    source = name or batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if not source:
+        raise RuntimeError("the stream has no query id; give it a name")
+    return f"{source}-{number:010d}"
+
 
 def run_incremental(
     lines: DataFrame,
@@ -46,34 +61,30 @@ def run_incremental(
     """
 
     def fold(batch: DataFrame, number: int) -> None:
-        context = batch.sparkSession.sparkContext
-        source = name or context.getLocalProperty("sql.streaming.queryId")
-        if not source:
-            raise RuntimeError("the stream has no query id; give it a name")
-        batch_id = f"{source}-{number:010d}"
+        batch_id = _batch_id(batch, name, number)
         if store.is_committed(batch_id):
             return
         raw = logs.drop_local_tgt(batch)
         parsed = parser.parse_events(logs.kdc_lines(raw) if kdc_only else raw)
-        events = tables.stored_form(parsed).persist(StorageLevel.MEMORY_AND_DISK)
+        events = routed(parsed)
+        if rejects_path:  # the only other reader of the lines
+            events = events.persist(StorageLevel.MEMORY_AND_DISK)
+        cube = event_cube(events).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             if rejects_path:
                 reports = parser.rejects(events).write.mode("overwrite")
                 reports.parquet(f"{rejects_path}/batch_id={batch_id}")
-            success, failure = parser.successes(events), parser.failures(events)
-            deltas = summary_deltas(success, failure, **extras)
-            fold_into(store, batch_id, deltas | {"report_counts": report_counts(events)})
+            fold_into(store, batch_id, cube_deltas(cube, **extras))
         finally:
-            events.unpersist()
+            cube.unpersist()
+            if rejects_path:
+                events.unpersist()
         if compact_every and (number + 1) % compact_every == 0:
             now = int(time.time()) if as_of is None else as_of
             store.compact(days, now if days is not None else None)
 
     writer = lines.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint)
-    trigger = {"processingTime": every} if every else {"availableNow": True}
-    if name:
-        writer = writer.queryName(name)
-    return writer.trigger(**trigger).start()
+    return (writer.queryName(name) if name else writer).trigger(**_trigger(every)).start()
 
 
 def catch_up(query: StreamingQuery) -> None:
@@ -92,15 +103,82 @@ def parse_stream(lines: DataFrame, path: str, checkpoint: str, every: str | None
     """Append parsed lines to an event table, with no state; sources.tables reads it."""
     parsed = parser.parse_events(logs.drop_local_tgt(lines))
     writer = tables.stored_form(parsed).writeStream.format("parquet").option("path", path)
-    trigger = {"processingTime": every} if every else {"availableNow": True}
     return (
         writer.option("checkpointLocation", checkpoint)
         .partitionBy(*tables.PARTITIONS)
-        .trigger(**trigger)
+        .trigger(**_trigger(every))
         .start()
     )
 
 
+@contextmanager
+def _state_on_disk(spark: SparkSession) -> Iterator[None]:
+    """Streams started inside keep their state in RocksDB, on the executors' disks and not on their heaps."""
+    name, provider = "spark.sql.streaming.stateStore.providerClass", f"{_STATE}.RocksDBStateStoreProvider"
+    before = spark.conf.get(name)
+    spark.conf.set(name, provider)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def _trigger(every: str | None) -> dict:
+    return {"processingTime": every} if every else {"availableNow": True}
+
+
+def run_native_slices(
+    lines: DataFrame, path: str, checkpoint: str, days: int, every: str | None = None, kdc_only: bool = False
+) -> StreamingQuery:
+    """Client slices of a stream of lines as Spark's own windowed state, written below `path` once a day is closed.
+
+    No store and no merge: a day is written once, `days` days after its end, and kept in the state store until
+    then.  Later lines of a closed day are dropped; `dropped_rows` counts them.
+    """
+    raw = logs.drop_local_tgt(lines)
+    success = parser.successes(routed(parser.parse_events(logs.kdc_lines(raw) if kdc_only else raw)))
+    writer = native_client_slices(success, days).writeStream.format("parquet").option("path", path)
+    writer = writer.option("checkpointLocation", checkpoint).outputMode("append")
+    with _state_on_disk(lines.sparkSession):
+        return writer.trigger(**_trigger(every)).start()
+
+
+def dropped_rows(query: StreamingQuery) -> int:
+    """Rows that came after their window was closed, as the query's recent progress reports them: each is one
+    key and day of one task, since events are combined before the state store sees them."""
+    return sum(
+        operator["numRowsDroppedByWatermark"]
+        for progress in query.recentProgress
+        for operator in progress["stateOperators"]
+    )
+
+
+def run_native_princ(
+    lines: DataFrame,
+    store: SummaryStore,
+    checkpoint: str,
+    name: str | None = None,
+    every: str | None = None,
+    kdc_only: bool = False,
+    enctypes: DataFrame | None = None,
+) -> StreamingQuery:
+    """Principals kept as state of the stream; a batch hands the store those it changed, and no others.
+
+    The state is one row for each principal, as in the store.  Batches are named as by `run_incremental`.
+    """
+    known = None if enctypes is None else enctype_rows(enctypes)
+    raw = logs.drop_local_tgt(lines)
+    events = routed(parser.parse_events(logs.kdc_lines(raw) if kdc_only else raw))
+
+    def hand_over(batch: DataFrame, number: int) -> None:
+        fold_into(store, _batch_id(batch, name, number), {"princ": batch})
+
+    writer = princ_changes(events, known).writeStream.foreachBatch(hand_over).outputMode("update")
+    writer = writer.option("checkpointLocation", checkpoint)
+    with _state_on_disk(lines.sparkSession):
+        return (writer.queryName(name) if name else writer).trigger(**_trigger(every)).start()
+
+
 def native_client_slices(success: DataFrame, days: int) -> DataFrame:
     """Client slices as a stateful streaming aggregation.
 
@@ -110,10 +188,10 @@ def native_client_slices(success: DataFrame, days: int) -> DataFrame:
     day = F.window("ts", f"{DAY_SECONDS} seconds").alias("day")
     named = {f"n{k}": c.tally(when) for k, when in c.CLIENT_ADDRESS.items()}
     sliced = (
-        with_list_flags(success.withColumn("ts", F.timestamp_seconds("log_time")))
+        with_list_flags(c.counted(success).withColumn("ts", F.timestamp_seconds("log_time")))
         .withWatermark("ts", f"{days} days")
         .groupBy("ip", day)
-        .agg(*c.measures({"nentries": "count(*)", **named}))
+        .agg(*c.measures({"nentries": f"sum({c.COUNT})", **named}))
     )
     start = day_start(F.unix_seconds("day.start"))
     return (
