@@ -1,5 +1,9 @@
 """Every registered query against its SQL on a second engine."""
 
+import os
+import subprocess
+import sys
+
 import pytest
 from compare import duck, mismatch
 from conftest import SF_DIR
@@ -30,3 +34,21 @@ def test_entry_point_offers_them_all():
 
 def test_entry(spark):
     assert entry_point.entry(spark).count() > 0
+
+
+@pytest.mark.parametrize("missing", ["realmwatch.llm", "realmwatch.llm.queries", "corpus_pipeline", "tokenizers"])
+def test_core_queries_stay_without_the_optional_part(missing):
+    """In a process of its own, where importing one module fails."""
+    code = f"""
+import sys
+class Gone:
+    def find_spec(self, name, path=None, target=None):
+        if name == {missing!r}:
+            raise ImportError(name)
+sys.meta_path.insert(0, Gone())
+import __spark_entry__ as e
+from realmwatch.plans.catalog import QUERIES
+assert QUERIES.items() <= e.queries().items() and 'pipeline' not in e.queries()
+"""
+    home = os.path.dirname(os.path.abspath(entry_point.__file__))
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=home)
