@@ -8,12 +8,15 @@ occurs once belongs to no repeat.  About one place in seventy is an anchor.
 1. Texts are scanned once.  An anchor's block is the text that its strings cover.  Blocks that are
    equal within a batch are found at once and leave the batch as one row each.
 2. Anchors meet by hash.  Equal blocks are repeats as a whole; where a hash has different
-   blocks, one of each goes on with its bytes.
+   blocks, one of each goes on with its bytes.  Where it has more than `most`, as many near copies do, blocks
+   are cut by the offset of their strings: those of up to 16 neighbouring offsets share all but 15 bytes at
+   each side, their core, and the hash of the core is the new one.  Copies that differ in the core part
+   there, those that are equal around it meet as equal blocks, and a hot hash is dealt over many tasks.
 3. The blocks of a hash are sorted twice: as suffixes from the anchor on, and, reversed, from the
    anchor back.  Multikey quicksort orders them to a shallow depth, then blind tries order the
    groups that agree on it, and give the common prefix of neighbours.  A string at offset o is
    repeated if two blocks agree on o bytes before the anchor and the rest of the string after it.
-4. Hashes with more than `most` different blocks do not stay in one task: their strings become
+4. Where even more than `most` different blocks have one core, their strings, 16 of a block at most, become
    128-bit hashes that are counted across the cluster.
 
 Rows stream through each step in constant memory, copies of a text are combined before they are
@@ -337,71 +340,114 @@ def _scan(source: DataFrame, length: int, gram: int) -> DataFrame:
     return source.mapInArrow(run, _ANCHOR)
 
 
-_MET = T.StructType([*_ANCHOR.fields[:2], *_ANCHOR.fields[3:6], T.StructField("compare", T.BooleanType())])
+_SPAN, _COMPARE, _SPLIT = range(3)
+_MET = T.StructType([*_ANCHOR.fields[:2], *_ANCHOR.fields[3:6], T.StructField("kind", T.IntegerType())])
 
 
-def _meet(rows: DataFrame) -> DataFrame:
-    """Step 2, on rows in order of h and f: starts that are repeats (`compare` false), and one row of
-    every block of a hash with several (`compare` true)."""
+def _meet(rows: DataFrame, most: int) -> DataFrame:
+    """Step 2, on rows in order of h and f: starts that are repeats, and one row of every block of a hash with
+    several, to be compared or, if they are more than `most`, to be split.  Up to `most` rows wait for that."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hash_now = block_now = None
-        blocks = 0
-        waiting: tuple | None = None  # the hash's first block, until there is a second
+        waiting: list[tuple] = []  # the hash's blocks, until it is known what becomes of them
+        full = False
         alone: tuple | None = None  # the block's only row so far
+
+        def decided() -> list[tuple]:
+            return [(*r, _COMPARE) for r in waiting] if len(waiting) > 1 else []
+
         for batch in batches:
             made: list[tuple] = []
             for k, h, f, place, first, last, known in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 row = (k, h, place, first, last)
                 if h is None:
-                    made.append((*row, False))
+                    made.append((*row, _SPAN))
                     continue
                 if h != hash_now:
-                    hash_now, block_now, blocks, waiting = h, None, 0, None
+                    made += decided()
+                    hash_now, block_now, waiting, full = h, None, [], False
                 if f != block_now:
                     block_now, alone = f, None if known else row
-                    blocks += 1
-                    if blocks == 1:
-                        waiting = row
-                    else:
-                        if waiting:
-                            made.append((*waiting, True))
-                            waiting = None
-                        made.append((*row, True))
+                    if full:
+                        made.append((*row, _SPLIT))
+                        continue
+                    waiting.append(row)
+                    if len(waiting) > most:
+                        made += [(*r, _SPLIT) for r in waiting]
+                        waiting, full = [], True
                 else:
                     if alone:
-                        made.append((*alone, False))
+                        made.append((*alone, _SPAN))
                         alone = None
                     if not known:
-                        made.append((*row, False))
+                        made.append((*row, _SPAN))
             if made:
                 yield _pack_rows(made, _MET)
+        if rest := decided():
+            yield _pack_rows(rest, _MET)
 
     return rows.mapInArrow(run, _MET)
 
 
-_BLOCK = T.StructType([*_MET.fields[:5], T.StructField("block", T.BinaryType())])
+# Offsets of a split block's strings that stay together.
+_RUN = 16
+_BLOCK = T.StructType([*_ANCHOR.fields[:6], T.StructField("block", T.BinaryType())])
+
+
+def split_block(data: bytes, place: int, first: int, last: int, length: int) -> Iterator[tuple]:
+    """The block's strings by runs of offsets before the anchor: hash of what all strings of the run share,
+    where that begins, first and last start."""
+    low, high, size = place - last, place - first, max(1, min(_RUN, length // 8))
+    for run in range(low // size, high // size + 1):
+        begin = place - run * size
+        core = data[begin : begin - (size - 1) + length]
+        least, most = max(low, run * size), min(high, run * size + size - 1)
+        yield xxhash.xxh3_64_intdigest(core, run + 1) - 2**63, begin, place - most, place - least
 
 
 def _cut(texts: DataFrame, length: int) -> DataFrame:
-    """The bytes of the blocks to compare; of rows with one text, which stand together, once."""
+    """The bytes of the blocks to compare and of those to split; of rows with one text, which stand together, once.
+
+    Parts of split blocks that are equal in a batch leave it as one row, and as spans, which have no hash.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before = None
         for batch in batches:
-            rows = []
+            rows: list[tuple] = []
+            met: dict[tuple, list] = {}
+            spans: dict[bytes, list] = {}
+
+            def add(k: bytes, h: int, place: int, first: int, last: int, data: bytes, split: bool) -> None:
+                block = data[first : last + length]
+                f = xxhash.xxh3_64_intdigest(block, place - first) - 2**63
+                row = (k, h, f, place, first, last, block)
+                if split:
+                    held = met.setdefault((h, f), [row, 0])
+                    held[1] += 1
+                    if held[1] > 1:
+                        for other in (row, held[0]) if held[1] == 2 else (row,):
+                            spans.setdefault(other[0], []).append((other[4], other[5] + 1))
+                        return
+                rows.append(row)
+
             for k, text, wanted in zip(batch["k"].to_pylist(), batch["t"], batch["wanted"], strict=True):
                 if k == before:
                     continue
                 before = k
                 data = to_bytes(text.as_py())
                 for w in wanted.as_py():
-                    rows.append((
-                        k, w["h"], w["place"], w["first"], w["last"], data[w["first"] : w["last"] + length]
-                    ))
+                    if w["kind"] == _COMPARE:
+                        add(k, w["h"], w["place"], w["first"], w["last"], data, False)
+                        continue
+                    for h, place, first, last in split_block(data, w["place"], w["first"], w["last"], length):
+                        add(k, h, place, first, last, data, True)
                 if len(rows) > 20_000:
                     yield _pack_rows(rows, _BLOCK)
                     rows = []
+            for k, found in spans.items():
+                rows += [(k, None, None, None, a, b - 1, None) for a, b in merge_spans(found)]
             if rows:
                 yield _pack_rows(rows, _BLOCK)
 
@@ -412,37 +458,48 @@ _FOUND = T.StructType([
     T.StructField("k", T.BinaryType()),
     T.StructField("first", T.LongType()),
     T.StructField("last", T.LongType()),
-    T.StructField("name", T.BinaryType()),  # set: one string of a hash with too many blocks
+    T.StructField("name", T.BinaryType()),  # set: one string of a core with too many blocks
 ])
 
 
 def _sort(blocks: DataFrame, length: int, gram: int, most: int) -> DataFrame:
-    """Step 3, on blocks in order of h: ranges of repeated starts, or strings to be counted."""
+    """Step 3, on blocks in order of h and f: ranges of repeated starts, or strings to be counted."""
 
     def solve(group: list[tuple]) -> list[tuple]:
-        cut = [(block, place - first, place - last, place - first) for _, _, place, first, last, block in group]
+        cut = [(block, place - first, place - last, place - first) for _, _, _, place, first, last, block in group]
         return [
-            (k, place - b, place - a, None)
-            for (k, _, place, _, _, _), ranges in zip(group, repeated_offsets(cut, length, gram), strict=True)
+            (row[0], row[3] - b, row[3] - a, None)
+            for row, ranges in zip(group, repeated_offsets(cut, length, gram), strict=True)
             for a, b in ranges
         ]
 
     def strings(row: tuple) -> list[tuple]:
-        k, _, _, first, last, block = row
+        k, _, _, _, first, last, block = row
         view = memoryview(block)
         return [
             (k, s, s, xxhash.xxh3_128_digest(view[s - first : s - first + length])) for s in range(first, last + 1)
         ]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, group, many = None, [], False
+        now, block_now, group, many = None, None, [], False
         for batch in batches:
             made: list[tuple] = []
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if row[1] != now:
+                k, h, f, _, first, last, _ = row
+                if h is None:
+                    made.append((k, first, last, None))
+                    continue
+                if h != now:
                     if not many and len(group) > 1:
                         made += solve(group)
-                    now, group, many = row[1], [], False
+                    now, block_now, group, many = h, None, [], False
+                if f == block_now:  # an equal block: all its strings are repeats
+                    made.append((k, first, last, None))
+                    if alone:
+                        made.append((alone[0], alone[4], alone[5], None))
+                        alone = None
+                    continue
+                block_now, alone = f, row
                 if many:
                     made += strings(row)
                 else:
@@ -471,17 +528,17 @@ def repeated_spans(
     scanned = _scan(source, length, gram)
     # Spans known already have no hash; they are dealt by their text so that they do not meet.
     met_by = scanned.repartition(F.coalesce("h", F.xxhash64("k", "first"))).sortWithinPartitions("h", "f")
-    found = stored(_meet(met_by), "met")
-    wanted = found.where("compare").groupBy("k").agg(
-        F.collect_list(F.struct("h", "place", "first", "last")).alias("wanted")
+    found = stored(_meet(met_by, most), "met")
+    wanted = found.where(F.col("kind") != _SPAN).groupBy("k").agg(
+        F.collect_list(F.struct("h", "place", "first", "last", "kind")).alias("wanted")
     )
     blocks = _cut(source.hint("merge").join(wanted, "k").select("k", "t", "wanted"), length)
-    sorted_blocks = blocks.repartition("h").sortWithinPartitions("h")
+    sorted_blocks = blocks.repartition(F.coalesce("h", F.xxhash64("k", "first"))).sortWithinPartitions("h", "f")
     more = stored(_sort(sorted_blocks, length, gram, most), "sorted")
     strings = more.where("name IS NOT NULL")
     twice = strings.groupBy("name").agg(F.count("*").alias("c")).where("c > 1").select("name")
     spans = (
-        found.where("NOT compare").select("k", "first", "last")
+        found.where(F.col("kind") == _SPAN).select("k", "first", "last")
         .unionAll(more.where("name IS NULL").select("k", "first", "last"))
         .unionAll(strings.join(twice, "name").select("k", "first", "last"))
     )

@@ -11,7 +11,7 @@ from frames import frame, odd_rows  # noqa: F401
 from realmwatch.llm import suffix_dedup
 from realmwatch.llm.components import connected_components
 from realmwatch.llm.embedding_dedup import collision, link_embeddings, plan
-from realmwatch.llm.minhash_dedup import _bands, drop_near_duplicates, near_duplicates, shingles, signatures
+from realmwatch.llm.minhash_dedup import _bands, drop_near_duplicates, near_duplicates, shingles, signatures, text_key
 from realmwatch.llm.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -169,6 +169,40 @@ def test_repeats_of_passages(frame, odd_rows, most, monkeypatch):
     check_removal(rows, [t for _, t, _ in rows], suffix_dedup.repeat_report(frame(rows)).collect())
 
 
+@pytest.mark.parametrize("copies, most", [(5000, 2000), (600, 20)])
+def test_many_near_copies_make_a_few_rows_each(frame, copies, most, monkeypatch):
+    """Of a large group of near copies no string by string list is made, whatever one task sorts at once."""
+    random.seed(copies)
+    base = bytes(random.choice(b"abcdefgh ") for _ in range(600))
+    texts = []
+    for i in range(copies):
+        text = bytearray(base)
+        for at in random.sample(range(600), 1 + i % 3):
+            text[at] = random.choice(b"stuvwxyz")
+        texts.append(bytes(text).decode())
+    counts, kept = {}, suffix_dedup.stored
+
+    def stored(df, name):
+        made = kept(df, name)
+        counts[name] = made.where("kind <> 0").count() if name == "met" else made.count()
+        return made
+
+    monkeypatch.setattr(suffix_dedup, "stored", stored)
+    spans = suffix_dedup.repeated_spans(frame([(i, t, "s") for i, t in enumerate(texts)]), "text", most=most)
+    got = {bytes(r.k): sorted(i for a, b in map(tuple, r.spans) for i in range(a, b)) for r in spans.collect()}
+    got = {k: sorted(set(v)) for k, v in got.items()}
+    seen = {}
+    for t in texts:
+        for s in range(401):
+            name = hash(t[s : s + 200])
+            seen[name] = seen.get(name, 0) + 1
+    keys = dict(frame([(i, t, "s") for i, t in enumerate(texts)]).select("text", text_key("text")).collect())
+    for t in texts:
+        want = {i for s in range(401) if seen[hash(t[s : s + 200])] > 1 for i in range(s, s + 200)}
+        assert got.get(bytes(keys[t]), []) == sorted(want)
+    assert counts["met"] > copies and counts["sorted"] < 10 * counts["met"]
+
+
 def test_removing_repeats_keeps_rows_and_whole_characters(frame, odd_rows):
     rows = passages(1) + odd_rows
     docs = frame(rows)
