@@ -4,8 +4,9 @@ A source's documents, in an order drawn by a hash, are cut into blocks of `block
 With integer weights, w of a sum W for a source, its block j may not be served before slot
 floor(j * W / w) and must be before slot ceil((j + 1) * W / w).  The earliest deadline first,
 one block a slot, meets all of these windows, so at every slot a source has had less than one block
-more or less than its share, counted in slots: a document longer than a block takes one slot, so a
-source of such documents gets more characters than its weight.  The schedule repeats after W slots; one period is planned
+more or less than its share.  A document begins in the block where its first character falls and takes the
+slots of all blocks that its characters span, so shares hold in characters, however long texts are; of
+a text that spans several blocks only the first of their slots is named.  The schedule repeats after W slots; one period is planned
 on the driver, its length being the sum of the given weights, and blocks find their slots from it by
 arithmetic.  When a source has no block left, the others go on by their own weights in a new phase,
 so every document is placed exactly once and none is repeated.
@@ -148,19 +149,14 @@ def place_blocks(
     position = F.col("offset") + F.col("within") + (F.col("__n") - 1) * F.col("chars")
     placed = placed.withColumn("cut", (position / block_chars).cast("long"))
     placed = stored(placed.select("__source", "__id", "__key", "__n", "cut", "chars"), "placed")
-    # A document longer than a block leaves block numbers unused; blocks are counted, not numbered, by cut.
-    cuts = placed.select("__source", "cut").distinct().withColumn("part", (F.col("cut") / 1000).cast("long"))
-    per_part = cuts.groupBy("__source", "part").agg(F.count("*").alias("c"))
-    per_part = per_part.withColumn("b", F.coalesce(F.sum("c").over(before), F.lit(0)))
-    rank = F.row_number().over(Window.partitionBy("__source", "part").orderBy("cut"))
-    cuts = stored(
-        cuts.withColumn("r", rank)
-        .join(per_part, ["__source", "part"])
-        .select("__source", "cut", (F.col("b") + F.col("r") - 1).alias("block")),
-        "cuts",
-    )
+    # A document stands in the block where it begins, and takes the slots of all blocks that its characters
+    # span: those in between hold no document of their own.
+    cuts = stored(placed.select("__source", F.col("cut").alias("block")).distinct(), "cuts")
     # The driver sees one number for each source; a period has at least as many slots, which bounds them.
-    totals = cuts.groupBy("__source").agg(F.count("*").alias("n")).limit(MOST_WEIGHT + 1).collect()
+    ends = slices.groupBy("__source").agg(F.sum("sum").alias("chars"))
+    spans = F.greatest(F.ceil(F.col("chars") / block_chars), F.col("begun") + 1).alias("n")
+    begun = cuts.groupBy("__source").agg(F.max("block").alias("begun"))
+    totals = ends.join(begun, "__source").select("__source", spans).limit(MOST_WEIGHT + 1).collect()
     counts = {r["__source"]: r["n"] for r in totals}
     plan = phases(counts, {s: given.get(s, other) for s in counts})
     spark = docs.sparkSession
@@ -172,8 +168,8 @@ def place_blocks(
     width = F.size("slots")
     slot = F.col("start") + F.floor(nth / width) * F.col("total") + F.element_at("slots", (nth % width + 1).cast("int"))
     slotted = cuts.join(table, "__source").where("block >= first AND block < end")
-    slotted = slotted.select("__source", "cut", "block", "phase", slot.alias("slot"))
-    return placed.join(slotted, ["__source", "cut"]).select(
+    slotted = slotted.select("__source", "block", "phase", slot.alias("slot"))
+    return placed.withColumnRenamed("cut", "block").join(slotted, ["__source", "block"]).select(
         "__source", "__id", "__key", "__n", "chars", "block", "phase", "slot"
     )
 
@@ -191,7 +187,7 @@ def mix_documents(
     """All rows and columns, sorted by their slot, with mix_block, mix_phase and mix_slot added."""
     names = docs.columns
     placed = place_blocks(docs, source_col, id_col, text_col, **options)
-    place = placed.select("__source", "__id", "__key", "__n", F.struct("slot", "block", "phase").alias("p"))
+    place = placed.select("__source", "__id", "__key", "__n", F.struct("slot", "block", "phase").alias("__p"))
     name = F.coalesce(F.concat(F.lit("s"), F.col(source_col).cast("string")), F.lit("n"))
     rows = docs.select(
         *[F.col(f"`{c}`") for c in names],
@@ -206,8 +202,8 @@ def mix_documents(
     same = same & (F.col("__r") == F.col("__n"))
     joined = rows.join(place, same).select(
         *[F.col(f"`{c}`") for c in names],
-        F.col("p.block").alias("mix_block"),
-        F.col("p.phase").alias("mix_phase"),
-        F.col("p.slot").alias("mix_slot"),
+        F.col("__p.block").alias("mix_block"),
+        F.col("__p.phase").alias("mix_phase"),
+        F.col("__p.slot").alias("mix_slot"),
     )
     return joined.orderBy("mix_slot")

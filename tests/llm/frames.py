@@ -13,7 +13,7 @@ def frame(spark):
         if extra:
             from pyspark.sql import functions as F
 
-            for name in ("k", "h", "score", "n_words", "bucket", "c", "slot", "row", "t", "spans"):
+            for name in ("k", "h", "score", "n_words", "bucket", "c", "slot", "row", "t", "spans", "p", "block", "x", "id"):
                 df = df.withColumn(name, F.lit("clash"))
         return df
 

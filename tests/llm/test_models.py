@@ -164,12 +164,18 @@ def test_mix_keeps_every_row_and_the_shares(spark):
     slots = {}
     for r in rows:
         assert slots.setdefault(r.slot, (r.source, r.block, r.phase)) == (r.source, r.block, r.phase)
-    assert sorted(slots) == list(range(len(slots)))
+    # a text of several blocks is named at its first; every block is served inside its window
     weights = {r.source: MIX_WEIGHTS.get(r.source, MIX_OTHER) for r in rows}
-    total, served = sum(weights.values()), Counter()
-    for slot in sorted(s for s, (_, _, phase) in slots.items() if phase == 0):
-        served[slots[slot][0]] += 1
-        assert all(abs(served[s] - (slot + 1) * w / total) < 1 for s, w in weights.items())
+    total = sum(weights.values())
+    begun = {(source, block): slot for slot, (source, block, phase) in slots.items() if phase == 0}
+    assert len(begun) > 50
+    for (source, block), slot in begun.items():
+        w = weights[source]
+        assert block * total // w <= slot < -(-(block + 1) * total // w)
+    chars = Counter()
+    for r in rows:
+        chars[r.source] += r.chars
+    assert max(slots) < sum(-(-n // 65_536) for n in chars.values())
 
 
 def test_repeated_rows_have_places_of_their_own(frame):
@@ -177,6 +183,26 @@ def test_repeated_rows_have_places_of_their_own(frame):
     assert [r.mix_slot for r in made] == list(range(50))
 
 
+def test_long_texts_take_no_more_than_their_share(frame):
+    """Up to every slot, a source has had its share of characters to less than a block, of its long texts too."""
+    block = 100
+    rows = [(i, "x" * 1037, "long") for i in range(40)] + [(1000 + i, "y" * 10, "short") for i in range(5000)]
+    rows += [(9000, "z" * 4999, "both"), *[(9001 + i, "z" * 3, "both") for i in range(900)]]
+    weights = {"long": 2, "short": 3, "both": 1}
+    made = mix_report(frame(rows), weights=weights, block_chars=block).collect()
+    assert len(made) == len(rows)
+    began = {s: sorted((r.block, r.slot, r.chars) for r in made if r.source == s) for s in weights}
+    for source, weight in weights.items():
+        first_phase = [(b, s) for b, s, _ in began[source] if s < 300]
+        # block j is served within its window, whether a text begins in it or not
+        assert first_phase and all(b * 6 // weight <= s < -(-(b + 1) * 6 // weight) for b, s in first_phase)
+    taken = {}
+    for r in sorted((r for r in made if r.slot < 300), key=lambda r: r.slot):
+        taken[r.source] = taken.get(r.source, 0) + r.chars
+        # characters begun up to here stay within a block and the length of the text begun last
+        assert taken[r.source] < (r.block + 1) * block + r.chars
+
+
 def test_mix_of_odd_rows(frame, odd_rows):
     docs = frame(odd_rows)
     rows = mix_documents(docs, weights={"a": 3, None: 2}, block_chars=100).collect()
