@@ -4,19 +4,28 @@ The standard library's streaming parser turns a page into lines: a line is the t
 block-level tags, with the tags that stand in it and the element it stands in.  Each line's ratio of
 text to tags is smoothed with a Gaussian over its neighbours, and the smoothed ratios are cut
 into two clusters at the threshold that separates them best.  Lines of the upper cluster are
-content; they choose the content region, the element that holds most of them: the article, a main
-element, or else the smallest element that holds nearly all.  All lines of the region are text,
-short ones too.  Elements that by their tag, role, class or id are navigation, header, footer,
-sidebar, notice, advert, form, script, style or comments never are.
+content; their share chooses the content region: the article, with the articles beside it that hold
+at least a quarter as much, if these hold half of all content; else a main element that does; else the
+smallest element that holds nearly all content outside of articles and mains, or all articles
+together, whichever is more.  All lines of the region are text, short ones too.
+
+Elements that by their tag, role, class or id are navigation, header, footer, sidebar, notice,
+advert, form, script, style or comments are left out.  A form, or a class or id that only may mean one of
+them ("popular-science", "overflow-hidden"), counts as a plain element if it holds ten times the
+prose of all that is left without it: such an element is the page's wrapper.
 
 White space inside a block becomes one space; blocks are trimmed and joined by an empty line.
 Null and empty pages give the empty text; broken and cut-off markup is read as far as it goes.
+Every row gives one row, repeated ones too, and an empty table none; of regions that hold equally much
+the first one counts.  The work grows with the length of a page, however deep its tags nest.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from collections import Counter
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
 
@@ -54,23 +63,34 @@ MARKS = frozenset(
     "comment comments reply replies respond discussion disqus related recommended recommendations trending popular "
     "share sharing social toolbar pagination pager form search skip hidden copyright".split()
 )
+# Those of them that never mean a wrapper of the page.
+CERTAIN = frozenset(
+    "ad ads adv advert adverts advertisement advertising sponsor sponsored nav navbar navigation breadcrumb breadcrumbs "
+    "sidebar footer cookie cookies consent gdpr popup newsletter subscribe subscription signup login comment comments "
+    "reply replies respond disqus pagination pager copyright".split()
+)
+# Whole classes that make an article one that is not the page's.
+ASIDES = frozenset("ad advert comment promo related reply sponsored teaser".split())
 LAYOUT = frozenset("has with no without".split())
 CONTENT = frozenset("article main".split())
 _SPACE = re.compile(r"\s+")
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
+_PLAIN, _DOUBTFUL, _OUT = 0, 1, 2
+_PROSE = 40  # characters that make a line one of prose, and no label or link
+
+
 @dataclass
 class _Element:
     tag: str
     parent: int
-    skipped: bool
+    mark: int
 
 
 @dataclass
 class _Line:
     element: int
-    skipped: bool
     parts: list[str] = field(default_factory=list)
     tags: int = 1
 
@@ -80,46 +100,52 @@ class _Lines(HTMLParser):
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.elements = [_Element("", -1, False)]
+        self.elements = [_Element("", -1, _PLAIN)]
         self.stack = [0]
-        self.lines = [_Line(0, False)]
+        self.blocks = [0]  # places in the stack of those that are not inline
+        self.open: Counter[str] = Counter()
+        self.lines = [_Line(0)]
 
-    def _skips(self, tag: str, attrs: list[tuple[str, str | None]]) -> bool:
+    def _mark(self, tag: str, attrs: list[tuple[str, str | None]]) -> int:
         if tag in NEVER:
-            return True
+            return _DOUBTFUL if tag == "form" else _OUT
         if tag in ("html", "body"):
-            return False
-        inside = any(self.elements[e].tag in CONTENT for e in self.stack)
+            return _PLAIN
         if tag == "header":
-            return not inside
+            return _PLAIN if any(self.open[c] for c in CONTENT) else _OUT
+        mark = _PLAIN
         for name, value in attrs:
             if name == "hidden" or (name == "aria-hidden" and value == "true"):
-                return True
+                return _OUT
             if name == "role" and value and value.lower() in ROLES:
-                return True
+                mark = max(mark, _DOUBTFUL if value.lower() in ("form", "search") else _OUT)
             if name == "style" and value and re.search(r"display\s*:\s*none", value, re.I):
-                return True
-            if name in ("class", "id") and value and tag not in CONTENT and tag not in HEADINGS:
+                return _OUT
+            if name in ("class", "id") and value and tag not in HEADINGS:
                 for part in value.split():  # a layout that has a sidebar is none
+                    if tag in CONTENT:
+                        mark = max(mark, _OUT if tag == "article" and part.lower() in ASIDES else _PLAIN)
+                        continue
                     words = {w.lower() for w in _NAME.findall(part)}
                     if words & MARKS and not words & LAYOUT:
-                        return True
-        return False
+                        mark = max(mark, _OUT if words & CERTAIN else _DOUBTFUL)
+        return mark
 
     def _line(self) -> None:
-        top = self.stack[-1]
         last = self.lines[-1]
         if not last.parts:
-            last.element, last.skipped = top, self.elements[top].skipped
+            last.element = self.stack[-1]
             last.tags += 1
         else:
-            self.lines.append(_Line(top, self.elements[top].skipped))
+            self.lines.append(_Line(self.stack[-1]))
 
     def _close(self, at: int) -> None:
-        block = any(self.elements[e].tag not in INLINE for e in self.stack[at:])
-        skipped = self.elements[self.stack[at]].skipped
+        closed = [self.elements[e] for e in self.stack[at:]]
         del self.stack[at:]
-        if block or skipped:
+        while self.blocks[-1] >= at:
+            self.blocks.pop()
+        self.open.subtract(x.tag for x in closed)
+        if any(x.mark or x.tag not in INLINE for x in closed):
             self._line()
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -133,18 +159,15 @@ class _Lines(HTMLParser):
             return
         block = tag not in INLINE
         if block:
-            for at in range(len(self.stack) - 1, 0, -1):
-                open_tag = self.elements[self.stack[at]].tag
-                if open_tag == "p" or open_tag in ENDS.get(tag, ()):
-                    self._close(at)
-                    break
-                if open_tag not in INLINE:
-                    break
-        parent = self.stack[-1]
-        skipped = self.elements[parent].skipped or self._skips(tag, attrs)
-        self.elements.append(_Element(tag, parent, skipped))
+            open_tag = self.elements[self.stack[self.blocks[-1]]].tag
+            if open_tag == "p" or open_tag in ENDS.get(tag, ()):
+                self._close(self.blocks[-1])
+            self.blocks.append(len(self.stack))
+        mark = self._mark(tag, attrs)
+        self.elements.append(_Element(tag, self.stack[-1], mark))
         self.stack.append(len(self.elements) - 1)
-        if block or skipped != self.elements[parent].skipped:
+        self.open[tag] += 1
+        if block or mark:
             self._line()
         else:
             self.lines[-1].tags += 1
@@ -153,11 +176,12 @@ class _Lines(HTMLParser):
         self.handle_starttag(tag, attrs)  # a slash does not close an HTML element
 
     def handle_endtag(self, tag: str) -> None:
-        for at in range(len(self.stack) - 1, 0, -1):
-            if self.elements[self.stack[at]].tag == tag:
-                self._close(at)
-                return
-        if tag == "p":
+        if self.open[tag]:
+            at = len(self.stack) - 1
+            while self.elements[self.stack[at]].tag != tag:
+                at -= 1
+            self._close(at)
+        elif tag == "p":
             self._line()
 
     def handle_data(self, data: str) -> None:
@@ -184,6 +208,73 @@ def _threshold(values: np.ndarray) -> float:
     return float(ordered[int(between.argmax()) + 1])
 
 
+def _below(elements: list[_Element], own: list[int], cut: Callable[[_Element], bool]) -> list[int]:
+    """What every element and those below it have of their `own`, not counting the ones below a `cut` element."""
+    total = list(own)
+    for e in range(len(elements) - 1, 0, -1):  # elements are numbered as they open
+        if not cut(elements[e]):
+            total[elements[e].parent] += total[e]
+    return total
+
+
+def _left_out(elements: list[_Element], prose: list[int]) -> list[bool]:
+    """Which elements are left out, once the wrappers among the doubtful ones are plain."""
+    while True:
+        total = _below(elements, prose, lambda x: x.mark > _PLAIN)
+        out, skipped = [False] * len(elements), [False] * len(elements)
+        best = 0
+        for e, x in enumerate(elements):
+            above = x.parent >= 0
+            out[e] = x.mark == _OUT or (above and out[x.parent])
+            skipped[e] = x.mark > _PLAIN or (above and skipped[x.parent])
+            if x.mark == _DOUBTFUL and not out[e] and total[e] > total[best] * (10 if not best else 1):
+                best = e
+        if not best:
+            return skipped
+        while best >= 0:
+            elements[best].mark = _PLAIN
+            best = elements[best].parent
+
+
+def _regions(elements: list[_Element], mass: list[int], size: list[int], share: float) -> list[int]:
+    """The elements that hold the content, given the `mass` of content and the `size` of all text in each."""
+    total = _below(elements, mass, lambda x: False)
+    text = _below(elements, size, lambda x: False)
+    outer = _outer(elements, "article", text)
+    beside: dict[int, list[int]] = {}
+    for e in outer:
+        beside.setdefault(elements[e].parent, []).append(e)
+
+    def joined(found: list[int]) -> list[int]:
+        return [e for e in found if 4 * text[e] >= max(text[x] for x in found)]
+
+    groups = [joined(g) for g in beside.values()]
+    groups += [[e] for e in _outer(elements, "main", text)]
+    for group in groups[: len(beside)], groups[len(beside) :]:
+        best = max(group, key=lambda g: sum(total[e] for e in g), default=[])
+        if best and 2 * sum(total[e] for e in best) >= total[0]:
+            return best
+    rest = _below(elements, mass, lambda x: x.tag in CONTENT)
+    if outer and sum(total[e] for e in joined(outer)) >= rest[0]:
+        return joined(outer)
+    holders = [e for e, x in enumerate(elements) if rest[e] >= share * rest[0] and x.tag not in INLINE]
+    region = max(holders, key=lambda e: (elements[e].tag not in CONTENT or rest[e] > 0, e))  # the smallest
+    if elements[region].tag in ("p", *HEADINGS) and elements[region].parent >= 0:
+        region = elements[region].parent
+    return [region]
+
+
+def _outer(elements: list[_Element], tag: str, text: list[int]) -> list[int]:
+    """Elements of a tag that hold text and stand in no other one of that tag."""
+    inside, found = [False] * len(elements), []
+    for e, x in enumerate(elements):
+        above = x.parent >= 0 and inside[x.parent]
+        inside[e] = above or x.tag == tag
+        if x.tag == tag and not above and text[e]:
+            found.append(e)
+    return found
+
+
 def extract_text(html: str | None, sigma: float = 1.0, share: float = 0.9) -> str:
     if not html:
         return ""
@@ -192,38 +283,27 @@ def extract_text(html: str | None, sigma: float = 1.0, share: float = 0.9) -> st
     if re.match("<[a-zA-Z/!?]", page.rawdata):  # markup that is cut off
         page.rawdata = ""
     page.close()
-    lines, texts = [], []
-    for line in page.lines:
-        text = _SPACE.sub(" ", "".join(line.parts)).strip()
-        if text and not line.skipped:
-            lines.append(line)
-            texts.append(text)
-    if not lines:
+    elements = page.elements
+    found = [(line, _SPACE.sub(" ", "".join(line.parts)).strip()) for line in page.lines]
+    prose = [0] * len(elements)
+    for line, text in found:
+        prose[line.element] += len(text) if len(text) >= _PROSE else 0
+    skipped = _left_out(elements, prose)
+    found = [(line, text) for line, text in found if text and not skipped[line.element]]
+    if not found:
         return ""
-    ratios = np.array([len(t) / line.tags for t, line in zip(texts, lines, strict=True)])
-    smooth = _smooth(ratios, sigma)
+    smooth = _smooth(np.array([len(text) / line.tags for line, text in found]), sigma)
     content = smooth >= _threshold(smooth)
-    mass = np.where(content, [len(t) for t in texts], 0)
-    # Content mass below every element.
-    total = [0] * len(page.elements)
-    for line, m in zip(lines, mass.tolist(), strict=True):
-        at = line.element
-        while at >= 0 and m:
-            total[at] += m
-            at = page.elements[at].parent
-    semantic = [e for e, x in enumerate(page.elements) if x.tag in CONTENT and total[e] and not x.skipped]
-    articles = [e for e in semantic if page.elements[e].tag == "article"] or semantic
-    if articles:
-        region = max(articles, key=lambda e: (total[e], -e))
-    else:
-        holders = [e for e in range(len(total)) if total[e] >= share * total[0] and page.elements[e].tag not in INLINE]
-        region = max(holders)  # the smallest: elements are numbered as they open
-        if page.elements[region].tag in ("p", *HEADINGS) and page.elements[region].parent >= 0:
-            region = page.elements[region].parent
-    inside = [False] * len(page.elements)
-    for e, x in enumerate(page.elements):
-        inside[e] = e == region or (x.parent >= 0 and inside[x.parent])
-    return "\n\n".join(t for t, line in zip(texts, lines, strict=True) if inside[line.element])
+    mass, size = [0] * len(elements), [0] * len(elements)
+    for (line, text), counts in zip(found, content.tolist(), strict=True):
+        mass[line.element] += len(text) if counts else 0
+        size[line.element] += len(text)
+    inside = [False] * len(elements)
+    for e in _regions(elements, mass, size, share):
+        inside[e] = True
+    for e, x in enumerate(elements):
+        inside[e] = inside[e] or (x.parent >= 0 and inside[x.parent])
+    return "\n\n".join(text for line, text in found if inside[line.element])
 
 
 def extract_pages(pages: DataFrame, keep: list[str], html_col: str = "html") -> DataFrame:

@@ -3,6 +3,7 @@
 import hashlib
 import os
 import random
+import time
 
 import brute
 import pytest
@@ -192,6 +193,46 @@ def test_layout_around_the_article():
     assert extract_text(page + '<div class="left-sidebar">x</div>') == "Text"
 
 
+STORY = ["The river begins high up in the mountains, where the snow melts in spring.", "It ends in the sea.",
+         "On its way it passes three towns, and in each of them a mill once stood at its bank."]
+TEASER = "<p>Another story, of a lake, that you may want to read as well.</p>"
+AROUND = ["<nav><a>Home</a> <a>News</a></nav>", "<footer>&copy; 2024 All rights reserved by the people of the river</footer>",
+          "<div class=cookie-banner>We use cookies to show you what you like, and only then.</div>",
+          "<section id=comments><p>I have been there, and it is as you say it is.</p></section>"]
+
+
+def _paragraphs(lines: list[str]) -> str:
+    return "".join(f"<p>{x}</p>" for x in lines)
+
+
+@pytest.mark.parametrize("wrap", [
+    "<article>{}</article>", "<main>{}</main>", "<div>{}</div>", "<form>{}</form>", "<div class=popular-science>{}</div>",
+    "<div id=search-engine-history>{}</div>", "<div class='overflow-hidden'><form class=search>{}</form></div>",
+    TEASER.join(["<article>", "</article>"]) + "<main>{}</main>", TEASER.join(["<article>", "</article>"]) + "<div>{}</div>",
+    "<div class=related>" + TEASER + "</div><main>{}</main>", "<main><div>{}</div></main><article>" + TEASER + "</article>",
+    "<article>{}</article><article class=comment>" + TEASER + "</article>",
+])
+@pytest.mark.parametrize("seed", range(4))
+def test_layouts(wrap, seed):
+    draw = random.Random(seed)
+    lines = draw.choices(STORY, k=6) + STORY
+    before, after = ("".join(x for x in AROUND if draw.random() < 0.7) for _ in range(2))
+    assert extract_text(f"<body>{before}{wrap.format(_paragraphs(lines))}{after}</body>") == "\n\n".join(lines)
+
+
+def test_articles_beside_each_other():
+    page = "".join(f"<article>{_paragraphs(STORY[k:])}</article>" for k in range(3))
+    assert extract_text(AROUND[0] + page + AROUND[1]) == "\n\n".join(STORY + STORY[1:] + STORY[2:])
+    assert extract_text(AROUND[0] + AROUND[1] + "<div class=share>Share this</div>") == ""
+
+
+@pytest.mark.parametrize("page", ["<div>" * 100_000 + "x", "<div><p>a</b></p>" * 20_000, "<b>" * 20_000 + "<p>a</p>" * 20_000])
+def test_deep_pages_take_linear_time(page):
+    started = time.process_time()
+    assert extract_text(page)
+    assert time.process_time() - started < 20
+
+
 @pytest.mark.parametrize("page", ["", None, "<", "<!-- cut", "<p", "<script>x", "</div></p>", "&am", "<a><b><i>" * 300])
 def test_broken_pages(page):
     assert "<" not in extract_text(page) or page == "<"
