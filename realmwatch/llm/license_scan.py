@@ -4,10 +4,14 @@ A generalised suffix automaton holds the words of every template and phrase.  A
 streamed through it, which gives the longest run of licence words ending at each place.  Phrases
 are read off directly: a phrase ends wherever its state is a suffix of the state reached.  Runs
 of at least `least_run` words that cannot be extended become matches; matches that go forward in
-one template, with gaps of at most `most_gap` words, are chained, and a chain that covers at
-least `least_cover` of its template labels the file and is reported as a span.
-
-Null texts are empty: no words, no label, score 0.  Every row gives one row, repeated ones too.
+one template, with gaps of at most `most_gap` words, are chained.  A chain that covers at
+least `least_cover` of its template can label the file, unless a word stands in it that tells a
+related licence from this one.  Where such chains overlap, the one with the most covered words less
+foreign ones stays, then the one that covers more of its template, then the first label; it is
+reported as a span.
+
+Null texts are empty: no words, no label, score 0.  Every row gives one row, repeated ones too; an
+empty table gives none.
 """
 
 from __future__ import annotations
@@ -49,6 +53,22 @@ TEMPLATES = {
     "gpl": """This program is free software: you can redistribute it and/or modify it under the terms of the GNU
         General Public License as published by the Free Software Foundation, either version 3 of the License, or
         (at your option) any later version.""",
+    "agpl": """This program is free software: you can redistribute it and/or modify it under the terms of the GNU
+        Affero General Public License as published by the Free Software Foundation, either version 3 of the License,
+        or (at your option) any later version.""",
+    "lgpl": """This library is free software; you can redistribute it and/or modify it under the terms of the GNU
+        Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the
+        License, or (at your option) any later version.""",
+    "mit-0": """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and
+        associated documentation files (the "Software"), to deal in the Software without restriction, including
+        without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+        copies of the Software, and to permit persons to whom the Software is furnished to do so.""",
+    "epl-2": """This program and the accompanying materials are made available under the terms of the Eclipse Public
+        License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/""",
+    "zlib": """This software is provided 'as-is', without any express or implied warranty. In no event will the authors
+        be held liable for any damages arising from the use of this software. Permission is granted to anyone to use
+        this software for any purpose, including commercial applications, and to alter it and redistribute it
+        freely, subject to the following restrictions""",
     "isc": """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is
         hereby granted, provided that the above copyright notice and this permission notice appear in all copies.""",
     "mpl-2": """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the
@@ -57,12 +77,23 @@ TEMPLATES = {
     "cc-by-sa": """This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.""",
     "cc-by-nc": """This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International
         License.""",
+    "cc-by-nd": """This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International
+        License.""",
+    "cc-by-nc-sa": """This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0
+        International License.""",
+    "cc-by-nc-nd": """This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0
+        International License.""",
     "cc0": """To the extent possible under law, the author has waived all copyright and related or neighboring rights
         to this work.""",
     "unlicense": """This is free and unencumbered software released into the public domain. Anyone is free to copy,
         modify, publish, use, compile, sell, or distribute this software.""",
 }
 
+# Words that, in the middle of a notice, make it that of a related licence.
+TELLING = frozenset(
+    w.encode() for w in "affero lesser library noncommercial noderivatives noderivs sharealike nc nd sa".split()
+)
+
 
 @dataclass
 class _Found:
@@ -95,6 +126,7 @@ class LicenseScanner:
         coded_phrases = [([self.number[w] for w in p], label) for p, label in named]
         self.automaton = SuffixAutomaton([*coded.values(), *(p for p, _ in coded_phrases)])
         self.size = {label: len(text) for label, text in coded.items()}
+        self.foreign = {label: TELLING - set(text) for label, text in texts.items()}
         self.shortest = min([least_run, *(len(p) for p, _ in coded_phrases)])
         link = self.automaton.link
         marked: dict[int, list[tuple[int, str]]] = {}
@@ -107,12 +139,12 @@ class LicenseScanner:
                 ends += marked.get(at, [])
                 at = link[at]
             self.phrases.append(ends)
-        # Where, in each template, the runs of a state end: the first place.
-        self.places: list[dict[str, int]] = [{} for _ in link]
+        # Where, in each template, the runs of a state end, in order.
+        self.places: list[dict[str, list[int]]] = [{} for _ in link]
         for label, text in coded.items():
             for end, (state, _) in enumerate(self.automaton.stream(text), 1):
-                while state > 0 and label not in self.places[state]:
-                    self.places[state][label] = end
+                while state > 0:
+                    self.places[state].setdefault(label, []).append(end)
                     state = link[state]
 
     def scan(self, text: str | None) -> _Found:
@@ -137,36 +169,42 @@ class LicenseScanner:
                 before = (end, length, state)
             if before[1] >= self.least_run:
                 matches.append(before)
-        self._chain(matches, found)
+        self._chain(matches, file, found)
         found.labels |= found.base
         if found.base:
             found.score = 1.0
         return found
 
-    def _chain(self, matches: list[tuple[int, int, int]], found: _Found) -> None:
+    def _chain(self, matches: list[tuple[int, int, int]], file: list[bytes], found: _Found) -> None:
         open_chains: dict[str, list[int]] = {}  # label: file start and end, template end, words covered
+        closed: list[tuple[int, float, str, int, int]] = []
 
         def close(label: str) -> None:
             start, end, _, covered = open_chains.pop(label)
-            cover = covered / self.size[label]
-            found.score = max(found.score, min(cover, 1.0))
-            if cover >= self.least_cover:
-                found.labels.add(label)
-                found.spans.append((start, end, label, min(cover, 1.0)))
+            if self.foreign[label].isdisjoint(file[start:end]):
+                cover = min(covered / self.size[label], 1.0)
+                found.score = max(found.score, cover)
+                if cover >= self.least_cover:
+                    closed.append((-(2 * covered - (end - start)), -cover, label, start, end))
 
         for end, length, state in matches:
-            for label, place in self.places[state].items():
+            for label, places in self.places[state].items():
                 chain = open_chains.get(label)
-                if chain and (end - length - chain[1] > self.most_gap or place <= chain[2]):
+                place = next((p for p in places if chain and p > chain[2]), None)
+                if chain and (end - length - chain[1] > self.most_gap or place is None):
                     close(label)
                     chain = None
                 if chain is None:
-                    open_chains[label] = [end - length, end, place, length]
+                    open_chains[label] = [end - length, end, places[0], length]
                 else:
                     chain[3] += min(length, end - chain[1], place - chain[2])
                     chain[1:3] = end, place
         for label in list(open_chains):
             close(label)
+        for _, cover, label, start, end in sorted(closed):
+            if all(end <= a or b <= start for a, b, _, _ in found.spans):
+                found.labels.add(label)
+                found.spans.append((start, end, label, -cover))
         found.spans.sort()
 
 

@@ -45,6 +45,36 @@ def test_phrases_and_templates():
     assert scanner.scan("you may not use this file").labels == set()
 
 
+@pytest.mark.parametrize("label", sorted(TEMPLATES))
+def test_each_template_has_its_own_label_only(label):
+    found = LicenseScanner().scan(f"words before {TEMPLATES[label]} words after, {TEMPLATES[label]}")
+    assert found.labels == {label} and found.score == 1.0
+    assert [s[2:] for s in found.spans] == [(label, 1.0)] * 2
+
+
+def test_related_licences_are_no_templates():
+    found = LicenseScanner().scan
+    for label, old, new in (("gpl", "General", "Library General"), ("cc-by", "Attribution", "Attribution-NoDerivs")):
+        assert found(TEMPLATES[label].replace(old, new)).labels == set()
+    assert found(TEMPLATES["gpl"].replace("version 3", "version 2")).labels == {"gpl"}
+    both = found(TEMPLATES["zlib"] + " some words between the two " + TEMPLATES["lgpl"])
+    assert both.labels == {"zlib", "lgpl"} and len(both.spans) == 2
+
+
+def test_spans_of_changed_templates():
+    """A template with a foreign word in every 19 is found where it stands, its cover near the share of words left."""
+    scanner, draw = LicenseScanner(), random.Random(5)
+    for label, text in TEMPLATES.items():
+        template = brute.words(text)
+        at = draw.randrange(5, 40)
+        changed = [w if i % 19 != 9 or i > len(template) - 6 else "zzz" for i, w in enumerate(template)]
+        found = scanner.scan(" ".join(["qqq"] * at + changed + ["qqq"] * 9))
+        if len(template) >= 19:
+            assert [s[:3] for s in found.spans] == [(at, at + len(template), label)]
+            kept = sum(a == b for a, b in zip(changed, template, strict=True))
+            assert abs(found.score - kept / len(template)) < 0.2
+
+
 def test_license_scan_against_plain_search(spark):
     rows = QUERIES["op3_license_scan"](spark, SF_DIR).collect()
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()}
