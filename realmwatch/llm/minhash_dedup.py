@@ -4,9 +4,9 @@ A text is the set of its five-word shingles; fewer words form one shingle.  Ever
 Poisson process: its arrivals come in order, each lands in a random register, and a register keeps
 the shingle of its earliest arrival.  A shingle stops as soon as it arrives later than the latest
 register, so a text takes about n + m log m steps for n shingles and m registers.  Registers of two
-texts agree with the chance of the probability Jaccard similarity of their rates.  All rates are 1,
-however often a shingle occurs, so that this is the similarity that decides the links.  Bands of
-registers name buckets.
+texts agree with the chance of the probability Jaccard similarity of their rates.  Bands of
+registers name buckets.  Some bands weigh a shingle by 1 + ln(occurrences); the others give all rates
+as 1, however often a shingle occurs, so that theirs is the similarity that decides the links.
 
 In every bucket one text, drawn by a hash, is the hub, and every other text is compared with it.
 Texts that differ from their hub are then compared with those of the bucket that are not yet in
@@ -83,21 +83,31 @@ def signatures(texts: list[tuple[np.ndarray, np.ndarray]], registers: int) -> np
     return holder.reshape(-1, registers)
 
 
-def _bands(texts: list[str | None], bands: int, rows: int) -> list[list[int] | None]:
+def _names(sets: list[tuple[np.ndarray, np.ndarray]], bands: int, rows: int, first: int) -> np.ndarray:
+    """Bucket names of the bands `first`, `first` + 1, ... of every set."""
+    registers = signatures(sets, bands * rows).reshape(len(sets), bands, rows)
+    keys = np.broadcast_to(_mix(np.arange(first, first + bands, dtype=np.uint64) * _ODD[0]), registers.shape[:2])
+    for r in range(rows):
+        keys = _mix(keys + registers[:, :, r] + _ODD[0])
+    return keys
+
+
+def _bands(texts: list[str | None], bands: int, rows: int, weighted: int = 0) -> list[list[int] | None]:
+    """Names of the buckets of every text that has words: of `bands` plain and `weighted` weighted bands."""
     found: list[list[int] | None] = [None] * len(texts)
     for start in range(0, len(texts), 256):
-        sets, places = [], []
+        plain, rated, places = [], [], []
         for i, text in enumerate(texts[start : start + 256], start):
-            made = np.unique(shingles(text))
+            made, often = np.unique(shingles(text), return_counts=True)
             if len(made):
-                sets.append((made, np.ones(len(made))))
+                plain.append((made, np.ones(len(made))))
+                rated.append((_mix(made ^ _ODD[2]), 1 + np.log(often)))  # draws of their own
                 places.append(i)
-        if not sets:
+        if not places:
             continue
-        registers = signatures(sets, bands * rows).reshape(len(sets), bands, rows)
-        keys = np.broadcast_to(_mix(np.arange(1, bands + 1, dtype=np.uint64) * _ODD[0]), registers.shape[:2])
-        for r in range(rows):
-            keys = _mix(keys + registers[:, :, r] + _ODD[0])
+        keys = _names(plain, bands, rows, 1)
+        if weighted:
+            keys = np.concatenate([keys, _names(rated, weighted, rows, bands + 1)], axis=1)
         for i, k in zip(places, keys.view(np.int64).tolist(), strict=True):
             found[i] = k
     return found
@@ -170,13 +180,13 @@ def _shared_shingles(texts: DataFrame) -> DataFrame:
 
 
 def text_classes(
-    docs: DataFrame, text_col: str = "text", least: float = 0.8, bands: int = 24, rows: int = 5
+    docs: DataFrame, text_col: str = "text", least: float = 0.8, bands: int = 24, rows: int = 5, weighted: int = 6
 ) -> DataFrame:
     """`node` and `component`, keys of texts, for every text that is linked with another one."""
     ship(docs.sparkSession)
     source = docs.select(F.col(text_col).cast("string").alias("t")).withColumn("k", text_key("t"))
     field = T.StructField("bands", T.ArrayType(T.LongType()))
-    signed = map_texts(source, "t", ["k"], lambda texts: [_bands(texts, bands, rows)], [field])
+    signed = map_texts(source, "t", ["k"], lambda texts: [_bands(texts, bands, rows, weighted)], [field])
     keys = signed.where("bands IS NOT NULL").groupBy("k").agg(F.first("bands").alias("bands"))
     buckets = keys.select("k", F.explode("bands").alias("bucket"))
     drawn = F.struct(F.xxhash64("k", "bucket"), F.col("k").alias("k"))

@@ -6,13 +6,14 @@ import random
 import brute
 import numpy as np
 import pytest
+from compare import duck
 from frames import frame, odd_rows  # noqa: F401
 
 from realmwatch.llm import suffix_dedup
 from realmwatch.llm.components import connected_components
 from realmwatch.llm.embedding_dedup import collision, link_embeddings, plan
 from realmwatch.llm.minhash_dedup import _bands, drop_near_duplicates, near_duplicates, shingles, signatures, text_key
-from realmwatch.llm.queries import QUERIES
+from realmwatch.llm.queries import ORACLES, QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -261,3 +262,36 @@ def test_embeddings_query(spark):
 def test_tables_follow_the_rows():
     assert plan(10**3, 0.9, 0.001) < plan(10**6, 0.9, 0.001) < plan(10**9, 0.9, 0.001)
     assert collision(0.1) > collision(0.4) > collision(1.4) > 0
+
+
+@pytest.mark.parametrize("name", ["op1_minhash_dedup", "op6_suffix_dedup", "op10_embedding_dedup"])
+def test_query_matches_sql(spark, name):
+    sf_dir = "/root/testdata/sf0.001"
+    relation = duck(sf_dir).sql(ORACLES[name])
+    rows = QUERIES[name](spark, sf_dir).select(*relation.columns).collect()
+    assert sorted(map(tuple, rows)) == sorted(relation.fetchall())
+
+
+def test_weighted_bands_follow_the_probability_jaccard():
+    """Registers of weighted sets agree as often as the probability Jaccard of their rates says."""
+    draw = np.random.default_rng(4)
+    element = draw.integers(1, 2**60, 60).astype(np.uint64)
+    left, right = 1 + np.log(draw.integers(1, 50, 50)), 1 + np.log(draw.integers(1, 50, 50))
+    sets = [(element[:50], left), (element[10:], right)]
+    one, two = signatures(sets, 8192)
+    want = sum(
+        1 / sum(max(left[k] / left[x] if k < 50 else 0, right[k - 10] / right[x - 10] if k >= 10 else 0) for k in range(60))
+        for x in range(10, 50)
+    )
+    assert abs((one == two).mean() - want) < 0.02
+
+
+def test_repetition_changes_weighted_bands_only():
+    words = [f"w{i}" for i in range(40)]
+    once, often = " ".join(words), " ".join(words + words[:5] * 300)
+    a, b = _bands([once, often], 24, 5, 64)
+    assert len(a) == len(b) == 88
+    near = [x == y for x, y in zip(a, b, strict=True)]
+    assert sum(near[:24]) / 24 > sum(near[24:]) / 64
+    c, d = _bands([once, once], 24, 5, 6)
+    assert c == d and len(set(c)) == 30
