@@ -33,6 +33,8 @@ QUERIES: dict[str, Query] = {}
 AS_OF, KEEP_DAYS = 1706659200, 10
 # Fixed value: lines of a micro-batch.
 LINES_PER_BATCH = 10_000
+# Fixed value: micro-batches of so few lines that are folded as one.
+BATCHES_PER_FOLD = 100
 # Fixed value: days that a closed window waits for late lines.
 OPEN_DAYS = 2
 
@@ -598,7 +600,10 @@ def stream_growing_file(spark, sf_dir):
     for step in range(3):
         bridge.grow_logs(files, f"{root}/live", step)
         lines = scan_growing(spark, f"{root}/live", lines_per_batch=LINES_PER_BATCH).select("value")
-        catch_up(run_incremental(lines, store, f"{root}/checkpoint", every="0 seconds"))
+        stream = run_incremental(
+            lines, store, f"{root}/checkpoint", every="0 seconds", fold_every=BATCHES_PER_FOLD
+        )
+        catch_up(stream, store)
     return store.read("client_slice_data")
 
 

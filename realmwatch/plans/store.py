@@ -8,6 +8,8 @@ Every measure is a max or a sum, so an update needs no read-modify-write:
     base/<build>_covered/                       ids of the batches inside that base
     versions/<number>                           written last, by one build only: holds its name
     cubes/<id>                                  counted events of a batch, while it is folded
+    staged/<id>                                 a batch whose events are kept in staged_rows/<id> until they are folded
+    groups/<fold>                               the ids of staged batches that one fold takes together
 
 A batch that fails half-way leaves no commit and is rewritten by its retry; a batch that
 is committed already is skipped.  No file a reader may hold is ever overwritten.
@@ -94,6 +96,46 @@ class SummaryStore:
     def commit(self, batch_id: str) -> None:
         self.folder.mark("commits", batch_id)
 
+    def is_taken(self, batch_id: str) -> bool:
+        """Whether a batch is staged or committed, so that its events are not read again."""
+        return self.folder.exists("staged", batch_id) or self.is_committed(batch_id)
+
+    def stage(self, events: DataFrame, batch_id: str) -> None:
+        """Keep the events of a batch until they are folded with those of others."""
+        events.write.mode("overwrite").parquet(self.folder.at("staged_rows", batch_id))
+        self.folder.mark("staged", batch_id)
+
+    def staged(self, source: str) -> list[str]:
+        """Batches of a source that wait for their fold; what a crash left of the last fold is settled or dropped."""
+        for fold in self.folder.names("groups"):
+            if fold.rpartition("-of-")[0].rpartition("-")[0] != source:
+                continue
+            if self.is_committed(fold):
+                self.settle(fold)
+            else:
+                for name in TABLES:
+                    self.folder.remove("deltas", name, f"batch_id={fold}")
+                self.folder.remove("groups", fold)
+        return [b for b in self.folder.names("staged") if b.rpartition("-")[0] == source]
+
+    def read_staged(self, batches: list[str], schema: T.StructType) -> DataFrame:
+        root = self.folder.at("staged_rows")
+        return self.spark.read.schema(schema).parquet(*[f"{root}/{b}" for b in batches])
+
+    def group(self, batches: list[str]) -> str:
+        """The name of the fold of staged batches; another one if a retry finds more of them."""
+        fold = f"{batches[-1]}-of-{len(batches)}"
+        self.folder.claim("\n".join(batches), "groups", fold)
+        return fold
+
+    def settle(self, fold: str) -> None:
+        """Mark the batches of a committed fold, which have no deltas of their own, and drop their events."""
+        for batch_id in self.folder.text("groups", fold).split("\n"):
+            self.commit(batch_id)
+            self.folder.remove("staged", batch_id)
+            self.folder.remove("staged_rows", batch_id)
+        self.folder.remove("groups", fold)
+
     def _write(self, table: Table, rows: DataFrame, path: str) -> None:
         if table.daily:
             # sizes the files per day at run time, splitting heavy days

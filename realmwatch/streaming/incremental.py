@@ -9,22 +9,27 @@ from contextlib import contextmanager
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from realmwatch.functions.enctypes import enctype_rows
 from realmwatch.functions.times import day_start
 from realmwatch.operators import conditions as c
 from realmwatch.operators.audit import routed
-from realmwatch.operators.cube import event_cube
+from realmwatch.operators.cube import KEYS, event_cube
 from realmwatch.operators.joins import with_list_flags
 from realmwatch.operators.last_seen import princ_changes
 from realmwatch.plans.batch import cube_deltas, fold_into
 from realmwatch.plans.store import SummaryStore
-from realmwatch.schemas import CLIENT_SLICES, DAY_SECONDS
+from realmwatch.schemas import CLIENT_SLICES, DAY_SECONDS, SUCCESS
 from realmwatch.sources import logs, parser, tables
 
 _STATE = "org.apache.spark.sql.execution.streaming.state"
 
+# What the cube reads of an event.
+_STAGED = ["outcome", "problem", *KEYS, "log_time", "authtime"]
+_STAGED_SCHEMA = T.StructType([f for f in SUCCESS.fields if f.name in _STAGED]).add("outcome", "string").add("problem", "string")
+
 
 def _batch_id(batch: DataFrame, name: str | None, number: int) -> str:
     source = name or batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
@@ -44,6 +49,7 @@ def run_incremental(
     as_of: int | None = None,
     rejects_path: str | None = None,
     kdc_only: bool = False,
+    fold_every: int | None = None,
     **extras,
 ) -> StreamingQuery:
     """Parse, fold and discard each micro-batch; data of any age joins its own day.
@@ -58,7 +64,15 @@ def run_incremental(
     never before what a log line claims.  Lines with something to report are counted by
     problem in the store's `report_counts`, and written under `rejects_path`, if given, by
     batch.  `kdc_only` drops the lines of other daemons.
+
+    A fold costs seconds however few lines it has.  With `fold_every` a batch only parses its lines and stages
+    their events in the store; so many batches are then folded as one, and readers see them from then on.  What
+    is staged when the stream ends is folded by `catch_up` or `fold_staged`, or by the next run.
     """
+    if fold_every:
+        return _run_staged(
+            lines, store, checkpoint, name, every, compact_every, days, as_of, rejects_path, kdc_only, fold_every, extras
+        )
 
     def fold(batch: DataFrame, number: int) -> None:
         batch_id = _batch_id(batch, name, number)
@@ -80,15 +94,66 @@ def run_incremental(
             if rejects_path:
                 events.unpersist()
         if compact_every and (number + 1) % compact_every == 0:
-            now = int(time.time()) if as_of is None else as_of
-            store.compact(days, now if days is not None else None)
+            _compact(store, days, as_of)
 
     writer = lines.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint)
     return (writer.queryName(name) if name else writer).trigger(**_trigger(every)).start()
 
 
-def catch_up(query: StreamingQuery) -> None:
-    """Let a stream with an interval read all that its sources hold now, then end it.
+def _compact(store: SummaryStore, days: int | None, as_of: int | None) -> None:
+    now = int(time.time()) if as_of is None else as_of
+    store.compact(days, now if days is not None else None)
+
+
+def _run_staged(
+    lines: DataFrame, store: SummaryStore, checkpoint: str, name: str | None, every: str | None,
+    compact_every: int | None, days: int | None, as_of: int | None, rejects_path: str | None, kdc_only: bool,
+    fold_every: int, extras: dict,
+) -> StreamingQuery:
+    raw = logs.drop_local_tgt(lines)
+    events = routed(parser.parse_events(logs.kdc_lines(raw) if kdc_only else raw))
+    reported = ["value"] if rejects_path else []
+    events = events.select(*_STAGED, *reported)  # parsed by the stream's own plan, which is made once
+
+    def stage(batch: DataFrame, number: int) -> None:
+        batch_id = _batch_id(batch, name, number)
+        if store.is_taken(batch_id):
+            return
+        if rejects_path:
+            batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            if rejects_path:
+                reports = parser.rejects(batch).write.mode("overwrite")
+                reports.parquet(f"{rejects_path}/batch_id={batch_id}")
+            store.stage(batch.select(*_STAGED), batch_id)
+        finally:
+            if rejects_path:
+                batch.unpersist()
+        if (number + 1) % fold_every == 0:
+            fold_staged(store, batch_id.rpartition("-")[0], **extras)
+        if compact_every and (number + 1) % compact_every == 0:
+            _compact(store, days, as_of)
+
+    writer = events.writeStream.foreachBatch(stage).option("checkpointLocation", checkpoint)
+    return (writer.queryName(name) if name else writer).trigger(**_trigger(every)).start()
+
+
+def fold_staged(store: SummaryStore, source: str, **extras) -> None:
+    """Fold what the stream of this name or id has staged, as one batch that counts whole or not at all."""
+    batches = store.staged(source)
+    if not batches:
+        return
+    fold = store.group(batches)
+    cube = event_cube(store.read_staged(batches, _STAGED_SCHEMA)).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        fold_into(store, fold, cube_deltas(cube, **extras))
+    finally:
+        cube.unpersist()
+    store.settle(fold)
+
+
+def catch_up(query: StreamingQuery, store: SummaryStore | None = None, **extras) -> None:
+    """Let a stream with an interval read all that its sources hold now, then end it, and fold what it has staged.
 
     A source that cuts its batches itself, as `scan_growing` does with `lines_per_batch`, would read only one of
     them without an interval.
@@ -97,6 +162,8 @@ def catch_up(query: StreamingQuery) -> None:
         query.processAllAvailable()
     finally:
         query.stop()
+    if store is not None:
+        fold_staged(store, query.name or str(query.id), **extras)
 
 
 def parse_stream(lines: DataFrame, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
@@ -114,9 +181,15 @@ def parse_stream(lines: DataFrame, path: str, checkpoint: str, every: str | None
 @contextmanager
 def _state_on_disk(spark: SparkSession) -> Iterator[None]:
     """Streams started inside keep their state in RocksDB, on the executors' disks and not on their heaps."""
-    name, provider = "spark.sql.streaming.stateStore.providerClass", f"{_STATE}.RocksDBStateStoreProvider"
+    with _set(spark, "spark.sql.streaming.stateStore.providerClass", f"{_STATE}.RocksDBStateStoreProvider"):
+        yield
+
+
+@contextmanager
+def _set(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """Streams started inside have a setting of their own."""
     before = spark.conf.get(name)
-    spark.conf.set(name, provider)
+    spark.conf.set(name, value)
     try:
         yield
     finally:

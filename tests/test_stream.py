@@ -1,9 +1,10 @@
 """Streams end with the rows of the batch folds, whatever the order and the failures."""
 
 import pytest
-from conftest import rows
+from conftest import SF_DIR, rows
 
 from realmwatch.operators import slices
+from realmwatch.plans import catalog
 from realmwatch.plans.batch import summary_deltas
 from realmwatch.plans.store import SummaryStore
 from realmwatch.sources import bridge, logs, tables
@@ -119,3 +120,43 @@ def test_retention_follows_the_clock_by_default(spark, folder, tmp_path):
     store = SummaryStore(spark, str(tmp_path / "store"))
     run(spark, folder, store, tmp_path, compact_every=3, days=10)
     assert store.read("client_slice_data").count() == 0 < store.read("client").count()
+
+
+def test_staged_batches_are_folded_together(spark, folder, want, tmp_path, monkeypatch):
+    """Three batches, two folds; a crash before, in or after a fold loses nothing and counts nothing twice."""
+    store, folds, settle = SummaryStore(spark, str(tmp_path / "store")), [], SummaryStore.settle
+    fold_into = incremental.fold_into
+
+    def fold(store, fold, deltas):
+        folds.append(fold)
+        if len(folds) == 1:
+            store.write_delta("client", deltas["client"], fold)
+            raise RuntimeError("crash in the fold")
+        return fold_into(store, fold, deltas)
+
+    monkeypatch.setattr(incremental, "fold_into", fold)
+    monkeypatch.setattr(SummaryStore, "settle", lambda *_: (_ for _ in ()).throw(RuntimeError("crash before it is settled")))
+    for _ in range(2):
+        with pytest.raises(Exception, match="crash"):
+            run(spark, folder, store, tmp_path, name="staged", fold_every=2)
+            incremental.fold_staged(store, "staged")
+    monkeypatch.setattr(SummaryStore, "settle", settle)
+    run(spark, folder, store, tmp_path, name="staged", fold_every=2)
+    incremental.fold_staged(store, "staged")
+    assert contents(store, want) == want
+    run(spark, folder, store, tmp_path / "again", name="staged", fold_every=2)  # a lost checkpoint
+    incremental.fold_staged(store, "staged")
+    assert contents(store, want) == want and not store.folder.names("staged") and not store.folder.names("groups")
+    store.compact()
+    store.vacuum()
+    assert contents(store, want) == want and store.is_taken("staged-0000000000")
+    assert len(folds) <= 4
+
+
+def test_growing_query_folds_its_batches_together(spark, monkeypatch):
+    """Eleven batches of lines, one fold for each run of the stream."""
+    folds, fold_into = [], incremental.fold_into
+    monkeypatch.setattr(incremental, "fold_into", lambda *a: folds.append(a[1]) or fold_into(*a))
+    monkeypatch.setattr(catalog, "LINES_PER_BATCH", 100)
+    got = rows(catalog.stream_growing_file(spark, SF_DIR))
+    assert got == rows(catalog.stream_client_slices(spark, SF_DIR)) and len([f for f in folds if "-of-" in f]) == 3
