@@ -1,10 +1,13 @@
 """Golden log lines: literal text and the event or report it must become."""
 
+import re
 import time
 
 import pytest
 
-from realmwatch.sources import logs, parser
+from realmwatch.operators.audit import routed
+from realmwatch.operators.cube import event_cube
+from realmwatch.sources import bridge, logs, parser
 
 REQUEST = "AS_REQ (2 etypes {18 17}) 1.2.3.4: "
 RESULT = "ISSUE: authtime 1329894121, etypes {rep=18 tkt=17 ses=1}, u@EX.COM for krbtgt/EX.COM@EX.COM"
@@ -205,3 +208,22 @@ def test_a_megabyte_of_headers_is_read_once(spark):
     events = parser.parse_events(spark.createDataFrame([(x,) for x in lines], "value string"))
     assert {r.outcome for r in events.collect()} == {"rejected"}
     assert time.monotonic() - began < 20
+
+
+def test_generated_code_is_short_enough_to_be_compiled(spark, folder_of_lines, capsys):
+    """The JVM interprets methods of more than 8,000 bytes for good; parser and cube run as one of them."""
+    lines = logs.drop_local_tgt(spark.read.text(folder_of_lines))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        event_cube(routed(parser.parse_events(lines))).explain("codegen")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    assert sizes and max(sizes) < 8000
+
+
+@pytest.fixture
+def folder_of_lines(log, tmp_path):
+    path = str(tmp_path / "lines")
+    bridge.raw_lines(log).select("value").write.text(path)
+    return path
