@@ -1,22 +1,30 @@
 """Language-model scores from a hierarchical Pitman-Yor model sampled over the whole corpus.
 
-Tokens are the words `[^\\x20\\x09-\\x0D]+` of a text with A-Z lower-cased, and one end.  The
-restaurant of a token is chosen by how the token before it ends (255 classes, and one for
-the start of a text); all of them share one parent restaurant, whose base is uniform over the training
+Tokens are the words `[^\\x20\\x09-\\x0D]+` of a text with A-Z lower-cased, and one end.  Every token
+has a restaurant of its own, for the tokens that follow it; a text's first token follows the end.  So
+there are as many restaurants as different training tokens, and a restaurant has as many customers as
+its token has occurrences.  All of them share one parent restaurant, whose base is uniform over the training
 vocabulary and one unknown token.  A dish is a token.  Discounts follow from the counts of
-tokens seen once and twice.
+pairs seen once and twice.
 
 Texts are read once.  Their tokens are dealt by hash into buckets, all of a token in one; what a
 batch has of a bucket is packed into one row.  Rows are written under the name of their batch before
-anything is shuffled, so a retry meets the same names.  The training counts of (token, context)
-are summed before they meet in the task of their bucket, so a hot token costs it at most 256 numbers
-for every few million tokens read.  Only per-context totals, 256 numbers, go to the driver.  Gibbs sweeps reseat the customers of every (context, token) pair one after another given all
-other seats: a few sweeps settle the tables of each context across the cluster, then each bucket
-averages the parent's and the contexts' seats over several samples.  The predictive probabilities of
-the averaged seats score every token of every text, and the buckets' sums are added per text.
+anything is shuffled, so a retry meets the same names.  The training counts of (token, token before)
+are summed before they meet in the task of their bucket, so a hot token costs it one number for each
+different token before it in every few million tokens read.  Gibbs sweeps reseat the customers of every
+(restaurant, token) pair one after another given all other seats, and keep the tables from sweep to
+sweep.  A bucket holds all tables of its dishes, which are the parent's customers; the tables of a
+restaurant lie in many buckets.  So between sweeps each bucket sends what it has of each restaurant's
+tables to the bucket of the restaurant's token, which sends the sums back; no totals of restaurants
+pass the driver.  After a few sweeps each bucket averages seats over several samples, and the averaged
+tables are summed up once more, so the chances in each restaurant sum to one.  The predictive
+probabilities of the averaged seats score every token of every text, and the buckets' sums are added per text.
 A bucket with more than its share of the tokens is scored in several groups; each gets a copy of the
 bucket's averaged seats, and its rows stream past them one at a time.
 
+Packed rows name frequent words by their place in a list of at most 1,048,576, drawn from about 128 MB of
+text, and others by hash.  The list only shortens rows; no result depends on it.
+
 Null texts are empty and have one token, the end.  Rows without id count as the id "".  Repeated rows
 are texts of their own.  Without training rows every token is unknown.
 """
@@ -26,50 +34,91 @@ from __future__ import annotations
 import struct
 import uuid
 import zlib
-from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from collections import Counter
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
+from pyspark import RDD
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from realmwatch.llm.texts import blank_words, ship, shared_folder, stored
 
-CONTEXTS, _START = 256, 255
 _STRENGTH = 10.0  # of the contexts' and the parent's restaurants
+_NONE = np.zeros(0, np.uint64)
+
 
+def contexts(tokens: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The token before each token; `first` marks the first ones of texts, which follow an end.
 
-def contexts(words: list[bytes], first: np.ndarray) -> np.ndarray:
-    """Class of the ending of the token before each token; `first` marks the first ones of texts."""
-    size = np.fromiter(map(len, words), np.int64, len(words))
-    letters = np.frombuffer(b"\0\0\0" + b"".join(words), np.uint8).astype(np.int64)
-    end = np.cumsum(size) + 2
-    one, two, three = (np.where(size > i, letters[end - i], 0) for i in range(3))
-    classes = (one * 37 + (two * 101 + three * 59) % 16 * 16) % 255
-    before = np.concatenate([[0], classes[:-1]])
-    return np.where(first, _START, before).astype(np.uint8)
+    Every text's last token is its end, so before a text's first token stands the last text's end."""
+    before = np.roll(tokens, 1)
+    return np.where(first, tokens[-1], before)
 
 
-def _pack(hashes: np.ndarray, counts: np.ndarray, context: np.ndarray, owner: np.ndarray, train: np.ndarray) -> bytes:
-    head = struct.pack("<III", len(hashes), len(context), len(train))
-    parts = (hashes.astype("<u8"), counts.astype("<u4"), context, owner.astype("<u2"), train.astype("u1"))
-    return zstandard.ZstdCompressor(level=1).compress(head + b"".join(p.tobytes() for p in parts))
+def _planes(a: np.ndarray, kind: str) -> bytes:
+    a = np.ascontiguousarray(a, dtype=kind)
+    return np.ascontiguousarray(a.view(np.uint8).reshape(len(a), a.itemsize).T).tobytes()
 
 
-def _unpack(blob: bytes) -> list[np.ndarray]:
+def _join(arrays: list[np.ndarray], kinds: tuple[str, ...]) -> bytes:
+    head = struct.pack(f"<{len(kinds)}Q", *map(len, arrays))
+    return zstandard.ZstdCompressor(level=3).compress(
+        head + b"".join(_planes(a, k) for a, k in zip(arrays, kinds, strict=True))
+    )
+
+
+def _split(blob: bytes, kinds: tuple[str, ...]) -> list[np.ndarray]:
     data = zstandard.ZstdDecompressor().decompress(blob)
-    n, m, d = struct.unpack_from("<III", data)
-    found, at = [], 12
-    for kind, size in (("<u8", n), ("<u4", n), ("u1", m), ("<u2", m), ("u1", d)):
-        found.append(np.frombuffer(data, kind, size, at))
-        at += found[-1].nbytes
+    found, at = [], 8 * len(kinds)
+    for kind, size in zip(kinds, struct.unpack_from(f"<{len(kinds)}Q", data), strict=True):
+        wide = np.dtype(kind).itemsize
+        planes = np.frombuffer(data, np.uint8, size * wide, at).reshape(wide, size)
+        found.append(np.ascontiguousarray(planes.T).reshape(-1).view(kind))
+        at += size * wide
     return found
 
 
+_SET = ("<u4", "<u8")  # a sorted set of hashes: steps between places in the list of frequent words, and between others
+
+
+def _packed_set(hashes: np.ndarray, common: np.ndarray) -> list[np.ndarray]:
+    at = np.searchsorted(common, hashes)
+    known = np.zeros(len(hashes), bool)
+    if len(common):
+        known = common[np.minimum(at, len(common) - 1)] == hashes
+    return [np.diff(at[known], prepend=0), np.diff(hashes[~known], prepend=np.uint64(0))]
+
+
+def _read_set(places: np.ndarray, steps: np.ndarray, common: np.ndarray) -> np.ndarray:
+    return np.sort(np.concatenate([common[np.cumsum(places, dtype=np.int64)], np.cumsum(steps, dtype=np.uint64)]))
+
+
+_TOKEN_ROW = (*_SET, "<u4", *_SET, "<u4", "<u2", "u1")  # tokens and counts; tokens before, and which; steps between owners; training
+
+
+def _pack(
+    hashes: np.ndarray, counts: np.ndarray, before: np.ndarray, context: np.ndarray, owner: np.ndarray,
+    train: np.ndarray, common: np.ndarray,
+) -> bytes:
+    steps = np.diff(owner.astype(np.uint16), prepend=np.uint16(0))  # the few that fall wrap around
+    return _join(
+        [*_packed_set(hashes, common), counts, *_packed_set(before, common), context, steps, train], _TOKEN_ROW
+    )
+
+
+def _unpack(blob: bytes, common: np.ndarray = _NONE) -> list[np.ndarray]:
+    """Different tokens, their counts; of each occurrence the token before and the text; training texts."""
+    *words, counts, places, steps, context, owner, train = _split(blob, _TOKEN_ROW)
+    owner = np.cumsum(owner, dtype=np.uint16)
+    return [_read_set(*words, common), counts, _read_set(places, steps, common)[context], owner, train]
+
+
 def _bucket_of(hashes: np.ndarray, buckets: int) -> np.ndarray:
     """Buckets of tokens; they ascend as the hashes do."""
     return ((hashes >> np.uint64(40)) * np.uint64(buckets) >> np.uint64(24)).astype(np.int64)
@@ -82,7 +131,9 @@ def _salt(sub: bytes, tokens: int, total: int, buckets: int) -> int:
     return zlib.crc32(sub) % max(1, tokens * buckets // total)
 
 
-def _token_rows(texts: list[str], train: np.ndarray, buckets: int) -> tuple[list[int], list[tuple[int, bytes, int]]]:
+def _token_rows(
+    texts: list[str], train: np.ndarray, buckets: int, common: np.ndarray = _NONE
+) -> tuple[list[int], list[tuple[int, bytes, int]]]:
     """Tokens of each text, and (bucket, packed tokens, their number) of each bucket that has any."""
     words: list[bytes] = []
     sizes = []
@@ -94,91 +145,92 @@ def _token_rows(texts: list[str], train: np.ndarray, buckets: int) -> tuple[list
     starts = np.cumsum([0, *sizes[:-1]])
     first = np.zeros(len(words), bool)
     first[starts] = True
-    context = contexts(words, first)
     hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
-    order = np.argsort(hashes)
-    hashes, context = hashes[order], context[order]
+    distinct, token = np.unique(hashes, return_inverse=True)
+    order = np.argsort(token, kind="stable")
+    context = contexts(token, first)[order]
     owner = np.repeat(np.arange(len(texts)), sizes)[order]
-    edge = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]]))
-    distinct, counts = hashes[edge], np.diff(np.append(edge, len(hashes)))
-    bucket = _bucket_of(distinct, buckets)
-    cut = np.searchsorted(bucket, np.arange(buckets + 1))
+    counts = np.bincount(token)
+    edge = np.concatenate([[0], np.cumsum(counts)])
+    cut = np.searchsorted(_bucket_of(distinct, buckets), np.arange(buckets + 1))
     rows = []
     for b in range(buckets):
         i, j = cut[b], cut[b + 1]
         if i < j:
-            lo, hi = edge[i], edge[j - 1] + counts[j - 1]
-            rows.append((b, _pack(distinct[i:j], counts[i:j], context[lo:hi], owner[lo:hi], train), int(hi - lo)))
+            at = slice(edge[i], edge[j])
+            before, place = np.unique(context[at], return_inverse=True)
+            blob = _pack(distinct[i:j], counts[i:j], distinct[before], place, owner[at], train, common)
+            rows.append((b, blob, int(edge[j] - edge[i])))
     return sizes, rows
 
 
 @dataclass
 class _Bucket:
-    """Training counts of one bucket: words, pairs (word * 256 + context) and their customers."""
+    """Training counts of one bucket: tokens, tokens before, and of each pair, in order of token and token before,
+    the places of both and its customers."""
 
     words: np.ndarray
-    pairs: np.ndarray
+    contexts: np.ndarray
+    word: np.ndarray
+    context: np.ndarray
     customers: np.ndarray
 
     @property
-    def word(self) -> np.ndarray:
-        return self.pairs // CONTEXTS
-
-    @property
-    def context(self) -> np.ndarray:
-        return self.pairs % CONTEXTS
+    def pairs(self) -> np.ndarray:
+        return self.word.astype(np.int64) * len(self.contexts) + self.context
 
     @property
     def count(self) -> np.ndarray:
         return np.bincount(self.word, self.customers, len(self.words)).astype(np.int64)
 
 
-def _gather(parts: list[list[np.ndarray]]) -> _Bucket:
-    words = np.unique(np.concatenate([p[0] for p in parts]))
-    pairs = []
-    for hashes, counts, context, owner, train in parts:
-        at = np.repeat(np.searchsorted(words, hashes), counts) * CONTEXTS + context
-        pairs.append(at[train[owner].astype(bool)])
-    made, customers = np.unique(np.concatenate(pairs), return_counts=True)
-    return _Bucket(words, made, customers)
-
-
-_COUNTS = ("<u8", "u1", "<i8")  # word, context and customers of every pair
-_SEATS = ("<u8", "<i8", "<f8", "<i8", "<f8")  # words, their counts and parent's chances; pairs and seats
-_TOKENS = 3_000_000  # counted at once in a task
+def _bucket(words: np.ndarray, contexts: np.ndarray, pairs: np.ndarray, customers: np.ndarray) -> _Bucket:
+    """The sum of `customers` by `pairs` (token * tokens before + token before)."""
+    order = np.argsort(pairs, kind="stable")
+    pairs, customers = pairs[order], customers[order]
+    del order
+    edge = np.flatnonzero(np.concatenate([np.ones(min(1, len(pairs)), bool), pairs[1:] != pairs[:-1]]))
+    customers = np.add.reduceat(customers, edge, dtype=np.int64) if len(edge) else np.zeros(0, np.int64)
+    pairs = pairs[edge]
+    word = (pairs // max(1, len(contexts))).astype(np.int32)
+    pairs %= max(1, len(contexts))
+    return _Bucket(words, contexts, word, pairs.astype(np.int32), customers)
 
 
-def _join(arrays: list[np.ndarray], kinds: tuple[str, ...]) -> bytes:
-    head = struct.pack(f"<{len(kinds)}Q", *map(len, arrays))
-    return zstandard.ZstdCompressor(level=1).compress(
-        head + b"".join(a.astype(k).tobytes() for a, k in zip(arrays, kinds, strict=True))
-    )
+def _gather(parts: list[list[np.ndarray]]) -> _Bucket:
+    learnt = [train[owner].astype(bool) for *_, owner, train in parts]
+    tokens = np.concatenate([np.repeat(p[0], p[1])[x] for p, x in zip(parts, learnt, strict=True)])
+    before = np.concatenate([p[2][x] for p, x in zip(parts, learnt, strict=True)])
+    words, word = np.unique(tokens, return_inverse=True)
+    known, context = np.unique(before, return_inverse=True)
+    return _bucket(words, known, word * len(known) + context, np.ones(len(word), np.uint32))
 
 
-def _split(blob: bytes, kinds: tuple[str, ...]) -> list[np.ndarray]:
-    data = zstandard.ZstdDecompressor().decompress(blob)
-    found, at = [], 8 * len(kinds)
-    for kind, size in zip(kinds, struct.unpack_from(f"<{len(kinds)}Q", data), strict=True):
-        found.append(np.frombuffer(data, kind, size, at))
-        at += found[-1].nbytes
-    return found
+_COUNTS = (*_SET, *_SET, "<u8", "<u4")  # tokens, tokens before, steps between pairs, and their customers
+_TOKENS = 3_000_000  # counted at once in a task
 
 
-def _counted(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[tuple[int, bytes]]:
+def _counted(batches: Iterator[pa.RecordBatch], buckets: int, common: np.ndarray) -> Iterator[tuple[int, bytes]]:
     """Training counts of packed tokens: (bucket, counts) for every few million tokens."""
     parts, size = [], 0
 
     def made() -> Iterator[tuple[int, bytes]]:
         found = _gather(parts)
-        words = found.words[found.word]
-        cut = np.searchsorted(_bucket_of(words, buckets), np.arange(buckets + 1))
+        word, context = found.word, found.context
+        cut = np.searchsorted(_bucket_of(found.words, buckets), np.arange(buckets + 1))
+        edge = np.searchsorted(word, cut)
         for b in np.flatnonzero(np.diff(cut)):
-            at = slice(cut[b], cut[b + 1])
-            yield int(b), _join([words[at], found.context[at], found.customers[at]], _COUNTS)
+            at = slice(edge[b], edge[b + 1])
+            before, place = np.unique(context[at], return_inverse=True)
+            pairs = (word[at].astype(np.int64) - cut[b]) * len(before) + place
+            yield int(b), _join([
+                *_packed_set(found.words[cut[b]:cut[b + 1]], common), *_packed_set(found.contexts[before], common),
+                np.diff(pairs, prepend=0), found.customers[at],
+            ], _COUNTS)
 
     for batch in batches:
         for blob in batch["blob"]:
-            parts.append(_unpack(blob.as_py()))
+            parts.append(_unpack(blob.as_py(), common))
             size += len(parts[-1][2])
             if size >= _TOKENS:
                 yield from made()
@@ -187,32 +239,51 @@ def _counted(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[tuple[
         yield from made()
 
 
-def _merge(parts: list[list[np.ndarray]]) -> _Bucket:
-    words = np.unique(np.concatenate([p[0] for p in parts]))
-    pairs = np.concatenate([np.searchsorted(words, w) * CONTEXTS + c for w, c, _ in parts])
-    made, at = np.unique(pairs, return_inverse=True)
-    customers = np.zeros(len(made), np.int64)
-    np.add.at(customers, at, np.concatenate([n for _, _, n in parts]))
-    return _Bucket(words, made, customers)
+def _merge(blobs: list[bytes], common: np.ndarray) -> _Bucket:
+    parts = []
+    for blob in blobs:
+        a, b, c, d, steps, customers = _split(blob, _COUNTS)
+        parts.append((_read_set(a, b, common), _read_set(c, d, common), steps, customers))
+    words = np.unique(np.concatenate([_NONE, *(p[0] for p in parts)]))
+    known = np.unique(np.concatenate([_NONE, *(p[1] for p in parts)]))
+    size = sum(len(p[2]) for p in parts)
+    pairs, customers = np.zeros(size, np.int64), np.zeros(size, np.uint32)
+    while parts:
+        w, c, steps, found = parts.pop()
+        at = slice(size - len(steps), size)
+        size -= len(steps)
+        word, context = np.divmod(np.cumsum(steps, dtype=np.int64), max(1, len(c)))
+        pairs[at] = np.searchsorted(words, w)[word] * len(known) + np.searchsorted(known, c)[context]
+        customers[at] = found
+    return _bucket(words, known, pairs, customers)
 
 
 @dataclass(frozen=True)
 class Corpus:
-    """What all buckets share: totals, discounts and the tables of every context."""
+    """What all buckets share: totals and discounts; and the tables of a bucket's contexts."""
 
     tokens: int
     vocabulary: int
-    customers: tuple[int, ...]
-    tables: tuple[float, ...]
+    customers: tuple[int, ...] | np.ndarray
+    tables: tuple[float, ...] | np.ndarray
     parents: float  # tables of the parent
     discount: float
     parent_discount: float
+    sent: float | None = None  # customers of the parent, where `tables` are not those of all contexts
+
+    @property
+    def total(self) -> float:
+        return float(np.sum(self.tables)) if self.sent is None else self.sent
+
+    @property
+    def base(self) -> float:
+        """What the parent's base adds to the customers of a token."""
+        return (_STRENGTH + self.parent_discount * self.parents) / (self.vocabulary + 1)
 
     @property
     def unknown(self) -> float:
         """The parent's chance of a token it has not seen."""
-        total = sum(self.tables)
-        return (_STRENGTH + self.parent_discount * self.parents) / (_STRENGTH + total) / (self.vocabulary + 1)
+        return self.base / (_STRENGTH + self.total)
 
 
 def _seat(customers: np.ndarray, fresh: np.ndarray, discount: float, random: np.random.Generator) -> np.ndarray:
@@ -242,55 +313,13 @@ def _sweep(
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Reseat the parent, then every context: new tables, the parent's tables and chances by word."""
     sent = np.bincount(bucket.word, tables, len(bucket.words))
-    total = sum(corpus.tables)
-    base = (_STRENGTH + corpus.parent_discount * corpus.parents) / (corpus.vocabulary + 1)
-    top = _seat(sent.astype(np.int64), np.full(len(sent), base), corpus.parent_discount, random)
-    chance = (sent - corpus.parent_discount * top + base) / (_STRENGTH + total)
-    fresh = (_STRENGTH + corpus.discount * np.array(corpus.tables))[bucket.context] * chance[bucket.word]
-    return _seat(bucket.customers, fresh, corpus.discount, random), top, chance
-
-
-def _by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, _Bucket]]:
-    """The buckets of rows (bucket, counts), which come in order of the bucket."""
-    now, rows = None, []
-    for batch in batches:
-        for bucket, counts in zip(batch["bucket"].to_pylist(), batch["counts"], strict=True):
-            if bucket != now:
-                if rows:
-                    yield now, _merge(rows)
-                now, rows = bucket, []
-            rows.append(_split(counts.as_py(), _COUNTS))
-    if rows:
-        yield now, _merge(rows)
-
-
-_TOTALS = T.StructType([
-    *(T.StructField(n, T.LongType()) for n in ("tokens", "vocabulary", "ones", "twos")),
-    T.StructField("customers", T.ArrayType(T.LongType())),
-    T.StructField("tables", T.ArrayType(T.DoubleType())),
-    T.StructField("parents", T.DoubleType()),
-])
-
-
-def _totals(counts: DataFrame, settle: Callable[[int, _Bucket], tuple[np.ndarray, float]]) -> dict:
-    """Sums over all buckets; `settle` gives a bucket's tables and those of the parent."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for number, bucket in _by_bucket(batches):
-            tables, parents = settle(number, bucket)
-            made = {
-                "tokens": int(bucket.customers.sum()), "vocabulary": int((bucket.count > 0).sum()),
-                "ones": int((bucket.customers == 1).sum()), "twos": int((bucket.customers == 2).sum()),
-                "customers": np.bincount(bucket.context, bucket.customers, CONTEXTS).astype(np.int64).tolist(),
-                "tables": np.bincount(bucket.context, tables, CONTEXTS).tolist(), "parents": float(parents),
-            }
-            yield pa.RecordBatch.from_pylist([made], schema=_arrow(_TOTALS))
-
-    sums = counts.mapInArrow(run, _TOTALS).agg(
-        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("tokens", "vocabulary", "ones", "twos", "parents")],
-        *[F.coalesce(F.sum(F.col(c)[i]), F.lit(0)).alias(f"{c}{i}") for c in ("customers", "tables") for i in range(CONTEXTS)],
-    ).first()
-    return sums.asDict()
+    top = _seat(sent.astype(np.int64), np.full(len(sent), corpus.base), corpus.parent_discount, random)
+    chance = (sent - corpus.parent_discount * top + corpus.base) / (_STRENGTH + corpus.total)
+    made = np.ones(len(bucket.customers))
+    more = np.flatnonzero(bucket.customers > 1)  # one customer has one table
+    fresh = (_STRENGTH + corpus.discount * np.asarray(corpus.tables, np.float64))[bucket.context[more]]
+    made[more] = _seat(bucket.customers[more], fresh * chance[bucket.word[more]], corpus.discount, random)
+    return made, top, chance
 
 
 def _arrow(schema: T.StructType) -> pa.Schema:
@@ -299,28 +328,144 @@ def _arrow(schema: T.StructType) -> pa.Schema:
     return to_arrow_schema(schema)
 
 
-def _settled(counts: DataFrame, sweeps: int, seed: int) -> Corpus:
-    """Totals of the corpus, with tables as they stand after `sweeps` sweeps over all buckets."""
-    sums = _totals(counts, lambda _, b: (np.ones(len(b.pairs)), float((b.count > 0).sum())))
+def _totals(counts: RDD, common: np.ndarray) -> Corpus:
+    """Totals and discounts of all buckets, as they are with one table for each pair."""
+
+    def run(blobs: Iterable[bytes]) -> tuple[int, ...]:
+        bucket = _merge(list(blobs), common)
+        seen = bucket.customers
+        return int(seen.sum()), len(bucket.words), len(seen), int((seen == 1).sum()), int((seen == 2).sum())
 
-    def corpus(sums: dict) -> Corpus:
-        ones, twos = sums["ones"], sums["twos"]
-        discount = min(max(ones / (ones + 2 * twos) if ones + twos else 0.5, 0.05), 0.95)
-        return Corpus(
-            sums["tokens"], sums["vocabulary"], tuple(sums[f"customers{i}"] for i in range(CONTEXTS)),
-            tuple(sums[f"tables{i}"] for i in range(CONTEXTS)), sums["parents"], discount, discount,
-        )
+    sums = counts.groupByKey(counts.getNumPartitions()).map(lambda row: run(row[1]))
+    tokens, vocabulary, pairs, ones, twos = sums.fold((0,) * 5, lambda a, b: tuple(map(int.__add__, a, b)))
+    discount = min(max(ones / (ones + 2 * twos) if ones + twos else 0.5, 0.05), 0.95)
+    return Corpus(tokens, vocabulary, _NONE, _NONE, float(vocabulary), discount, discount, float(pairs))
 
-    state = corpus(sums)
-    for sweep in range(1, sweeps + 1):
 
-        def settle(number: int, bucket: _Bucket, sweep: int = sweep, state: Corpus = state) -> tuple[np.ndarray, float]:
-            random = np.random.default_rng([seed, sweep, number])
-            tables, top, _ = _sweep(bucket, np.ones(len(bucket.pairs)), state, random)
-            return tables, top.sum()
+# Between sweeps bucket `origin` tells others (bucket, (origin, blob)).  _KEPT: what a bucket keeps for itself; _HOME:
+# the tables of the contexts whose token is the bucket's.
+_News = Iterator[tuple[int, tuple[int, bytes]]]
+_KEPT, _HOME = -1, -2
+_TABLES = (*_SET, "<f8", "<f8")  # contexts, their tables; customers and tables of the parent
+_KEEPS = ("<u4", "<f8")  # tables of every pair; what the parent's customers of every token weigh
 
-        state = corpus(_totals(counts, settle))
-    return state
+
+def _told(
+    number: int, bucket: _Bucket, tables: np.ndarray, share: float, parent: np.ndarray, sums: tuple[float, float],
+    buckets: int, common: np.ndarray,
+) -> _News:
+    """A bucket's news: to every bucket its tables of that bucket's contexts, `tables` * `share`, and `sums`."""
+    own = np.bincount(bucket.context, tables, len(bucket.contexts)) * share
+    cut = np.searchsorted(_bucket_of(bucket.contexts, buckets), np.arange(buckets + 1))
+    yield number, (_KEPT, _join([tables, parent], _KEEPS))
+    for b in range(buckets):
+        at = slice(cut[b], cut[b + 1])
+        blob = _join([*_packed_set(bucket.contexts[at], common), own[at], np.array(sums)], _TABLES)
+        yield b, (number, blob)
+
+
+def _answers(home: int, rows: Iterable[tuple[int, bytes]], common: np.ndarray) -> _News:
+    """To every bucket the tables of its contexts over all buckets, by where they were summed."""
+    asked = []
+    for origin, blob in rows:
+        if origin == _KEPT:
+            yield home, (_KEPT, blob)
+        else:
+            asked.append((origin, _split(blob, _TABLES)))
+    asked.sort(key=lambda x: x[0])
+    sets = [_read_set(places, steps, common) for _, (places, steps, _, _) in asked]
+    known, at = np.unique(np.concatenate(sets), return_inverse=True)
+    tables = np.bincount(at, np.concatenate([x[2] for _, x in asked]), len(known))
+    sums = np.sum([x[3] for _, x in asked], axis=0)
+    edge = np.cumsum([0, *map(len, sets)])
+    for (origin, _), i, j in zip(asked, edge[:-1], edge[1:], strict=True):
+        yield origin, (home, _join([_NONE, _NONE, tables[at[i:j]], sums], _TABLES))
+    yield home, (_HOME, _join([_NONE, _NONE, tables, sums], _TABLES))
+
+
+def _heard(counts: Iterable[bytes], news: Iterable[tuple[int, bytes]], corpus: Corpus, common: np.ndarray) -> tuple:
+    """A bucket, the corpus with the tables of its contexts, what it kept, and its own words' tables."""
+    bucket = _merge(list(counts), common)
+    kept, home, tables = [np.zeros(0), np.zeros(0)], np.zeros(0), []
+    for origin, blob in sorted(news):
+        if origin == _KEPT:
+            kept = _split(blob, _KEEPS)
+            continue
+        *_, found, sums = _split(blob, _TABLES)
+        if origin == _HOME:
+            home = found  # in order of its words, each of which stands before some token
+        else:
+            tables.append(found)
+        corpus = replace(corpus, sent=float(sums[0]), parents=float(sums[1]))
+    return bucket, replace(corpus, tables=np.concatenate([np.zeros(0), *tables])), kept, home
+
+
+def _averaged(
+    counts: RDD, corpus: Corpus, sweeps: int, burn: int, samples: int, seed: int, buckets: int, common: np.ndarray
+) -> RDD:
+    """(bucket, seats): counts, parent's chances and seats of its words, averaged over samples."""
+
+    def begin(row: tuple) -> _News:
+        """The first sweep, from one table for each pair; a context has in other buckets what it has here."""
+        bucket = _merge(list(row[1]), common)
+        guess = np.bincount(bucket.context, minlength=len(bucket.contexts)) * (corpus.vocabulary / len(bucket.words))
+        random = np.random.default_rng([seed, 1, row[0]])
+        tables, top, _ = _sweep(bucket, np.ones(len(bucket.customers)), replace(corpus, tables=guess), random)
+        return _told(row[0], bucket, tables, 1.0, np.zeros(0), (tables.sum(), top.sum()), buckets, common)
+
+    def sweep(row: tuple, turn: int) -> _News:
+        number, (found, news) = row
+        if not len(found):
+            return iter(())
+        bucket, state, (tables, _), _ = _heard(found, news, corpus, common)
+        random = np.random.default_rng([seed, turn, number])
+        if turn <= sweeps:
+            tables, top, _ = _sweep(bucket, tables, state, random)
+            sums = (tables.sum(), top.sum())
+            return _told(number, bucket, tables, 1.0, np.zeros(0), sums, buckets, common)
+        seated, parent, sums = np.zeros(len(bucket.customers)), np.zeros(len(bucket.words)), np.zeros(2)
+        for sample in range(burn + samples):
+            sent = np.bincount(bucket.word, tables, len(bucket.words))
+            tables, top, _ = _sweep(bucket, tables, state, random)
+            if sample >= burn:
+                seated += tables
+                parent += (sent - corpus.parent_discount * top) / samples
+                sums += np.array([sent.sum(), top.sum()]) / samples
+        return _told(number, bucket, seated, 1 / samples, parent, tuple(sums), buckets, common)
+
+    def close(row: tuple) -> tuple[int, bytes]:
+        bucket, state, (seated, parent), home = _heard(*row[1], corpus, common)
+        share = (_STRENGTH + corpus.discount * home) / (_STRENGTH + bucket.count)
+        parent = (parent + state.base) / (_STRENGTH + state.total)
+        return row[0], _join([
+            *_packed_set(bucket.words, common), bucket.count, parent, np.log10(share),
+            *_packed_set(bucket.contexts, common), state.tables,
+            np.diff(bucket.pairs, prepend=0), bucket.customers, seated, [state.unknown, samples],
+        ], _SEATS)
+
+    # Counts and news are dealt alike, so only news move.
+    parts = counts.getNumPartitions()
+    news = counts.groupByKey(parts).flatMap(begin)
+    for turn in range(2, sweeps + 2):
+        told = news.partitionBy(parts).groupByKey(parts).flatMap(lambda row: _answers(*row, common)).partitionBy(parts)
+        news = counts.cogroup(told, parts).flatMap(lambda row, turn=turn: sweep(row, turn))
+    told = news.partitionBy(parts).groupByKey(parts).flatMap(lambda row: _answers(*row, common)).partitionBy(parts)
+    return counts.cogroup(told, parts).map(close)
+
+
+# Words, their counts, the parent's chances of them and log10 of what their restaurants leave to it; tokens before and
+# their tables; steps between pairs, their customers and the tables of all samples; the chance of an unknown token and
+# the number of samples.
+_SEATS = (*_SET, "<u4", "<f8", "<f8", *_SET, "<f8", "<u8", "<u4", "<u4", "<f8")
+
+
+def _seats(blob: bytes, discount: float, common: np.ndarray) -> list[np.ndarray]:
+    """What `_sums` needs of a bucket; seats are over the weight that their restaurant gives the parent."""
+    a, b, count, parent, share, c, d, tables, steps, customers, seated, rest = _split(blob, _SEATS)
+    contexts, pairs = _read_set(c, d, common), np.cumsum(steps, dtype=np.int64)
+    seats = np.maximum(customers - discount * seated / rest[1], 0)
+    seats /= (_STRENGTH + discount * tables)[pairs % max(1, len(contexts))]
+    return [_read_set(a, b, common), count, parent, share, contexts, pairs, seats, rest[:1]]
 
 
 _PART = T.StructType([
@@ -329,37 +474,13 @@ _PART = T.StructType([
 ])
 
 
-def _averaged(counts: DataFrame, corpus: Corpus, burn: int, samples: int, seed: int) -> DataFrame:
-    """`bucket` and `seats`: counts, parent's chances and seats of its words, averaged over samples."""
-    made = T.StructType([T.StructField("bucket", T.IntegerType()), T.StructField("seats", T.BinaryType())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for number, bucket in _by_bucket(batches):
-            random = np.random.default_rng([seed, 1_000_000, number])
-            tables = np.ones(len(bucket.pairs))
-            seats, parent = np.zeros(len(bucket.pairs)), np.zeros(len(bucket.words))
-            for turn in range(burn + samples):
-                tables, _, chance = _sweep(bucket, tables, corpus, random)
-                if turn >= burn:
-                    seats += (bucket.customers - corpus.discount * tables) / samples
-                    parent += chance / samples
-            blob = _join([bucket.words, bucket.count, parent, bucket.pairs, np.maximum(seats, 0)], _SEATS)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([number], pa.int32()), pa.array([blob], pa.binary())], schema=_arrow(made)
-            )
-
-    return counts.mapInArrow(run, made)
-
-
-def _score(dealt: DataFrame, averaged: DataFrame, corpus: Corpus, buckets: int) -> DataFrame:
+def _score(dealt: DataFrame, averaged: DataFrame, corpus: Corpus, buckets: int, common: np.ndarray) -> DataFrame:
     """For each batch and bucket, sums per text: base score, score, known tokens."""
     groups = averaged.join(dealt.select("bucket", "salt").distinct(), "bucket")
     rows = groups.select("bucket", "salt", F.lit(None).cast("binary").alias("sub"), F.col("seats").alias("blob"))
     rows = rows.unionAll(dealt.select("bucket", "salt", "sub", "blob"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        strength = _STRENGTH + np.array(corpus.customers, np.float64)
-        share = (_STRENGTH + corpus.discount * np.array(corpus.tables)) / strength
         now, known = None, None
         for batch in batches:
             for bucket, salt, sub, blob in zip(
@@ -367,43 +488,65 @@ def _score(dealt: DataFrame, averaged: DataFrame, corpus: Corpus, buckets: int)
                 strict=True,
             ):
                 if (bucket, salt) != now:  # its seats come first; without training tokens there are none
-                    now, known = (bucket, salt), [np.zeros(0, k) for k in _SEATS]
+                    now, known = (bucket, salt), [_NONE] * 7 + [np.array([corpus.unknown])]
                 if sub is None:
-                    known = _split(blob.as_py(), _SEATS)
+                    known = _seats(blob.as_py(), corpus.discount, common)
                     continue
-                made = pa.array([_sums(_unpack(blob.as_py()), known, corpus, strength, share)], pa.binary())
+                made = pa.array([_sums(_unpack(blob.as_py(), common), known, corpus)], pa.binary())
                 yield pa.RecordBatch.from_arrays([pa.array([sub], pa.binary()), made], schema=_arrow(_PART))
 
     rows = rows.repartition(int(buckets), "bucket", "salt").sortWithinPartitions("bucket", "salt", F.asc_nulls_first("sub"))
     return rows.select("bucket", "salt", "sub", "blob").mapInArrow(run, _PART)
 
 
-def _sums(
-    packed: list[np.ndarray], known: list[np.ndarray], corpus: Corpus, strength: np.ndarray, share: np.ndarray
-) -> bytes:
-    hashes, counts, context, owner, train = packed
-    words, customers, chances, pairs, seats = known
-    count, parent = np.zeros(len(hashes), np.int64), np.full(len(hashes), corpus.unknown)
-    word, found = np.zeros(len(hashes), np.int64), np.zeros(len(context))
+def _sums(packed: list[np.ndarray], known: list[np.ndarray], corpus: Corpus) -> bytes:
+    hashes, counts, before, owner, train = packed
+    words, customers, chances, shares, contexts, pairs, seats, unknown = known
+    count, parent = np.zeros(len(hashes), np.int64), np.full(len(hashes), unknown[0])
+    share, seat = np.zeros(len(hashes)), np.zeros(len(before))
     if len(words):
         word = np.minimum(np.searchsorted(words, hashes), len(words) - 1)
         same = words[word] == hashes
-        count[same], parent[same] = customers[word[same]], chances[word[same]]
-        pair = np.repeat(np.where(same, word, -1), counts) * CONTEXTS + context
+        count[same], parent[same], share[same] = customers[word[same]], chances[word[same]], shares[word[same]]
+        context = np.minimum(np.searchsorted(contexts, before), len(contexts) - 1)
+        pair = np.repeat(word, counts) * len(contexts) + context
         at = np.minimum(np.searchsorted(pairs, pair), len(pairs) - 1)
-        found = np.where(pairs[at] == pair, seats[at], 0) / strength[context]
+        seen = np.repeat(same, counts) & (contexts[context] == before) & (pairs[at] == pair)
+        seat[seen] = seats[at[seen]]
     base = np.log10((count + 1) / (corpus.tokens + corpus.vocabulary + 1))
-    chance = found + share[context] * np.repeat(parent, counts)
+    # A token's restaurant leaves that share to the parent once for each token that follows it in the text; the
+    # end's does for the text's first token.
+    chance = np.log10(seat + np.repeat(parent, counts)) + np.repeat(share, counts)
     n = len(train)
-    sums = np.stack([
-        np.bincount(owner, np.repeat(base, counts), n), np.bincount(owner, np.log10(chance), n),
-        np.bincount(owner, np.repeat(count > 0, counts), n),
-    ])
     has = np.flatnonzero(np.bincount(owner, minlength=n))
-    return struct.pack("<I", len(has)) + has.astype("<u2").tobytes() + sums[:, has].tobytes()
+    sums = [np.bincount(owner, x, n)[has] for x in (np.repeat(base, counts), chance, np.repeat(count > 0, counts))]
+    return _join([has, *sums], _TEXT_SUMS)
+
 
+_TEXT_SUMS = ("<u2", "<f8", "<f8", "<u4")  # texts; their base scores, scores and known tokens
 
-def _dealt(source: DataFrame, buckets: int, batch_bytes: int) -> DataFrame:
+
+def _frequent(source: DataFrame, text_bytes: int, sample: int = 128_000_000, most: int = 1_048_576) -> np.ndarray:
+    """Hashes of frequent words of about `sample` bytes of text, ascending; they only shorten packed rows."""
+    made = T.StructType([T.StructField("word", T.LongType()), T.StructField("n", T.LongType())])
+    some = source.where(F.pmod(F.xxhash64("doc_id", "t"), F.lit(max(1, text_bytes // sample))) == 0).select("t")
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: Counter[bytes] = Counter()
+        for batch in batches:
+            for text in batch["t"]:
+                found.update(blank_words(text.as_py()))
+        often = {w: n for w, n in found.items() if n > 1}
+        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, often), np.uint64, len(often))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(hashes.view(np.int64)), pa.array(list(often.values()), pa.int64())], schema=_arrow(made)
+        )
+
+    top = some.mapInArrow(count, made).groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(most)
+    return np.sort(np.array([r.word for r in top.select("word").collect()], np.int64).view(np.uint64))
+
+
+def _dealt(source: DataFrame, buckets: int, batch_bytes: int, common: np.ndarray = _NONE) -> DataFrame:
     """Packed tokens (bucket, salt, sub, blob) of every batch, and its texts in a row of bucket -1."""
     read = T.StructType([
         T.StructField("bucket", T.IntegerType()),
@@ -420,7 +563,7 @@ def _dealt(source: DataFrame, buckets: int, batch_bytes: int) -> DataFrame:
 
         def flush(ids: list, held: list, texts: list) -> pa.RecordBatch:
             sub = uuid.uuid4().bytes  # the written rows keep it
-            sizes, rows = _token_rows(texts, ~np.array(held, bool), buckets)
+            sizes, rows = _token_rows(texts, ~np.array(held, bool), buckets, common)
             columns = [
                 [-1, *(b for b, _, _ in rows)], [0, *(_salt(sub, n, sum(sizes), buckets) for _, _, n in rows)],
                 [sub] * (len(rows) + 1), [None, *(x for _, x, _ in rows)],
@@ -470,23 +613,26 @@ def score_language(
     )
     total = source.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     buckets = max(8, -(-total // bucket_bytes))
-    made = _dealt(source, int(buckets), batch_bytes)
+    common = _frequent(source, total)
+    made = _dealt(source, int(buckets), batch_bytes, common)
     dealt = made.where("bucket >= 0").select("bucket", "salt", "sub", "blob")
     counted = T.StructType([T.StructField("bucket", T.IntegerType()), T.StructField("counts", T.BinaryType())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for bucket, counts in _counted(batches, int(buckets)):
+        for bucket, counts in _counted(batches, int(buckets), common):
             yield pa.RecordBatch.from_arrays(
                 [pa.array([bucket], pa.int32()), pa.array([counts], pa.binary())], schema=_arrow(counted)
             )
 
-    # A partition holds whole buckets, in order; the checkpoint keeps the partitions as they are.
-    counts = dealt.select("blob").mapInArrow(count, counted).repartition(int(buckets), "bucket")
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(shared_folder(spark, "checkpoints"))
-    counts = counts.sortWithinPartitions("bucket").checkpoint()
-    corpus = _settled(counts, sweeps, seed)
-    parts = _score(dealt, _averaged(counts, corpus, burn, samples, seed), corpus, int(buckets))
+    # A partition holds whole buckets.
+    counts = dealt.select("blob").mapInArrow(count, counted).rdd.map(tuple).partitionBy(int(buckets))
+    corpus = _totals(counts, common)
+    averaged = spark.createDataFrame(
+        _averaged(counts, corpus, sweeps, burn, samples, seed, int(buckets), common),
+        T.StructType([T.StructField("bucket", T.IntegerType()), T.StructField("seats", T.BinaryType())]),
+        verifySchema=False,
+    )
+    parts = _score(dealt, averaged, corpus, int(buckets), common)
     listed = made.where("bucket < 0").select("sub", "ids", "held", "sizes")
     together = parts.select(
         "sub", "sums", *[F.lit(None).cast(listed.schema[c].dataType).alias(c) for c in ("ids", "held", "sizes")]
@@ -510,9 +656,8 @@ def score_language(
             ids, held, sizes = texts
             total = np.zeros((3, len(ids)))
             for blob in sums:
-                (n,) = struct.unpack_from("<I", blob)
-                has = np.frombuffer(blob, "<u2", n, 4)
-                total[:, has] += np.frombuffer(blob, np.float64, 3 * n, 4 + 2 * n).reshape(3, n)
+                has, *found = _split(blob, _TEXT_SUMS)
+                total[:, has] += found
             columns = [ids, held, sizes, total[2].astype(np.int64), [n_train] * len(ids), total[0], total[1]]
             return pa.RecordBatch.from_arrays(
                 [pa.array(c, f.type) for c, f in zip(columns, kinds, strict=True)], schema=kinds

@@ -7,6 +7,7 @@ from collections import Counter
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from frames import frame, odd_rows  # noqa: F401
@@ -135,6 +136,36 @@ def test_hot_tokens_are_scored_in_several_groups(spark, frame):
         assert r.score == pytest.approx(whole[r.doc_id].score)
 
 
+def test_tokens_with_equal_endings_have_restaurants_of_their_own(frame):
+    rows = [(i, ["west red", "nest blue"][i % 2], "s") for i in range(80)]
+    rows += [(100, "west red", "s"), (101, "west blue", "s"), (102, "nest red", "s"), (103, "nest blue", "s")]
+    score = {r.doc_id: r.score for r in pitman_yor.score_language(frame(rows, False), F.col("doc_id") >= 100).collect()}
+    assert score[100] > score[101] + 0.5 and score[103] > score[102] + 0.5
+
+
+def test_averaged_chances_sum_to_one_in_every_context(spark):
+    """Over buckets, with restaurants whose dishes lie in several of them."""
+    rng = random.Random(5)
+    texts = [" ".join(f"w{int(rng.paretovariate(0.7)) % 300}" for _ in range(60)) for _ in range(60)]
+    _, rows = pitman_yor._token_rows(texts, np.ones(60, bool), 5)
+    blobs = pa.RecordBatch.from_arrays([pa.array([b for _, b, _ in rows], pa.binary())], ["blob"])
+    none = np.zeros(0, np.uint64)
+    counts = spark.sparkContext.parallelize(list(pitman_yor._counted(iter([blobs]), 5, none))).partitionBy(5)
+    corpus = pitman_yor._totals(counts, none)
+    assert corpus.tokens == 60 * 61
+    made = [b for _, b in pitman_yor._averaged(counts, corpus, 2, 1, 2, 7, 5, none).collect()]
+    found = [pitman_yor._seats(b, corpus.discount, none) for b in made]
+    share = {w: 10**x for f in found for w, x in zip(f[0], f[3], strict=True)}
+    seats = Counter()
+    for f in found:
+        for pair, seat in zip(f[5], f[6], strict=True):
+            seats[f[4][pair % len(f[4])]] += seat
+    parent = sum(f[2].sum() for f in found)
+    assert set(seats) == set(share) and len(share) == corpus.vocabulary > 100
+    for word, part in share.items():
+        assert part * (seats[word] + parent + found[0][7][0]) == pytest.approx(1)
+
+
 @pytest.mark.parametrize("seed", range(40))
 def test_periods_meet_every_window(seed):
     random.seed(seed)
