@@ -88,6 +88,7 @@ _SET = ("<u4", "<u8")  # a sorted set of hashes: steps between places in the lis
 
 
 def _packed_set(hashes: np.ndarray, common: np.ndarray) -> list[np.ndarray]:
+    common = getattr(common, "value", common)  # a broadcast one
     at = np.searchsorted(common, hashes)
     known = np.zeros(len(hashes), bool)
     if len(common):
@@ -96,6 +97,7 @@ def _packed_set(hashes: np.ndarray, common: np.ndarray) -> list[np.ndarray]:
 
 
 def _read_set(places: np.ndarray, steps: np.ndarray, common: np.ndarray) -> np.ndarray:
+    common = getattr(common, "value", common)
     return np.sort(np.concatenate([common[np.cumsum(places, dtype=np.int64)], np.cumsum(steps, dtype=np.uint64)]))
 
 
@@ -113,10 +115,11 @@ def _pack(
 
 
 def _unpack(blob: bytes, common: np.ndarray = _NONE) -> list[np.ndarray]:
-    """Different tokens, their counts; of each occurrence the token before and the text; training texts."""
+    """Different tokens, their counts; of each occurrence the place of the token before and the text; training texts;
+    the different tokens before."""
     *words, counts, places, steps, context, owner, train = _split(blob, _TOKEN_ROW)
     owner = np.cumsum(owner, dtype=np.uint16)
-    return [_read_set(*words, common), counts, _read_set(places, steps, common)[context], owner, train]
+    return [_read_set(*words, common), counts, context, owner, train, _read_set(places, steps, common)]
 
 
 def _bucket_of(hashes: np.ndarray, buckets: int) -> np.ndarray:
@@ -198,12 +201,15 @@ def _bucket(words: np.ndarray, contexts: np.ndarray, pairs: np.ndarray, customer
 
 
 def _gather(parts: list[list[np.ndarray]]) -> _Bucket:
-    learnt = [train[owner].astype(bool) for *_, owner, train in parts]
-    tokens = np.concatenate([np.repeat(p[0], p[1])[x] for p, x in zip(parts, learnt, strict=True)])
-    before = np.concatenate([p[2][x] for p, x in zip(parts, learnt, strict=True)])
-    words, word = np.unique(tokens, return_inverse=True)
-    known, context = np.unique(before, return_inverse=True)
-    return _bucket(words, known, word * len(known) + context, np.ones(len(word), np.uint32))
+    words = np.unique(np.concatenate([p[0] for p in parts]))
+    known = np.unique(np.concatenate([p[5] for p in parts]))
+    pairs = []
+    for hashes, counts, context, owner, train, before in parts:
+        word = np.repeat(np.searchsorted(words, hashes), counts)
+        pairs.append((word * len(known) + np.searchsorted(known, before)[context])[train[owner].astype(bool)])
+    joined = np.concatenate(pairs)
+    del pairs
+    return _bucket(words, known, joined, np.ones(len(joined), np.uint32))
 
 
 _COUNTS = (*_SET, *_SET, "<u8", "<u4")  # tokens, tokens before, steps between pairs, and their customers
@@ -219,12 +225,13 @@ def _counted(batches: Iterator[pa.RecordBatch], buckets: int, common: np.ndarray
         word, context = found.word, found.context
         cut = np.searchsorted(_bucket_of(found.words, buckets), np.arange(buckets + 1))
         edge = np.searchsorted(word, cut)
-        for b in np.flatnonzero(np.diff(cut)):
+        for b in np.flatnonzero(np.diff(edge)):
             at = slice(edge[b], edge[b + 1])
+            learnt, token = np.unique(word[at], return_inverse=True)
             before, place = np.unique(context[at], return_inverse=True)
-            pairs = (word[at].astype(np.int64) - cut[b]) * len(before) + place
+            pairs = token * len(before) + place
             yield int(b), _join([
-                *_packed_set(found.words[cut[b]:cut[b + 1]], common), *_packed_set(found.contexts[before], common),
+                *_packed_set(found.words[learnt], common), *_packed_set(found.contexts[before], common),
                 np.diff(pairs, prepend=0), found.customers[at],
             ], _COUNTS)
 
@@ -500,18 +507,18 @@ def _score(dealt: DataFrame, averaged: DataFrame, corpus: Corpus, buckets: int,
 
 
 def _sums(packed: list[np.ndarray], known: list[np.ndarray], corpus: Corpus) -> bytes:
-    hashes, counts, before, owner, train = packed
+    hashes, counts, place, owner, train, before = packed
     words, customers, chances, shares, contexts, pairs, seats, unknown = known
     count, parent = np.zeros(len(hashes), np.int64), np.full(len(hashes), unknown[0])
-    share, seat = np.zeros(len(hashes)), np.zeros(len(before))
+    share, seat = np.zeros(len(hashes)), np.zeros(len(place))
     if len(words):
         word = np.minimum(np.searchsorted(words, hashes), len(words) - 1)
         same = words[word] == hashes
         count[same], parent[same], share[same] = customers[word[same]], chances[word[same]], shares[word[same]]
         context = np.minimum(np.searchsorted(contexts, before), len(contexts) - 1)
-        pair = np.repeat(word, counts) * len(contexts) + context
+        pair = np.repeat(word, counts) * len(contexts) + context[place]
         at = np.minimum(np.searchsorted(pairs, pair), len(pairs) - 1)
-        seen = np.repeat(same, counts) & (contexts[context] == before) & (pairs[at] == pair)
+        seen = np.repeat(same, counts) & (contexts[context] == before)[place] & (pairs[at] == pair)
         seat[seen] = seats[at[seen]]
     base = np.log10((count + 1) / (corpus.tokens + corpus.vocabulary + 1))
     # A token's restaurant leaves that share to the parent once for each token that follows it in the text; the
@@ -613,7 +620,7 @@ def score_language(
     )
     total = source.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     buckets = max(8, -(-total // bucket_bytes))
-    common = _frequent(source, total)
+    common = spark.sparkContext.broadcast(_frequent(source, total))
     made = _dealt(source, int(buckets), batch_bytes, common)
     dealt = made.where("bucket >= 0").select("bucket", "salt", "sub", "blob")
     counted = T.StructType([T.StructField("bucket", T.IntegerType()), T.StructField("counts", T.BinaryType())])
