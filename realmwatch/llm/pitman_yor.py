@@ -22,6 +22,9 @@ probabilities of the averaged seats score every token of every text, and the buc
 A bucket with more than its share of the tokens is scored in several groups; each gets a copy of the
 bucket's averaged seats, and its rows stream past them one at a time.
 
+All Python runs in RDDs, one worker a task: counts and news of a bucket are dealt alike, so their union needs no worker
+of its own.  Workers give freed memory back between buckets.
+
 Packed rows name frequent words by their place in a list of at most 1,048,576, drawn from about 128 MB of
 text, and others by hash.  The list only shortens rows; no result depends on it.
 
@@ -31,10 +34,11 @@ are texts of their own.  Without training rows every token is unknown.
 
 from __future__ import annotations
 
+import ctypes
 import struct
 import uuid
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, replace
 
@@ -43,7 +47,7 @@ import pyarrow as pa
 import xxhash
 import zstandard
 from pyspark import RDD
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -61,16 +65,31 @@ def contexts(tokens: np.ndarray, first: np.ndarray) -> np.ndarray:
     return np.where(first, tokens[-1], before)
 
 
+def _release() -> None:
+    """Give freed memory back to the system: Python workers outlive their tasks, and those of several stages stand
+    side by side in an executor."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # of the GNU library
+        trim(0)
+
+
+def _frame(spark: SparkSession, rows: RDD, schema: T.StructType) -> DataFrame:
+    """Rows that Python made, as a table.  All of this module's Python runs in RDDs: workers of DataFrames would stand
+    beside those of RDDs, and their batches take several times 64 MB outside the heap."""
+    return spark.createDataFrame(rows, schema, verifySchema=False)
+
+
 def _planes(a: np.ndarray, kind: str) -> bytes:
     a = np.ascontiguousarray(a, dtype=kind)
-    return np.ascontiguousarray(a.view(np.uint8).reshape(len(a), a.itemsize).T).tobytes()
+    return a.view(np.uint8).reshape(len(a), a.itemsize).T.tobytes()
 
 
 def _join(arrays: list[np.ndarray], kinds: tuple[str, ...]) -> bytes:
     head = struct.pack(f"<{len(kinds)}Q", *map(len, arrays))
-    return zstandard.ZstdCompressor(level=3).compress(
-        head + b"".join(_planes(a, k) for a, k in zip(arrays, kinds, strict=True))
-    )
+    size = len(head) + sum(len(a) * np.dtype(k).itemsize for a, k in zip(arrays, kinds, strict=True))
+    out = zstandard.ZstdCompressor(level=3).compressobj(size=size)
+    made = [out.compress(head), *(out.compress(_planes(a, k)) for a, k in zip(arrays, kinds, strict=True))]
+    return b"".join([*made, out.flush()])
 
 
 def _split(blob: bytes, kinds: tuple[str, ...]) -> list[np.ndarray]:
@@ -138,21 +157,24 @@ def _token_rows(
     texts: list[str], train: np.ndarray, buckets: int, common: np.ndarray = _NONE
 ) -> tuple[list[int], list[tuple[int, bytes, int]]]:
     """Tokens of each text, and (bucket, packed tokens, their number) of each bucket that has any."""
-    words: list[bytes] = []
-    sizes = []
+    place: dict[bytes, int] = {}  # numbers words as they come, so no list of all words is held
+    numbers, sizes = [], []
     for text in texts:
         found = blank_words(text)
-        words += found
-        words.append(b"")
-        sizes.append(len(found) + 1)
-    starts = np.cumsum([0, *sizes[:-1]])
-    first = np.zeros(len(words), bool)
-    first[starts] = True
-    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
-    distinct, token = np.unique(hashes, return_inverse=True)
+        found.append(b"")
+        numbers.append(np.fromiter([place.setdefault(w, len(place)) for w in found], np.int32, len(found)))
+        sizes.append(len(found))
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, place), np.uint64, len(place))
+    del place
+    distinct, rank = np.unique(hashes, return_inverse=True)
+    token = rank.astype(np.int32)[np.concatenate(numbers)]
+    del numbers
+    first = np.zeros(len(token), bool)
+    first[np.cumsum([0, *sizes[:-1]])] = True
     order = np.argsort(token, kind="stable")
     context = contexts(token, first)[order]
-    owner = np.repeat(np.arange(len(texts)), sizes)[order]
+    owner = np.repeat(np.arange(len(texts), dtype=np.uint16), sizes)[order]
+    del order, first
     counts = np.bincount(token)
     edge = np.concatenate([[0], np.cumsum(counts)])
     cut = np.searchsorted(_bucket_of(distinct, buckets), np.arange(buckets + 1))
@@ -187,14 +209,15 @@ class _Bucket:
         return np.bincount(self.word, self.customers, len(self.words)).astype(np.int64)
 
 
-def _bucket(words: np.ndarray, contexts: np.ndarray, pairs: np.ndarray, customers: np.ndarray) -> _Bucket:
-    """The sum of `customers` by `pairs` (token * tokens before + token before)."""
-    order = np.argsort(pairs, kind="stable")
-    pairs, customers = pairs[order], customers[order]
-    del order
+def _bucket(words: np.ndarray, contexts: np.ndarray, pairs: np.ndarray, customers: np.ndarray | None) -> _Bucket:
+    """The sum of `customers` (None: one each) by ascending `pairs` (token * tokens before + token before)."""
     edge = np.flatnonzero(np.concatenate([np.ones(min(1, len(pairs)), bool), pairs[1:] != pairs[:-1]]))
-    customers = np.add.reduceat(customers, edge, dtype=np.int64) if len(edge) else np.zeros(0, np.int64)
+    if customers is None:
+        customers = np.diff(edge, append=len(pairs))
+    else:
+        customers = np.add.reduceat(customers, edge, dtype=np.int64) if len(edge) else np.zeros(0, np.int64)
     pairs = pairs[edge]
+    del edge
     word = (pairs // max(1, len(contexts))).astype(np.int32)
     pairs %= max(1, len(contexts))
     return _Bucket(words, contexts, word, pairs.astype(np.int32), customers)
@@ -203,25 +226,32 @@ def _bucket(words: np.ndarray, contexts: np.ndarray, pairs: np.ndarray, customer
 def _gather(parts: list[list[np.ndarray]]) -> _Bucket:
     words = np.unique(np.concatenate([p[0] for p in parts]))
     known = np.unique(np.concatenate([p[5] for p in parts]))
-    pairs = []
+    pairs, size = np.empty(sum(len(p[2]) for p in parts), np.int64), 0
     for hashes, counts, context, owner, train, before in parts:
         word = np.repeat(np.searchsorted(words, hashes), counts)
-        pairs.append((word * len(known) + np.searchsorted(known, before)[context])[train[owner].astype(bool)])
-    joined = np.concatenate(pairs)
-    del pairs
-    return _bucket(words, known, joined, np.ones(len(joined), np.uint32))
+        found = (word * len(known) + np.searchsorted(known, before)[context])[train[owner].astype(bool)]
+        pairs[size : size + len(found)] = found
+        size += len(found)
+    pairs = pairs[:size]
+    pairs.sort()
+    return _bucket(words, known, pairs, None)
 
 
 _COUNTS = (*_SET, *_SET, "<u8", "<u4")  # tokens, tokens before, steps between pairs, and their customers
 _TOKENS = 3_000_000  # counted at once in a task
 
 
-def _counted(batches: Iterator[pa.RecordBatch], buckets: int, common: np.ndarray) -> Iterator[tuple[int, bytes]]:
+def _counted(batches: Iterable[pa.RecordBatch], buckets: int, common: np.ndarray) -> Iterator[tuple[int, bytes]]:
     """Training counts of packed tokens: (bucket, counts) for every few million tokens."""
+    return _counts((blob.as_py() for batch in batches for blob in batch["blob"]), buckets, common)
+
+
+def _counts(blobs: Iterable[bytes], buckets: int, common: np.ndarray) -> Iterator[tuple[int, bytes]]:
     parts, size = [], 0
 
     def made() -> Iterator[tuple[int, bytes]]:
         found = _gather(parts)
+        parts.clear()
         word, context = found.word, found.context
         cut = np.searchsorted(_bucket_of(found.words, buckets), np.arange(buckets + 1))
         edge = np.searchsorted(word, cut)
@@ -235,15 +265,16 @@ def _counted(batches: Iterator[pa.RecordBatch], buckets: int, common: np.ndarray
                 np.diff(pairs, prepend=0), found.customers[at],
             ], _COUNTS)
 
-    for batch in batches:
-        for blob in batch["blob"]:
-            parts.append(_unpack(blob.as_py(), common))
-            size += len(parts[-1][2])
-            if size >= _TOKENS:
-                yield from made()
-                parts, size = [], 0
+    for blob in blobs:
+        parts.append(_unpack(blob, common))
+        size += len(parts[-1][2])
+        if size >= _TOKENS:
+            yield from made()
+            _release()
+            size = 0
     if parts:
         yield from made()
+    _release()
 
 
 def _merge(blobs: list[bytes], common: np.ndarray) -> _Bucket:
@@ -262,9 +293,24 @@ def _merge(blobs: list[bytes], common: np.ndarray) -> _Bucket:
         word, context = np.divmod(np.cumsum(steps, dtype=np.int64), max(1, len(c)))
         pairs[at] = np.searchsorted(words, w)[word] * len(known) + np.searchsorted(known, c)[context]
         customers[at] = found
+    order = np.argsort(pairs, kind="stable")
+    pairs, customers = pairs[order], customers[order]
+    del order
     return _bucket(words, known, pairs, customers)
 
 
+def _by_bucket(rows: Iterable[tuple]) -> Iterator[tuple[int, list[bytes], list[tuple[int, bytes]]]]:
+    """Of every bucket in a partition its counts and its news; news are pairs."""
+    found: defaultdict[int, tuple[list, list]] = defaultdict(lambda: ([], []))
+    for number, row in rows:
+        found[number][isinstance(row, tuple)].append(row)
+    while found:
+        number, (counts, news) = found.popitem()
+        yield number, counts, news
+        del counts, news
+        _release()
+
+
 @dataclass(frozen=True)
 class Corpus:
     """What all buckets share: totals and discounts; and the tables of a bucket's contexts."""
@@ -329,22 +375,17 @@ def _sweep(
     return made, top, chance
 
 
-def _arrow(schema: T.StructType) -> pa.Schema:
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    return to_arrow_schema(schema)
-
-
 def _totals(counts: RDD, common: np.ndarray) -> Corpus:
     """Totals and discounts of all buckets, as they are with one table for each pair."""
 
-    def run(blobs: Iterable[bytes]) -> tuple[int, ...]:
-        bucket = _merge(list(blobs), common)
-        seen = bucket.customers
-        return int(seen.sum()), len(bucket.words), len(seen), int((seen == 1).sum()), int((seen == 2).sum())
+    def run(rows: Iterable[tuple[int, bytes]]) -> Iterator[tuple[int, ...]]:
+        for _, blobs, _ in _by_bucket(rows):
+            bucket = _merge(blobs, common)
+            seen = bucket.customers
+            yield int(seen.sum()), len(bucket.words), len(seen), int((seen == 1).sum()), int((seen == 2).sum())
 
-    sums = counts.groupByKey(counts.getNumPartitions()).map(lambda row: run(row[1]))
-    tokens, vocabulary, pairs, ones, twos = sums.fold((0,) * 5, lambda a, b: tuple(map(int.__add__, a, b)))
+    sums = counts.mapPartitions(run).fold((0,) * 5, lambda a, b: tuple(map(int.__add__, a, b)))
+    tokens, vocabulary, pairs, ones, twos = sums
     discount = min(max(ones / (ones + 2 * twos) if ones + twos else 0.5, 0.05), 0.95)
     return Corpus(tokens, vocabulary, _NONE, _NONE, float(vocabulary), discount, discount, float(pairs))
 
@@ -390,9 +431,9 @@ def _answers(home: int, rows: Iterable[tuple[int, bytes]], common: np.ndarray) -
     yield home, (_HOME, _join([_NONE, _NONE, tables, sums], _TABLES))
 
 
-def _heard(counts: Iterable[bytes], news: Iterable[tuple[int, bytes]], corpus: Corpus, common: np.ndarray) -> tuple:
+def _heard(counts: list[bytes], news: list[tuple[int, bytes]], corpus: Corpus, common: np.ndarray) -> tuple:
     """A bucket, the corpus with the tables of its contexts, what it kept, and its own words' tables."""
-    bucket = _merge(list(counts), common)
+    bucket = _merge(counts, common)
     kept, home, tables = [np.zeros(0), np.zeros(0)], np.zeros(0), []
     for origin, blob in sorted(news):
         if origin == _KEPT:
@@ -412,17 +453,16 @@ def _averaged(
 ) -> RDD:
     """(bucket, seats): counts, parent's chances and seats of its words, averaged over samples."""
 
-    def begin(row: tuple) -> _News:
+    def begin(number: int, found: list[bytes]) -> _News:
         """The first sweep, from one table for each pair; a context has in other buckets what it has here."""
-        bucket = _merge(list(row[1]), common)
+        bucket = _merge(found, common)
         guess = np.bincount(bucket.context, minlength=len(bucket.contexts)) * (corpus.vocabulary / len(bucket.words))
-        random = np.random.default_rng([seed, 1, row[0]])
+        random = np.random.default_rng([seed, 1, number])
         tables, top, _ = _sweep(bucket, np.ones(len(bucket.customers)), replace(corpus, tables=guess), random)
-        return _told(row[0], bucket, tables, 1.0, np.zeros(0), (tables.sum(), top.sum()), buckets, common)
+        return _told(number, bucket, tables, 1.0, np.zeros(0), (tables.sum(), top.sum()), buckets, common)
 
-    def sweep(row: tuple, turn: int) -> _News:
-        number, (found, news) = row
-        if not len(found):
+    def sweep(number: int, found: list[bytes], news: list[tuple[int, bytes]], turn: int) -> _News:
+        if not found:
             return iter(())
         bucket, state, (tables, _), _ = _heard(found, news, corpus, common)
         random = np.random.default_rng([seed, turn, number])
@@ -440,24 +480,36 @@ def _averaged(
                 sums += np.array([sent.sum(), top.sum()]) / samples
         return _told(number, bucket, seated, 1 / samples, parent, tuple(sums), buckets, common)
 
-    def close(row: tuple) -> tuple[int, bytes]:
-        bucket, state, (seated, parent), home = _heard(*row[1], corpus, common)
+    def close(number: int, found: list[bytes], news: list[tuple[int, bytes]]) -> tuple[int, bytes]:
+        bucket, state, (seated, parent), home = _heard(found, news, corpus, common)
         share = (_STRENGTH + corpus.discount * home) / (_STRENGTH + bucket.count)
         parent = (parent + state.base) / (_STRENGTH + state.total)
-        return row[0], _join([
+        return number, _join([
             *_packed_set(bucket.words, common), bucket.count, parent, np.log10(share),
             *_packed_set(bucket.contexts, common), state.tables,
             np.diff(bucket.pairs, prepend=0), bucket.customers, seated, [state.unknown, samples],
         ], _SEATS)
 
-    # Counts and news are dealt alike, so only news move.
+    def started(rows: Iterable[tuple]) -> _News:
+        for number, found, _ in _by_bucket(rows):
+            yield from begin(number, found)
+
+    def answered(rows: Iterable[tuple]) -> _News:
+        for number, _, told in _by_bucket(rows):
+            yield from _answers(number, told, common)
+
+    def swept(rows: Iterable[tuple], turn: int) -> _News:
+        for number, found, told in _by_bucket(rows):
+            yield from sweep(number, found, told, turn)
+
+    # Counts and news are dealt alike, so only news move; a partition of their union goes straight to one Python worker.
     parts = counts.getNumPartitions()
-    news = counts.groupByKey(parts).flatMap(begin)
+    news = counts.mapPartitions(started)
     for turn in range(2, sweeps + 2):
-        told = news.partitionBy(parts).groupByKey(parts).flatMap(lambda row: _answers(*row, common)).partitionBy(parts)
-        news = counts.cogroup(told, parts).flatMap(lambda row, turn=turn: sweep(row, turn))
-    told = news.partitionBy(parts).groupByKey(parts).flatMap(lambda row: _answers(*row, common)).partitionBy(parts)
-    return counts.cogroup(told, parts).map(close)
+        told = news.partitionBy(parts).mapPartitions(answered).partitionBy(parts)
+        news = counts.union(told).mapPartitions(lambda rows, turn=turn: swept(rows, turn))
+    told = news.partitionBy(parts).mapPartitions(answered).partitionBy(parts)
+    return counts.union(told).mapPartitions(lambda rows: (close(*row) for row in _by_bucket(rows)))
 
 
 # Words, their counts, the parent's chances of them and log10 of what their restaurants leave to it; tokens before and
@@ -483,27 +535,26 @@ _PART = T.StructType([
 
 def _score(dealt: DataFrame, averaged: DataFrame, corpus: Corpus, buckets: int, common: np.ndarray) -> DataFrame:
     """For each batch and bucket, sums per text: base score, score, known tokens."""
-    groups = averaged.join(dealt.select("bucket", "salt").distinct(), "bucket")
+    groups = averaged.join(F.broadcast(dealt.select("bucket", "salt").distinct()), "bucket")  # a few for each bucket
     rows = groups.select("bucket", "salt", F.lit(None).cast("binary").alias("sub"), F.col("seats").alias("blob"))
     rows = rows.unionAll(dealt.select("bucket", "salt", "sub", "blob"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batch: Iterable[Row]) -> Iterator[tuple[bytes, bytes]]:
         now, known = None, None
-        for batch in batches:
-            for bucket, salt, sub, blob in zip(
-                batch["bucket"].to_pylist(), batch["salt"].to_pylist(), batch["sub"].to_pylist(), batch["blob"],
-                strict=True,
-            ):
-                if (bucket, salt) != now:  # its seats come first; without training tokens there are none
-                    now, known = (bucket, salt), [_NONE] * 7 + [np.array([corpus.unknown])]
-                if sub is None:
-                    known = _seats(blob.as_py(), corpus.discount, common)
-                    continue
-                made = pa.array([_sums(_unpack(blob.as_py(), common), known, corpus)], pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array([sub], pa.binary()), made], schema=_arrow(_PART))
+        for bucket, salt, sub, blob in batch:
+            if (bucket, salt) != now:  # its seats come first; without training tokens there are none
+                now, known = (bucket, salt), [_NONE] * 7 + [np.array([corpus.unknown])]
+            if sub is None:
+                known = None
+                known = _seats(blob, corpus.discount, common)
+                _release()
+                continue
+            yield sub, _sums(_unpack(blob, common), known, corpus)
+        known = None
+        _release()
 
     rows = rows.repartition(int(buckets), "bucket", "salt").sortWithinPartitions("bucket", "salt", F.asc_nulls_first("sub"))
-    return rows.select("bucket", "salt", "sub", "blob").mapInArrow(run, _PART)
+    return _frame(dealt.sparkSession, rows.select("bucket", "salt", "sub", "blob").rdd.mapPartitions(run), _PART)
 
 
 def _sums(packed: list[np.ndarray], known: list[np.ndarray], corpus: Corpus) -> bytes:
@@ -538,18 +589,18 @@ def _frequent(source: DataFrame, text_bytes: int, sample: int = 128_000_000, mos
     made = T.StructType([T.StructField("word", T.LongType()), T.StructField("n", T.LongType())])
     some = source.where(F.pmod(F.xxhash64("doc_id", "t"), F.lit(max(1, text_bytes // sample))) == 0).select("t")
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def count(rows: Iterable[Row]) -> Iterator[tuple[int, int]]:
         found: Counter[bytes] = Counter()
-        for batch in batches:
-            for text in batch["t"]:
-                found.update(blank_words(text.as_py()))
-        often = {w: n for w, n in found.items() if n > 1}
-        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, often), np.uint64, len(often))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(hashes.view(np.int64)), pa.array(list(often.values()), pa.int64())], schema=_arrow(made)
-        )
-
-    top = some.mapInArrow(count, made).groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(most)
+        for (text,) in rows:
+            found.update(blank_words(text))
+        for word, n in found.items():
+            if n > 1:
+                yield int(np.uint64(xxhash.xxh3_64_intdigest(word)).view(np.int64)), n
+        del found
+        _release()
+
+    words = _frame(source.sparkSession, some.rdd.mapPartitions(count), made)
+    top = words.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(most)
     return np.sort(np.array([r.word for r in top.select("word").collect()], np.int64).view(np.uint64))
 
 
@@ -565,35 +616,30 @@ def _dealt(source: DataFrame, buckets: int, batch_bytes: int, common: np.ndarray
         T.StructField("sizes", T.ArrayType(T.LongType())),
     ])
 
-    def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = _arrow(read)
-
-        def flush(ids: list, held: list, texts: list) -> pa.RecordBatch:
-            sub = uuid.uuid4().bytes  # the written rows keep it
-            sizes, rows = _token_rows(texts, ~np.array(held, bool), buckets, common)
-            columns = [
-                [-1, *(b for b, _, _ in rows)], [0, *(_salt(sub, n, sum(sizes), buckets) for _, _, n in rows)],
-                [sub] * (len(rows) + 1), [None, *(x for _, x, _ in rows)],
-                [ids, *[None] * len(rows)], [held, *[None] * len(rows)], [sizes, *[None] * len(rows)],
-            ]
-            return pa.RecordBatch.from_arrays(
-                [pa.array(c, f.type) for c, f in zip(columns, kinds, strict=True)], schema=kinds
-            )
+    def flush(ids: list, held: list, texts: list) -> Iterator[tuple]:
+        sub = uuid.uuid4().bytes  # the written rows keep it
+        sizes, rows = _token_rows(texts, ~np.array(held, bool), buckets, common)
+        yield -1, 0, sub, None, ids, held, sizes
+        for bucket, blob, n in rows:
+            yield bucket, _salt(sub, n, sum(sizes), buckets), sub, blob, None, None, None
 
+    def tokens(rows: Iterable[Row]) -> Iterator[tuple]:
         ids, held, texts, size = [], [], [], 0
-        for batch in batches:
-            for i, h, text in zip(batch["doc_id"].to_pylist(), batch["held_out"].to_pylist(), batch["t"], strict=True):
-                ids.append(i)
-                held.append(bool(h))
-                texts.append(text.as_py() or "")
-                size += len(texts[-1])
-                if size >= batch_bytes or len(texts) >= 60_000:
-                    yield flush(ids, held, texts)
-                    ids, held, texts, size = [], [], [], 0
+        for i, h, text in rows:
+            ids.append(i)
+            held.append(bool(h))
+            texts.append(text or "")
+            size += len(texts[-1])
+            if size >= batch_bytes or len(texts) >= 60_000:
+                yield from flush(ids, held, texts)
+                ids, held, texts, size = [], [], [], 0
+                _release()
         if texts:
-            yield flush(ids, held, texts)
+            yield from flush(ids, held, texts)
+        texts = None
+        _release()
 
-    return stored(source.mapInArrow(tokens, read), "tokens")
+    return stored(_frame(source.sparkSession, source.rdd.mapPartitions(tokens), read), "tokens")
 
 
 def score_language(
@@ -623,21 +669,13 @@ def score_language(
     common = spark.sparkContext.broadcast(_frequent(source, total))
     made = _dealt(source, int(buckets), batch_bytes, common)
     dealt = made.where("bucket >= 0").select("bucket", "salt", "sub", "blob")
-    counted = T.StructType([T.StructField("bucket", T.IntegerType()), T.StructField("counts", T.BinaryType())])
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for bucket, counts in _counted(batches, int(buckets), common):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([bucket], pa.int32()), pa.array([counts], pa.binary())], schema=_arrow(counted)
-            )
-
-    # A partition holds whole buckets.
-    counts = dealt.select("blob").mapInArrow(count, counted).rdd.map(tuple).partitionBy(int(buckets))
+    counts = dealt.select("blob").rdd.mapPartitions(lambda rows: _counts((r.blob for r in rows), int(buckets), common))
+    counts = counts.partitionBy(int(buckets))  # a partition holds whole buckets
     corpus = _totals(counts, common)
-    averaged = spark.createDataFrame(
+    averaged = _frame(
+        spark,
         _averaged(counts, corpus, sweeps, burn, samples, seed, int(buckets), common),
         T.StructType([T.StructField("bucket", T.IntegerType()), T.StructField("seats", T.BinaryType())]),
-        verifySchema=False,
     )
     parts = _score(dealt, averaged, corpus, int(buckets), common)
     listed = made.where("bucket < 0").select("sub", "ids", "held", "sizes")
@@ -655,32 +693,29 @@ def score_language(
     ])
     n_train = corpus.tokens
 
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = _arrow(result)
+    def add(rows: Iterable[Row]) -> Iterator[tuple]:
         now, sums, texts = None, [], None
 
-        def close() -> pa.RecordBatch:
+        def close() -> Iterator[tuple]:
             ids, held, sizes = texts
             total = np.zeros((3, len(ids)))
             for blob in sums:
                 has, *found = _split(blob, _TEXT_SUMS)
                 total[:, has] += found
-            columns = [ids, held, sizes, total[2].astype(np.int64), [n_train] * len(ids), total[0], total[1]]
-            return pa.RecordBatch.from_arrays(
-                [pa.array(c, f.type) for c, f in zip(columns, kinds, strict=True)], schema=kinds
-            )
-
-        for batch in batches:
-            for sub, blob, *listing in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if sub != now:
-                    if now is not None:
-                        yield close()
-                    now, sums, texts = sub, [], None
-                if blob is None:
-                    texts = listing
-                else:
-                    sums.append(blob)
+            base, score, known = total.tolist()
+            for i, h, size, k, b, x in zip(ids, held, sizes, known, base, score, strict=True):
+                yield i, h, size, int(k), n_train, b, x
+
+        for sub, blob, *listing in rows:
+            if sub != now:
+                if now is not None:
+                    yield from close()
+                now, sums, texts = sub, [], None
+            if blob is None:
+                texts = listing
+            else:
+                sums.append(blob)
         if now is not None:
-            yield close()
+            yield from close()
 
-    return together.repartition("sub").sortWithinPartitions("sub").mapInArrow(add, result)
+    return _frame(spark, together.repartition("sub").sortWithinPartitions("sub").rdd.mapPartitions(add), result)

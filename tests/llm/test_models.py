@@ -2,6 +2,7 @@
 
 import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -166,6 +167,35 @@ def test_averaged_chances_sum_to_one_in_every_context(spark):
         assert part * (seats[word] + parent + found[0][7][0]) == pytest.approx(1)
 
 
+def test_packing_and_counting_take_little_memory_a_token():
+    """Executors hold several Python workers at once, so what each takes is bounded."""
+    rng = np.random.default_rng(2)
+    texts = [" ".join(f"w{k}" for k in rng.zipf(1.3, 1000) % 50_000) for _ in range(300)]
+    tracemalloc.start()
+    try:
+        sizes, rows = pitman_yor._token_rows(texts, np.ones(300, bool), 8)
+        packing = tracemalloc.get_traced_memory()[1]
+        parts = [pitman_yor._unpack(blob) for _, blob, _ in rows]
+        tracemalloc.reset_peak()
+        held = tracemalloc.get_traced_memory()[0]
+        bucket = pitman_yor._gather(parts)
+        counting = tracemalloc.get_traced_memory()[1] - held
+    finally:
+        tracemalloc.stop()
+    assert bucket.customers.sum() == sum(sizes) == 300 * 1001
+    assert packing < 60 * sum(sizes) and counting < 30 * sum(sizes)
+
+
+def test_stages_of_the_language_model_have_one_python_worker_a_task(spark, frame):
+    counts = spark.sparkContext.parallelize([(0, b"")]).partitionBy(3)
+    corpus = pitman_yor.Corpus(1, 1, (), (), 1.0, 0.5, 0.5)
+    lines = pitman_yor._averaged(counts, corpus, 2, 1, 1, 7, 3, np.zeros(0, np.uint64)).toDebugString().decode()
+    assert lines.count(" PythonRDD[") == lines.count(" PairwiseRDD[") + 1  # one before each shuffle, and the last
+    made = pitman_yor.score_language(frame([(1, "a b", "s")], False), F.lit(False))
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert "Arrow" not in plan and "Python" not in plan  # workers of DataFrames are others than those of RDDs
+
+
 @pytest.mark.parametrize("seed", range(40))
 def test_periods_meet_every_window(seed):
     random.seed(seed)
