@@ -19,6 +19,7 @@ from realmwatch.sources import bridge, logs, parser
 from realmwatch.sources.growing import scan_growing
 from realmwatch.sources.tables import read_logs, union_logs
 from realmwatch.streaming.incremental import (
+    FOLDS_AT_ONCE,
     catch_up,
     parse_stream,
     run_incremental,
@@ -31,9 +32,9 @@ QUERIES: dict[str, Query] = {}
 
 # Fixed value: 2024-01-31 00:00 UTC, the retention query's present.
 AS_OF, KEEP_DAYS = 1706659200, 10
-# Fixed value: lines of a micro-batch.
+# Fixed value: lines of a batch.
 LINES_PER_BATCH = 10_000
-# Fixed value: micro-batches of so few lines that are folded as one.
+# Fixed value: batches of so few lines that are folded as one.
 BATCHES_PER_FOLD = 100
 # Fixed value: days that a closed window waits for late lines.
 OPEN_DAYS = 2
@@ -599,7 +600,10 @@ def stream_growing_file(spark, sf_dir):
     Folder(spark, f"{root}/live").make()
     for step in range(3):
         bridge.grow_logs(files, f"{root}/live", step)
-        lines = scan_growing(spark, f"{root}/live", lines_per_batch=LINES_PER_BATCH).select("value")
+        # batches that wait are read, and folds of so many of them run, side by side
+        lines = scan_growing(
+            spark, f"{root}/live", lines_per_batch=LINES_PER_BATCH, batches_per_trigger=FOLDS_AT_ONCE * BATCHES_PER_FOLD
+        ).select("value", "batch")
         stream = run_incremental(
             lines, store, f"{root}/checkpoint", every="0 seconds", fold_every=BATCHES_PER_FOLD
         )

@@ -8,7 +8,8 @@ Every measure is a max or a sum, so an update needs no read-modify-write:
     base/<build>_covered/                       ids of the batches inside that base
     versions/<number>                           written last, by one build only: holds its name
     cubes/<id>                                  counted events of a batch, while it is folded
-    staged/<id>                                 a batch whose events are kept in staged_rows/<id> until they are folded
+    staged/<id>                                 a batch whose events are kept in staged_rows/<id> until they are folded;
+                                                batches <id>.<n> staged together lie in staged_rows/<id>/batch=<n>
     groups/<fold>                               the ids of staged batches that one fold takes together
 
 A batch that fails half-way leaves no commit and is rewritten by its retry; a batch that
@@ -17,6 +18,7 @@ is committed already is skipped.  No file a reader may hold is ever overwritten.
 
 from __future__ import annotations
 
+import re
 import uuid
 from dataclasses import dataclass, field
 
@@ -32,6 +34,17 @@ from realmwatch.operators.merge import combine, slice_rules
 from realmwatch.plans.folders import Folder
 
 
+# The column that tells batches apart which are staged together, and their names.
+PART = "batch"
+_MEMBER = re.compile(r"(.+-\d{10})\.(\d+|__HIVE_DEFAULT_PARTITION__)")
+
+
+def _staged_as(batch_id: str) -> tuple[str, str | None]:
+    """The name a batch is staged under, and which of the batches under that name it is."""
+    member = _MEMBER.fullmatch(batch_id)
+    return (member[1], member[2]) if member else (batch_id, None)
+
+
 @dataclass(frozen=True)
 class Table:
     schema: T.StructType
@@ -100,10 +113,23 @@ class SummaryStore:
         """Whether a batch is staged or committed, so that its events are not read again."""
         return self.folder.exists("staged", batch_id) or self.is_committed(batch_id)
 
-    def stage(self, events: DataFrame, batch_id: str) -> None:
-        """Keep the events of a batch until they are folded with those of others."""
-        events.write.mode("overwrite").parquet(self.folder.at("staged_rows", batch_id))
+    def stage(self, events: DataFrame, batch_id: str) -> int:
+        """Keep the events of a batch until they are folded with those of others.
+
+        Events with a column `batch` are those of several batches, `<batch_id>.<batch>`, which are staged in folders of
+        their own and count from one moment on.  Gives the number of batches.
+        """
+        writer = events.write.mode("overwrite")
+        if PART in events.columns:
+            writer = writer.partitionBy(PART)
+        writer.parquet(self.folder.at("staged_rows", batch_id))
         self.folder.mark("staged", batch_id)
+        return len(self._members(batch_id))
+
+    def _members(self, staged: str) -> list[str]:
+        """The batches that were staged together under this name; one with no events to part has none but itself."""
+        parts = [n for n in self.folder.names("staged_rows", staged) if n.startswith(f"{PART}=")]
+        return [f"{staged}.{p.removeprefix(f'{PART}=')}" for p in parts] or [staged]
 
     def staged(self, source: str) -> list[str]:
         """Batches of a source that wait for their fold; what a crash left of the last fold is settled or dropped."""
@@ -116,11 +142,13 @@ class SummaryStore:
                 for name in TABLES:
                     self.folder.remove("deltas", name, f"batch_id={fold}")
                 self.folder.remove("groups", fold)
-        return [b for b in self.folder.names("staged") if b.rpartition("-")[0] == source]
+        waiting = [b for b in self.folder.names("staged") if b.rpartition("-")[0] == source]
+        return [member for b in waiting for member in self._members(b)]
 
     def read_staged(self, batches: list[str], schema: T.StructType) -> DataFrame:
         root = self.folder.at("staged_rows")
-        return self.spark.read.schema(schema).parquet(*[f"{root}/{b}" for b in batches])
+        paths = [f"{root}/{name}/{PART}={part}" if part else f"{root}/{name}" for name, part in map(_staged_as, batches)]
+        return self.spark.read.schema(schema).parquet(*paths)
 
     def group(self, batches: list[str]) -> str:
         """The name of the fold of staged batches; another one if a retry finds more of them."""
@@ -130,10 +158,15 @@ class SummaryStore:
 
     def settle(self, fold: str) -> None:
         """Mark the batches of a committed fold, which have no deltas of their own, and drop their events."""
-        for batch_id in self.folder.text("groups", fold).split("\n"):
-            self.commit(batch_id)
-            self.folder.remove("staged", batch_id)
-            self.folder.remove("staged_rows", batch_id)
+        batches = [_staged_as(b) for b in self.folder.text("groups", fold).split("\n")]
+        for name, part in batches:
+            if part:
+                self.folder.remove("staged_rows", name, f"{PART}={part}")
+        for name in dict.fromkeys(name for name, _ in batches):
+            if self._members(name) == [name]:  # of what was staged together another fold may still hold some
+                self.commit(name)
+                self.folder.remove("staged", name)
+                self.folder.remove("staged_rows", name)
         self.folder.remove("groups", fold)
 
     def _write(self, table: Table, rows: DataFrame, path: str) -> None:

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import time
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,10 +21,13 @@ from realmwatch.operators.cube import KEYS, event_cube
 from realmwatch.operators.joins import with_list_flags
 from realmwatch.operators.last_seen import princ_changes
 from realmwatch.plans.batch import cube_deltas, fold_into
-from realmwatch.plans.store import SummaryStore
+from realmwatch.plans.store import PART, SummaryStore
 from realmwatch.schemas import CLIENT_SLICES, DAY_SECONDS, SUCCESS
 from realmwatch.sources import logs, parser, tables
 
+# Folds of staged batches that run at a time: one alone leaves cores idle while its jobs are planned.
+FOLDS_AT_ONCE = 4
+
 _STATE = "org.apache.spark.sql.execution.streaming.state"
 
 # What the cube reads of an event.
@@ -66,8 +70,11 @@ def run_incremental(
     batch.  `kdc_only` drops the lines of other daemons.
 
     A fold costs seconds however few lines it has.  With `fold_every` a batch only parses its lines and stages
-    their events in the store; so many batches are then folded as one, and readers see them from then on.  What
-    is staged when the stream ends is folded by `catch_up` or `fold_staged`, or by the next run.
+    their events in the store; once so many batches wait they are folded as one, and readers see them from then on;
+    if a micro-batch brings several times as many, several such folds run side by side.
+    What is staged when the stream ends is folded by `catch_up` or `fold_staged`, or by the next run.  Lines with a
+    column `batch`, as `scan_growing` gives with `batches_per_trigger`, are staged as the batches it tells apart,
+    which a micro-batch then holds several of; `compact_every` counts micro-batches.
     """
     if fold_every:
         return _run_staged(
@@ -113,10 +120,15 @@ def _run_staged(
     raw = logs.drop_local_tgt(lines)
     events = routed(parser.parse_events(logs.kdc_lines(raw) if kdc_only else raw))
     reported = ["value"] if rejects_path else []
-    events = events.select(*_STAGED, *reported)  # parsed by the stream's own plan, which is made once
+    kept = [*_STAGED, *([PART] if PART in lines.columns else [])]
+    events = events.select(*kept, *reported)  # parsed by the stream's own plan, which is made once
+    waiting: dict[str, int] = {}  # batches by source, counted in the store when the first one comes
 
     def stage(batch: DataFrame, number: int) -> None:
         batch_id = _batch_id(batch, name, number)
+        source = batch_id.rpartition("-")[0]
+        if source not in waiting:
+            waiting[source] = len(store.staged(source))
         if store.is_taken(batch_id):
             return
         if rejects_path:
@@ -125,12 +137,12 @@ def _run_staged(
             if rejects_path:
                 reports = parser.rejects(batch).write.mode("overwrite")
                 reports.parquet(f"{rejects_path}/batch_id={batch_id}")
-            store.stage(batch.select(*_STAGED), batch_id)
+            waiting[source] += store.stage(batch.select(*kept), batch_id)
         finally:
             if rejects_path:
                 batch.unpersist()
-        if (number + 1) % fold_every == 0:
-            fold_staged(store, batch_id.rpartition("-")[0], **extras)
+        if waiting[source] >= fold_every:
+            waiting[source] = _fold_full(store, source, fold_every, extras)
         if compact_every and (number + 1) % compact_every == 0:
             _compact(store, days, as_of)
 
@@ -140,9 +152,27 @@ def _run_staged(
 
 def fold_staged(store: SummaryStore, source: str, **extras) -> None:
     """Fold what the stream of this name or id has staged, as one batch that counts whole or not at all."""
+    if batches := store.staged(source):
+        _fold(store, batches, extras)
+
+
+def _fold_full(store: SummaryStore, source: str, fold_every: int, extras: dict) -> int:
+    """Fold what is staged by so many batches each, several folds side by side; gives how many are left for later."""
     batches = store.staged(source)
-    if not batches:
-        return
+    left = len(batches) % fold_every
+    full = [batches[i : i + fold_every] for i in range(0, len(batches) - left, fold_every)]
+
+    @inheritable_thread_target(store.spark)
+    def fold(group: list[str]) -> None:
+        _fold(store, group, extras)
+
+    with ThreadPoolExecutor(min(len(full), FOLDS_AT_ONCE)) as pool:
+        for done in [pool.submit(fold, group) for group in full]:
+            done.result()
+    return left
+
+
+def _fold(store: SummaryStore, batches: list[str], extras: dict) -> None:
     fold = store.group(batches)
     cube = event_cube(store.read_staged(batches, _STAGED_SCHEMA)).persist(StorageLevel.MEMORY_AND_DISK)
     try:

@@ -155,3 +155,68 @@ def test_odd_bytes_and_names(stream):
     append(folder / ".hidden", b"no\n")
     append(folder / "other.txt", b"no\n")
     assert run(glob="*.log") == [sorted(["windows", "�� bytes", "", "grüße"])]
+
+
+def deal(folder, start, end):
+    """The lines of each batch between two positions, read by its tasks."""
+    got = {}
+    for number, parts in folder.tasks(start, end):
+        for part in parts:
+            got.setdefault(number, []).extend(part_lines(folder.open(part[0], part[1]), *part[2:]))
+    return [got[k] for k in sorted(got)]
+
+
+@pytest.mark.parametrize("size", [20, 1 << 20])
+def test_batches_side_by_side(tmp_path, size):
+    """Up to five batches of seven lines a micro-batch; a replay cuts them alike, whatever came since."""
+    bodies = {"a.log": 60, "b.log": 3, "c.log": 41}
+    for name, lines in bodies.items():
+        append(tmp_path / name, b"".join(b"%s %d %s\n" % (name.encode(), k, b"x" * (k % 9)) for k in range(lines)))
+    append(tmp_path / "a.log", b"half")
+    options = {"path": str(tmp_path), "linesPerBatch": "7", "batchesPerTrigger": "5", "partitionBytes": str(size)}
+    folder, at, steps = GrowingFolder(options), {}, []
+    while (end := folder.ends(at)) != at:
+        steps.append((at, end, deal(folder, at, end)))
+        at = end
+    sizes = [[len(b) for b in batches] for _, _, batches in steps]
+    assert sizes == [[7] * 5, [7] * 5, [7, 7, 7, 7, 6]]
+    whole = [line for _, _, batches in steps for b in batches for line in b]
+    assert sorted(whole) == sorted(
+        line for n in bodies for line in (tmp_path / n).read_bytes().split(b"\n")[:-1]
+    )
+    assert len({line[:1] for b in steps[0][2] for line in b}) == 3  # dealt evenly: no file waits for another
+    append(tmp_path / "a.log", b" done\nno end")
+    os.rename(tmp_path / "a.log", tmp_path / "a.log.1")
+    append(tmp_path / "a.log", b"next\n")
+    append(tmp_path / "aa.log", b"another\n")
+    for start, end, batches in steps:
+        assert deal(GrowingFolder(options), start, end) == batches
+    assert sorted(sum(deal(folder, at, folder.ends(at)), [])) == [b"another", b"half done", b"next", b"no end"]
+    for bad in ({"batchesPerTrigger": "2"}, {"batchesPerTrigger": "0", "linesPerBatch": "1"}):
+        with pytest.raises(ValueError):
+            GrowingFolder({"path": "x", **bad})
+
+
+def test_a_stream_takes_waiting_batches_at_once(spark, tmp_path):
+    folder, got = tmp_path / "logs", []
+    folder.mkdir()
+
+    def run():
+        query = (
+            scan_growing(spark, str(folder), lines_per_batch=10, batches_per_trigger=4)
+            .writeStream.foreachBatch(lambda df, n: got.append(df.collect()))
+            .option("checkpointLocation", str(tmp_path / "checkpoint")).trigger(processingTime="0 seconds").start()
+        )
+        catch_up(query)
+        sizes = [[len([r for r in rows if r.batch == k]) for k in range(4)] for rows in got if rows]
+        lines = sorted(r.value for rows in got for r in rows)
+        got.clear()
+        return sizes, lines
+
+    append(folder / "a.log", ("\n".join(lines_of(range(55))) + "\n").encode())
+    append(folder / "b.log", ("\n".join(lines_of(range(60, 63))) + "\n").encode())
+    sizes, lines = run()
+    assert sizes == [[10] * 4, [10, 8, 0, 0]]
+    assert lines == sorted(lines_of([*range(55), *range(60, 63)]))
+    append(folder / "a.log", ("\n".join(lines_of(range(70, 82))) + "\n").encode())
+    assert run() == ([[10, 2, 0, 0]], lines_of(range(70, 82)))

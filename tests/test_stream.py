@@ -8,6 +8,7 @@ from realmwatch.plans import catalog
 from realmwatch.plans.batch import summary_deltas
 from realmwatch.plans.store import SummaryStore
 from realmwatch.sources import bridge, logs, tables
+from realmwatch.sources.growing import scan_growing
 from realmwatch.sources.parser import parse_events, rejects
 from realmwatch.streaming import incremental
 
@@ -160,3 +161,63 @@ def test_growing_query_folds_its_batches_together(spark, monkeypatch):
     monkeypatch.setattr(catalog, "LINES_PER_BATCH", 100)
     got = rows(catalog.stream_growing_file(spark, SF_DIR))
     assert got == rows(catalog.stream_client_slices(spark, SF_DIR)) and len([f for f in folds if "-of-" in f]) == 3
+
+
+def test_growing_query_reads_waiting_batches_side_by_side(spark, monkeypatch):
+    """The batches of a run lie in folders of their own, of at most a hundred lines, and take one micro-batch."""
+    staged, read_staged = [], SummaryStore.read_staged
+
+    def read(self, batches, schema):
+        staged.append([read_staged(self, [b], schema).count() for b in batches])
+        return read_staged(self, batches, schema)
+
+    monkeypatch.setattr(SummaryStore, "read_staged", read)
+    monkeypatch.setattr(catalog, "LINES_PER_BATCH", 100)
+    stages, stage = [], SummaryStore.stage
+    monkeypatch.setattr(SummaryStore, "stage", lambda self, events, b: stages.append(b) or stage(self, events, b))
+    lines = spark.read.parquet(f"{SF_DIR}/events.parquet").count()
+    assert rows(catalog.stream_growing_file(spark, SF_DIR)) == rows(catalog.stream_client_slices(spark, SF_DIR))
+    assert len(stages) == len(staged) == 3
+    assert max(map(max, staged)) == 100 and sum(map(sum, staged)) == lines
+    assert sum(map(len, staged)) == sum(-(-sum(run) // 100) for run in staged) > 3
+
+
+def test_batches_staged_together_survive_crashes(spark, folder, want, tmp_path, monkeypatch):
+    """Folds of two batches, which come three and three; a crash in the marking, a fold or the settling costs nothing."""
+    store, lines = SummaryStore(spark, str(tmp_path / "store")), 1 + len(open(f"{folder}/0.log").readlines()) * 6 // 7
+    crashes = []
+
+    def crash_once(owner, name):
+        inner = getattr(owner, name)
+
+        def flaky(*args):
+            if name not in crashes:
+                crashes.append(name)
+                raise RuntimeError(f"crash at {name}")
+            return inner(*args)
+
+        monkeypatch.setattr(owner, name, flaky)
+
+    def start(checkpoint="checkpoint"):
+        query = incremental.run_incremental(
+            scan_growing(spark, folder, lines_per_batch=lines, batches_per_trigger=3), store,
+            str(tmp_path / checkpoint), name="growing", every="0 seconds", fold_every=2,
+        )
+        incremental.catch_up(query, store)
+
+    crash_once(incremental, "fold_into")
+    crash_once(SummaryStore, "settle")
+    crash_once(store.folder, "mark")
+    for _ in range(3):
+        with pytest.raises(Exception, match="crash"):
+            start()
+    start()
+    assert sorted(crashes) == ["fold_into", "mark", "settle"]
+    assert contents(store, want) == want
+    assert sorted(n.rpartition("-of-")[2] for n in store.folder.names("deltas", "client")) == ["1", "2", "2", "2"]
+    assert not store.folder.names("staged") and not store.folder.names("staged_rows") and not store.folder.names("groups")
+    start("again")  # a lost checkpoint
+    store.compact()
+    store.vacuum()
+    start("once more")
+    assert contents(store, want) == want
